@@ -92,39 +92,51 @@ def ensembl_link(c: Column) -> Column:
     return F.concat(F.lit(ENSEMBL_LINK), strip_version_suffix(c))
 
 
-def ontology_id(c: Column) -> Column:
-    """``struct(iri, curie, prefix)`` for a known CURIE or IRI, else NULL."""
+_PREFIXES = "|".join(ONTOLOGY_BASES)
+_OBO_PREFIXES = "|".join(p for p, base in ONTOLOGY_BASES.items() if base.startswith(OBO))
+_IRI_FORM = rf"\A(?:{OBO.replace('.', '[.]')}(?={_OBO_PREFIXES})|{EFO.replace('.', '[.]')}(?=EFO))({_PREFIXES})_"
 
-    def parts(iri, curie, prefix):
-        return F.struct(iri.alias("iri"), curie.alias("curie"), prefix.alias("prefix"))
 
-    is_iri = c.startswith("http")
-    branches = []
-    for prefix, base in ONTOLOGY_BASES.items():
-        local_of_iri = F.substr(c, F.lit(len(base) + 1))
-        local_of_curie = F.substr(c, F.lit(len(prefix) + 2))
-        branches.append(
-            (c.startswith(base), parts(c, F.concat(F.lit(prefix + ":"), local_of_iri), F.lit(prefix)))
-        )
-        branches.append(
-            (
-                ~is_iri & c.startswith(prefix + ":"),
-                parts(F.concat(F.lit(base), local_of_curie), c, F.lit(prefix)),
-            )
-        )
-    return _cases(branches)
+def _as_curie(c: Column) -> Column:
+    # IRIs of known ontologies become CURIEs; everything else stays as it is.
+    return F.regexp_replace(c, _IRI_FORM, "$1:")
+
+
+def _is_known(curie: Column) -> Column:
+    return curie.rlike(rf"\A(?:{_PREFIXES}):")
+
+
+def _curie_to_iri(curie: Column) -> Column:
+    obo = F.regexp_replace(curie, rf"\A({_OBO_PREFIXES}):", f"{OBO}$1_")
+    return F.regexp_replace(obo, r"\AEFO:", f"{EFO}EFO_")
+
+
+def ontology_id(c: Column) -> Column:
+    """``struct(iri, curie, prefix)`` for a known CURIE or IRI, else NULL."""
+    curie = _as_curie(c)
+    return F.when(
+        _is_known(curie),
+        F.struct(
+            _curie_to_iri(curie).alias("iri"),
+            curie.alias("curie"),
+            F.substring_index(curie, ":", 1).alias("prefix"),
+        ),
+    )
 
 
 def ontology_iri(c: Column) -> Column:
-    return ontology_id(c).getField("iri")
+    curie = _as_curie(c)
+    return F.when(_is_known(curie), _curie_to_iri(curie))
 
 
 def ontology_prefix(c: Column) -> Column:
-    return ontology_id(c).getField("prefix")
+    curie = _as_curie(c)
+    return F.when(_is_known(curie), F.substring_index(curie, ":", 1))
 
 
 def ontology_curie(c: Column) -> Column:
-    return ontology_id(c).getField("curie")
+    curie = _as_curie(c)
+    return F.when(_is_known(curie), curie)
 
 
 # The two directions of the CURIE <-> IRI round trip.

@@ -39,11 +39,13 @@ GREEK = {
 }
 # ----------------------------------------------------------------------------------------
 
-_BLANK_RUN = "[" + WHITESPACE + "]+"
-
-
-def _any_of(chars) -> str:
-    return "[" + "".join(chars) + "]"
+# The same white space as ranges, which the regex engine tests much faster than a list.
+_WIDE_BLANKS = r"\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+_BLANKS = rf"[\x09-\x0D\x1C-\x20{_WIDE_BLANKS}]"
+_NOT_BLANK = rf"[^\x09-\x0D\x1C-\x20{_WIDE_BLANKS}]"
+# Only runs that differ from one plain space; ordinary prose then has few matches.
+_BLANK_RUN = rf"[\x09-\x0D\x1C-\x1F{_WIDE_BLANKS}]{_BLANKS}*| {_BLANKS}+"
+_FOREIGN = r"[^\x00-\x7F]"
 
 
 def strip(c: Column) -> Column:
@@ -55,48 +57,65 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def _substitute(c: Column, table: dict[str, str]) -> Column:
-    """Replace single characters by strings.
-
-    One-to-one pairs go through one ``translate``; the rest are ``replace`` calls. Both are
-    skipped by a single regex probe for rows that hold none of the characters.
-    """
-    single = {k: v for k, v in table.items() if len(v) == 1}
-    longer = {k: v for k, v in table.items() if len(v) != 1}
-    out = c
-    if single:
-        out = F.translate(out, "".join(single), "".join(single.values()))
-    for mark, text in longer.items():
-        out = F.replace(out, F.lit(mark), F.lit(text))
-    return F.when(c.rlike(_any_of(table)), out).otherwise(c)
+def _any_of(table: dict[str, str]) -> str:
+    return "[" + "".join(table) + "]"
 
 
 def tidy_punct(c: Column) -> Column:
-    """Typographic punctuation to ASCII."""
-    return _substitute(c, PUNCTUATION)
+    """Typographic punctuation to ASCII; rows without any pass untouched."""
+    single = {m: t for m, t in PUNCTUATION.items() if len(t) == 1}
+    out = F.translate(c, "".join(single), "".join(single.values()))
+    for mark, text in PUNCTUATION.items():
+        if len(text) > 1:
+            out = F.replace(out, F.lit(mark), F.lit(text))
+    return F.when(c.rlike(_any_of(PUNCTUATION)), out).otherwise(c)
 
 
-def ascii_slug(c: Column) -> Column:
-    """Spell Greek letters, collapse white space, trim, lower-case; blank gives NULL."""
-    spelled = _substitute(c, GREEK)
-    collapsed = F.trim(F.regexp_replace(spelled, _BLANK_RUN, " "))
-    return blank_to_null(F.lower(collapsed))
+def _replace_each(text: str, table: dict[str, str]) -> str:
+    for mark, name in table.items():
+        if mark in text:
+            text = text.replace(mark, name)
+    return text
+
+
+# Spark has no Unicode normalisation, and its case and regex functions are several times slower
+# on non-ASCII text than on ASCII. So rows with foreign characters go to the two Arrow-batched
+# helpers below (all other rows reach them as NULL), and ASCII rows never leave the JVM.
+
+_SPELLING = {**PUNCTUATION, **GREEK}
+
+
+def _slug(text: str) -> str:
+    return " ".join(_replace_each(text, GREEK).split()).lower()
+
+
+def _plain(text: str) -> str:
+    words = " ".join(_replace_each(text, _SPELLING).split()).lower()
+    letters = unicodedata.normalize("NFKD", words).encode("ascii", "ignore").decode("ascii")
+    return letters.strip().lower()
+
+
+@F.pandas_udf(StringType())
+def _foreign_slug(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else _slug(t) or None)
 
 
 @F.pandas_udf(StringType())
-def _decompose_to_ascii(texts: pd.Series) -> pd.Series:
-    # Spark has no Unicode normalisation; rows that are ASCII already arrive here as NULL.
-    def decompose(text):
-        if text is None:
-            return None
-        return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
+def _foreign_plain(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else _plain(t) or None)
 
-    return texts.map(decompose)
+
+def _squeeze(c: Column) -> Column:
+    return F.when(c.rlike(_NOT_BLANK), F.lower(F.trim(F.regexp_replace(c, _BLANK_RUN, " "))))
+
+
+def ascii_slug(c: Column) -> Column:
+    """Spell Greek letters, collapse white space, trim, lower-case; blank gives NULL."""
+    foreign = c.rlike(_FOREIGN)
+    return F.when(foreign, _foreign_slug(F.when(foreign, c))).otherwise(_squeeze(c))
 
 
 def lowercase_ascii(c: Column) -> Column:
     """Lower-case ASCII text; NULL when nothing is left."""
-    slug = ascii_slug(tidy_punct(c))
-    foreign = slug.rlike(r"[^\x00-\x7F]")
-    decomposed = _decompose_to_ascii(F.when(foreign, slug))
-    return blank_to_null(F.lower(strip(F.when(foreign, decomposed).otherwise(slug))))
+    foreign = c.rlike(_FOREIGN)
+    return F.when(foreign, _foreign_plain(F.when(foreign, c))).otherwise(_squeeze(c))

@@ -8,39 +8,29 @@ for a given set of values, whatever the partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _digest_bucket(value: Column, hex_digits: int) -> Column:
-    return F.substring(F.md5(value), 1, hex_digits)
-
-
 def number_distinct(
     df: DataFrame, value: str, groups: list[str] | None = None, out: str = "n", hex_digits: int = 3
 ) -> DataFrame:
-    """Number the rows of each group 1..n; ``value`` must be distinct text within its group.
+    """Number the rows of each group 1..n; ``value`` must be distinct within its group.
 
-    NULL values come last in their group. ``hex_digits`` sets the number of buckets
+    A NULL value comes last in its group. ``hex_digits`` sets the number of buckets
     (16 ** hex_digits); the default of 4,096 suits up to some 10 ** 10 values.
     """
-    groups = groups or []
     text = F.col(value).cast("string")
-    dealt = df.withColumn("_d", F.md5(text)).withColumn("_b", F.coalesce(_digest_bucket(text, hex_digits), F.lit("~")))
-    sizes = dealt.groupBy(*groups, "_b").count()
-    running = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*groups, "_b", F.coalesce(F.sum("count").over(running), F.lit(0)).alias("_off"))
-    within = Window.partitionBy(*groups, "_b").orderBy("_d", text)
-    placed = dealt.withColumn("_i", F.row_number().over(within))
-    keyed = offsets.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_b").alias("_ob"), "_off"
+    dealt = df.select(
+        "*",
+        (F.struct(*groups) if groups else F.lit(0)).alias("_g"),
+        F.coalesce(F.substring(F.md5(text), 1, hex_digits), F.lit("~")).alias("_b"),
     )
-    joined = placed.join(keyed, _match(groups), "inner")
-    return joined.select(*df.columns, (F.col("_off") + F.col("_i")).alias(out))
-
-
-def _match(groups: list[str]) -> Column:
-    cond = F.col("_b") == F.col("_ob")
-    for i, g in enumerate(groups):
-        cond = cond & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    return cond
+    # _g and _b are never NULL, so rows of NULL groups join too, and the window's partitioning
+    # serves the join as well.
+    sizes = dealt.groupBy("_g", "_b").count()
+    before = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_g", "_b", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_g", "_b").orderBy(F.md5(text), text)
+    placed = dealt.withColumn("_i", F.row_number().over(within))
+    return placed.join(offsets, ["_g", "_b"]).select(*df.columns, (F.col("_off") + F.col("_i")).alias(out))

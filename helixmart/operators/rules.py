@@ -100,8 +100,8 @@ def harmonize(
             for k, r in enumerate(active)
         ],
     )
-    for k, rule in enumerate(active):
-        out = _run_chain(out, k, rule, cells, references or {}, on_error, as_of, salts)
+    out = out.select("*", *[_matched(F.col(f"_p{k}"), cells).alias(f"_v{k}") for k in range(len(active))])
+    out = _run_chains(out, active, references or {}, on_error, as_of, salts)
 
     kinds = {f.name: f.dataType for f in out.schema}
     writers: dict[str, list[tuple[int, Column, object]]] = {}
@@ -127,35 +127,40 @@ def harmonize(
     return out.select(*final)
 
 
-def _run_chain(df, k, rule, cells, references, on_error, as_of, salts) -> DataFrame:
-    position, value, bad = F.col(f"_p{k}"), f"_v{k}", F.lit(False)
-    df = df.withColumn(value, _matched(position, cells))
-    for step in rule.chain:
-        if isinstance(step, Lookup):
-            df = df.withColumnRenamed(value, "_key")
-            df = ENRICHMENTS[step.kind](
-                df, "_key", value, references.get(step.kind, {}), as_of=as_of, salts=salts
-            ).drop("_key")
-            continue
-        assert isinstance(step, Transform)
-        current = F.col(value)
-        result = step.apply(current)
-        if step.valid is not None:
-            fails = position.isNotNull() & ~F.coalesce(step.valid(current), F.lit(False))
-            if on_error == "fail":
-                message = F.concat(F.lit(f"rule '{rule.name}': malformed value "), F.coalesce(current.cast("string"), F.lit("NULL")))
-                result = F.when(fails, F.raise_error(message)).otherwise(result)
-            else:
-                df = df.withColumn("_f", fails)
-                bad = F.col(f"_bad{k}")
-                df = df.withColumn(f"_bad{k}", (bad if f"_bad{k}" in df.columns else F.lit(False)) | F.col("_f"))
-                df = df.drop("_f")
-        df = df.withColumn(value, result)
-    if on_error == "quarantine" and f"_bad{k}" not in df.columns:
-        df = df.withColumn(f"_bad{k}", F.lit(False))
+def _run_chains(df, active, references, on_error, as_of, salts) -> DataFrame:
+    """Run all chains side by side, step by step; only lookups need joins of their own."""
+    if on_error == "quarantine":
+        df = df.select("*", *[F.lit(False).alias(f"_bad{k}") for k in range(len(active))])
+    for i in range(max(len(r.chain) for r in active)):
+        changed: dict[str, Column] = {}
+        for k, rule in enumerate(active):
+            if i < len(rule.chain) and isinstance(rule.chain[i], Transform):
+                changed.update(_step(k, rule, rule.chain[i], on_error))
+        if changed:
+            df = df.withColumns(changed)
+        for k, rule in enumerate(active):
+            if i < len(rule.chain) and isinstance(rule.chain[i], Lookup):
+                kind = rule.chain[i].kind
+                df = ENRICHMENTS[kind](
+                    df.withColumnRenamed(f"_v{k}", "_key"), "_key", f"_v{k}", references.get(kind, {}),
+                    as_of=as_of, salts=salts,
+                ).drop("_key")
     return df
 
 
+def _step(k: int, rule: Rule, step: Transform, on_error: str) -> dict[str, Column]:
+    value = F.col(f"_v{k}")
+    result = step.apply(value)
+    if step.valid is None:
+        return {f"_v{k}": result}
+    fails = F.col(f"_p{k}").isNotNull() & ~F.coalesce(step.valid(value), F.lit(False))
+    if on_error == "quarantine":
+        return {f"_v{k}": result, f"_bad{k}": F.col(f"_bad{k}") | fails}
+    text = F.coalesce(value.cast("string"), F.lit("NULL"))
+    message = F.concat(F.lit(f"rule '{rule.name}': malformed value "), text)
+    return {f"_v{k}": F.when(fails, F.raise_error(message)).otherwise(result)}
+
+
 def _winner(name: str, candidates: list, original, n_rules: int) -> Column:
     kinds = {str(d) for _, _, d in candidates} | ({str(original)} if original is not None else set())
     as_text = len(kinds) > 1
@@ -166,7 +171,8 @@ def _winner(name: str, candidates: list, original, n_rules: int) -> Column:
     fallback = typed(F.col(name)) if original is not None else None
     ranks = [F.col(f"_p{k}") * n_rules + k for k, _, _ in candidates]
     if len(candidates) == 1:
-        chosen = F.when(ranks[0].isNotNull(), typed(candidates[0][1]))
+        k, value, _ = candidates[0]
+        chosen = F.when(F.col(f"_p{k}").isNotNull(), typed(value))
     else:
         top = F.greatest(*ranks)
         chosen = _first_true([(rank == top, typed(value)) for rank, (_, value, _) in zip(ranks, candidates)])

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from helixmart.operators.joins import skew_join
 
+_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
+
 
 def group_means(df: DataFrame, by: list[str], value: str, out: str = "mean_value") -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(value).alias(out))
@@ -44,33 +46,30 @@ def adjusted_p(df: DataFrame, p: str, groups: list[str] | None = None, slices: i
     bucket table has at most ``slices`` rows per power of two, the rest is split by bucket.
     """
     groups = groups or []
+    # Join keys that cannot be NULL: rows of a NULL group stay together, and the branches below
+    # share one scan and one shuffle instead of differing by a pushed-down NULL filter.
+    group = F.struct(*groups) if groups else F.lit(0)
+    bucket = F.coalesce(_bucket(F.col(p), slices), F.lit(0).cast("bigint"))
     tally = df.filter(F.col(p).isNotNull()).groupBy(*groups, p).agg(F.count(F.lit(1)).alias("n_rows"))
-    dealt = tally.withColumn("_b", _bucket(F.col(p), slices))
-    inside = Window.partitionBy(*groups, "_b").orderBy(p)
+    dealt = tally.select("*", group.alias("_g"), bucket.alias("_b"))
+    key = ["_g", "_b"]
+    inside = Window.partitionBy(*key)
+    whole = Window.partitionBy("_g")
 
-    sizes = dealt.groupBy(*groups, "_b").agg(F.sum("n_rows").alias("_size"))
-    whole = Window.partitionBy(*groups)
+    sizes = dealt.groupBy(*key).agg(F.sum("n_rows").alias("_size"))
+    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *groups,
-        "_b",
-        F.coalesce(
-            F.sum("_size").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_off"),
-        F.sum("_size").over(whole).alias("_m"),
+        *key, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_off"), F.sum("_size").over(whole).alias("_m")
     )
-    ranked = dealt.withColumn("_cum", F.sum("n_rows").over(inside)).join(offsets, [*groups, "_b"])
+    ranked = dealt.withColumn("_cum", F.sum("n_rows").over(inside.orderBy(p).rowsBetween(*_SO_FAR))).join(offsets, key)
     raw = ranked.withColumn("_q", F.col(p) * F.col("_m") / (F.col("_off") + F.col("_cum")))
 
-    lows = raw.groupBy(*groups, "_b").agg(F.min("_q").alias("_low"))
-    later = lows.select(
-        *groups,
-        "_b",
-        F.min("_low").over(whole.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)).alias("_later"),
-    )
-    backwards = Window.partitionBy(*groups, "_b").orderBy(F.desc(p))
+    lows = raw.groupBy(*key).agg(F.min("_q").alias("_low"))
+    after = whole.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    later = lows.select(*key, F.min("_low").over(after).alias("_later"))
     return (
-        raw.withColumn("_own", F.min("_q").over(backwards))
-        .join(later, [*groups, "_b"])
+        raw.withColumn("_own", F.min("_q").over(inside.orderBy(F.desc(p)).rowsBetween(*_SO_FAR)))
+        .join(later, key)
         .select(*groups, p, "n_rows", F.least("_own", "_later", F.lit(1.0)).alias("fdr"))
     )
 
@@ -87,8 +86,11 @@ def volcano(
 ) -> DataFrame:
     """Rows with a large effect and a small adjusted p, plus their ``fdr``."""
     groups = groups or []
-    passing = adjusted_p(df, p, groups, slices).filter(F.col("fdr") <= max_fdr).drop("n_rows")
-    return skew_join(df.filter(F.abs(effect) >= min_effect), passing, [*groups, p], "inner", salts)
+    group = F.struct(*groups) if groups else F.lit(0)
+    passing = adjusted_p(df, p, groups, slices).filter(F.col("fdr") <= max_fdr)
+    keyed = passing.select(group.alias("_g"), p, "fdr")
+    strong = df.filter(F.abs(effect) >= min_effect).withColumn("_g", group)
+    return skew_join(strong, keyed, ["_g", p], "inner", salts).select(*df.columns, "fdr")
 
 
 def top_hits(df: DataFrame, where: Column, effect: str, tie: list[str], k: int) -> DataFrame:

@@ -74,8 +74,7 @@ def run(
     for table in tables_to_load(files):
         mine = files.filter(F.col("table") == table)
         if table == RAW_COUNTS:
-            paths = [r["path"] for r in mine.select("path").collect()]
-            write_raw_counts(read_raw_counts(spark, paths), f"{root}/counts")
+            write_raw_counts(read_raw_counts(spark, data_dir), f"{root}/counts")
             continue
         rows = read_tsv_files(mine, multi_line)
         stats[table] = load_table(rows, table, rules, root, keys, references, on_error, audit, data_dir)

@@ -9,9 +9,9 @@ from helixmart.plans.schemas import TABLES
 from helixmart.queries.base import GENE_ID, query, table
 from helixmart.session import scratch_path
 from helixmart.sinks.merge import read_target
-from helixmart.sources import annotated, envelope
+from helixmart.sources import annotated, envelope, sdrf
 from helixmart.sources.catalog import discover_files
-from helixmart.sources.tsv import read_tsv_files
+from helixmart.sources.tsv import read_attribute_tsv, read_tsv_files
 from helixmart.streaming.ingest import ingest, stream_parquet
 
 
@@ -29,6 +29,74 @@ def tsv_scan(spark, sf_dir):
     return read_tsv_files(discover_files(spark, folder, (".csv",)))
 
 
+def _write_lines(lines, folder, header):
+    """Text lines under a header line, cell separators as they are."""
+    lines.select(lines[0].alias(header)).write.option("header", True).option("sep", "\x01").option("quote", "").option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(folder)
+
+
+@query("""
+SELECT cast(o_orderkey AS string) AS iri, nullif(CASE o_orderstatus WHEN 'P' THEN 'NA' ELSE o_orderpriority END, 'NA') AS label,
+       CASE WHEN o_orderstatus <> 'O' THEN cast(o_custkey AS string) END AS study
+FROM orders WHERE o_orderpriority <> '1-URGENT'
+""")
+def attribute_tsv_scan(spark, sf_dir):
+    # Missing-value texts, short lines (status O) and lines with a cell too many (urgent ones).
+    folder = scratch_path(spark, "attributes")
+    cells = F.concat_ws(
+        "\t",
+        F.col("o_orderkey").cast("string"),
+        F.when(F.col("o_orderstatus") == "P", "NA").otherwise(F.col("o_orderpriority")),
+        F.when((F.col("o_orderstatus") != "O") | (F.col("o_orderpriority") == "1-URGENT"), F.col("o_custkey").cast("string")),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("extra")),
+    )
+    header = "iri\tlabel\tstudy"
+    _write_lines(table(spark, sf_dir, "orders").select(cells), folder, header)
+    return read_attribute_tsv(spark, folder, header)
+
+
+@query("""
+SELECT 'E-1' AS study, 'ERR' || cast(user_id AS string) AS run, min(props) FILTER (event_type = 'click') AS cell_type,
+       min(props) FILTER (event_type = 'view') AS growth,
+       min('iri/' || cast(event_id AS string)) FILTER (event_type = 'click') AS cell_type_iri, cast(NULL AS string) AS growth_iri
+FROM events WHERE value > 5 GROUP BY 2
+""")
+def condensed_sdrf_scan(spark, sf_dir):
+    folder = scratch_path(spark, "sdrf")
+    line = F.concat_ws(
+        "\t",
+        F.lit("E-1"),
+        F.lit(""),
+        F.concat(F.lit("ERR"), F.col("user_id").cast("string")),
+        F.when(F.col("value") > 5, "characteristic").otherwise("factor"),
+        F.when(F.col("event_type") == "click", "cell type").when(F.col("event_type") == "view", "growth condition").otherwise(F.col("event_type")),
+        F.concat(F.lit('"'), F.replace("props", F.lit('"'), F.lit('""')), F.lit('"')),
+        F.when(F.col("event_type") == "click", F.concat(F.lit("iri/"), F.col("event_id").cast("string"))),
+    )
+    table(spark, sf_dir, "events").select(line).write.text(folder)
+    names = {"cell type": "cell_type", "growth condition": "growth"}
+    return sdrf.characteristics_wide(sdrf.read_condensed(spark, folder), names)
+
+
+@query("""
+SELECT 'G' || cast(l_partkey AS string) AS gene_id, p_name AS gene_name, 'run_' || lower(l_returnflag) AS run,
+       cast(sum(l_quantity) AS BIGINT) AS count
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3
+""")
+def wide_counts_scan(spark, sf_dir):
+    runs = {"A": "run_a", "N": "run_n", "R": "run_r"}
+    sums = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
+        *[F.sum(F.when(F.col("l_returnflag") == k, F.col("l_quantity"))).cast("bigint").alias(n) for k, n in runs.items()]
+    )
+    wide = table(spark, sf_dir, "part").join(sums, F.col("p_partkey") == F.col("l_partkey")).select(
+        F.concat(F.lit("G"), F.col("l_partkey").cast("string")).alias("Gene ID"), F.col("p_name").alias("Gene Name"), *runs.values()
+    )
+    folder = scratch_path(spark, "wide")
+    wide.write.option("sep", "\t").option("header", True).csv(folder)
+    return sdrf.read_wide_counts(spark, folder, "\t".join(wide.columns)).filter("count is not null")
+
+
 @query("""
 SELECT 'E-' || cast(c_custkey AS string) AS iri, c_name AS title, cast(NULL AS string) AS source_repo, cast(NULL AS DATE) AS publication_date,
        cast(NULL AS string) AS study_type, cast(c_nationkey AS INTEGER) AS num_samples, cast(NULL AS string) AS contact_email

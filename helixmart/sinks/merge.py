@@ -86,16 +86,33 @@ def _counted_write(df: DataFrame, path: str, mode: str, rows_per_file: int | Non
     return seen.get["rows"]
 
 
+def within_key_range(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """Target rows whose ``key`` lies between the incoming rows' smallest and largest one.
+
+    The bounds become literals of a pushed-down filter, so Parquet statistics skip the files
+    and row groups a small, recent batch cannot collide with.
+    """
+    bounds = incoming.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    return target.filter(F.col(key).between(F.lit(bounds["lo"]), F.lit(bounds["hi"])))
+
+
 def insert_ignore(
     incoming: DataFrame,
     path: str,
     keys: list[str],
     order_by: list[str] | None = None,
     rows_per_file: int | None = None,
+    prune_target: bool = False,
 ) -> int:
-    """Append rows with new keys; returns how many were inserted."""
+    """Append rows with new keys; returns how many were inserted.
+
+    ``prune_target`` reads the incoming rows once more to narrow the target scan: worth it for
+    small batches of ascending keys, not for bulk loads.
+    """
     spark = incoming.sparkSession
     target = read_target(spark, path, incoming.schema)
+    if prune_target:
+        target = within_key_range(target, incoming, keys[0])
     return _counted_write(new_rows(incoming, target, keys, order_by), path, "append", rows_per_file)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,8 @@ def _read_first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
     def first_line(path: str) -> str:
         if path.startswith("file:"):
             path = "/" + path[len("file:"):].lstrip("/")
+        else:
+            path = quote(path, safe=":/@")
         filesystem, inner = fs.FileSystem.from_uri(path)
         with filesystem.open_input_stream(inner) as raw:
             return io.TextIOWrapper(raw, encoding="utf8", newline="").readline().rstrip("\r\n")
@@ -93,10 +96,15 @@ def sample_of_file(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, r"\.tsv\z", ""), "_raw_counts", "")
 
 
-def read_raw_counts(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """``(sample_id, gene_iri, count)`` from ``<sample>_raw_counts.tsv`` files."""
-    df = _options(spark.read.schema("gene_iri string, count string"), False).option("enforceSchema", False).csv(paths)
-    return df.select(
+def read_raw_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """``(sample_id, gene_iri, count)`` from all ``<sample>_raw_counts.tsv`` files below ``folder``."""
+    reader = (
+        _options(spark.read.schema("gene_iri string, count string"), False)
+        .option("enforceSchema", False)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*_raw_counts.tsv")
+    )
+    return reader.csv(folder).select(
         sample_of_file(F.col("_metadata.file_name")).alias("sample_id"),
         "gene_iri",
         F.col("count").cast("bigint").alias("count"),
@@ -136,7 +144,8 @@ def with_line_index(df: DataFrame, out: str = "index") -> DataFrame:
     blocks = placed.groupBy("_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    joined = placed.join(offsets, "_block")
+    # One row per block of the file: bounded by file size / split size, so safe to broadcast.
+    joined = placed.join(F.broadcast(offsets), "_block")
     return joined.select(*df.columns, (F.col("_off") + F.col("_at") - F.col("_first") + 1).alias(out))
 
 

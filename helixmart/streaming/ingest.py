@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -66,7 +67,12 @@ def ingest(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rows = align(harmonize(batch, table, rules, references), schema or TABLES[table])
-        inserted = insert_ignore(rows, path, keys or KEYS[table])
+        # A batch is small beside the table: keep it while its key range is looked up first.
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            inserted = insert_ignore(rows, path, keys or KEYS[table], prune_target=True)
+        finally:
+            rows.unpersist()
         if on_inserted:
             on_inserted(batch_id, inserted)
 
