@@ -70,8 +70,7 @@ def _empty_json() -> Column:
 def gene(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
     accession = ids.strip_version(F.col(key))
     a, b = F.col("_a"), F.col("_b")
-    df = attach(df, refs.get("a"), GENE_A, accession, "_a", salts)
-    df = attach(df, refs.get("b"), GENE_B, accession, "_b", salts)
+    df = attach(df, accession, [(refs.get("a"), GENE_A, "_a"), (refs.get("b"), GENE_B, "_b")], salts)
     name = (
         F.when(a.isNotNull(), first_filled(a["symbol"], a["name"], accession))
         .when(b.isNotNull(), first_filled(b["display_name"], accession))
@@ -94,8 +93,8 @@ def stimulus(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None =
     iri = ids.canonical_iri(F.col(key))
     label = ids.last_segment(iri)
     a, b = F.col("_a"), F.col("_b")
-    df = attach(df, refs.get("a"), STIMULUS_A, ids.chebi_number(iri), "_a", salts)
-    df = attach(df, refs.get("b"), STIMULUS_B, iri, "_b", salts)
+    df = attach(df, ids.chebi_number(iri), [(refs.get("a"), STIMULUS_A, "_a")], salts)
+    df = attach(df, iri, [(refs.get("b"), STIMULUS_B, "_b")], salts)
     known = a["ascii_name"].isNotNull()
     row = _pack(
         iri=iri,
@@ -113,7 +112,7 @@ def stimulus(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None =
 def microbe(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
     taxon = F.col(key).cast("int")
     a = F.col("_a")
-    df = attach(df, refs.get("a"), MICROBE_A, taxon, "_a", salts)
+    df = attach(df, taxon, [(refs.get("a"), MICROBE_A, "_a")], salts)
     text = taxon.cast("string")
     row = _pack(
         taxon_id=taxon,
@@ -131,7 +130,7 @@ def microbe(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = N
 def taxon(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
     number = F.col(key).cast("int")
     a = F.col("_a")
-    df = attach(df, refs.get("a"), TAXON_A, number, "_a", salts)
+    df = attach(df, number, [(refs.get("a"), TAXON_A, "_a")], salts)
     row = _pack(
         iri=F.concat(F.lit("NCBITaxon_"), number.cast("string")),
         kingdom=F.coalesce(a["division"], F.lit(DEFAULT_KINGDOM)),
@@ -147,7 +146,7 @@ def taxon(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = Non
 def ontology_term(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
     iri = F.col(key)
     a = F.col("_a")
-    df = attach(df, refs.get("a"), TERM_A, iri, "_a", salts)
+    df = attach(df, iri, [(refs.get("a"), TERM_A, "_a")], salts)
     found = a.isNotNull()
     row = _pack(
         iri=iri,
@@ -167,8 +166,8 @@ def ontology_term(df: DataFrame, key: str, out: str, refs: dict, as_of: str | No
 def study(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
     acc = ids.study_accession(F.col(key))
     a, b = F.col("_a"), F.col("_b")
-    df = attach(df, refs.get("a"), STUDY_A, F.when(acc.startswith("E-MTAB"), acc), "_a", salts)
-    df = attach(df, refs.get("b"), STUDY_B, F.when(acc.startswith("GSE"), acc), "_b", salts)
+    df = attach(df, F.when(acc.startswith("E-MTAB"), acc), [(refs.get("a"), STUDY_A, "_a")], salts)
+    df = attach(df, F.when(acc.startswith("GSE"), acc), [(refs.get("b"), STUDY_B, "_b")], salts)
     in_a = a.isNotNull()
     in_b = first_filled(b["title"]).isNotNull()
     today = F.lit(as_of) if as_of else F.date_format(F.current_date(), "yyyy-MM-dd")
@@ -193,7 +192,7 @@ def study(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = Non
 def sample(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
     sid = F.col(key)
     a = F.col("_a")
-    df = attach(df, refs.get("a"), SAMPLE_A, sid, "_a", salts)
+    df = attach(df, sid, [(refs.get("a"), SAMPLE_A, "_a")], salts)
     today = F.lit(as_of) if as_of else F.date_format(F.current_date(), "yyyy-MM-dd")
     filled = {name: F.coalesce(a[name], F.lit(value)) for name, value in SAMPLE_DEFAULTS.items()}
     row = _pack(
@@ -213,8 +212,8 @@ def sample(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = No
 def term_name(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
     """Label by CURIE from ``a``, then by IRI from ``b``; NULL for ids of unknown ontologies."""
     term = ids.ontology_id(F.col(key))
-    df = attach(df, refs.get("a"), "curie string, label string", term["curie"], "_a", salts)
-    df = attach(df, refs.get("b"), "iri string, label string", term["iri"], "_b", salts)
+    df = attach(df, term["curie"], [(refs.get("a"), "curie string, label string", "_a")], salts)
+    df = attach(df, term["iri"], [(refs.get("b"), "iri string, label string", "_b")], salts)
     return df.withColumn(out, first_filled(F.col("_a")["label"], F.col("_b")["label"])).drop("_a", "_b")
 
 
@@ -222,8 +221,8 @@ def chemical_class(df: DataFrame, key: str, out: str, refs: dict, as_of: str | N
     """First class by CURIE from ``a``, else the compound name by number from ``b``."""
     curie = ids.ontology_id(F.col(key))["curie"]
     number = F.when(F.col(key).contains(":"), F.substr(F.col(key), F.instr(F.col(key), ":") + 1))
-    df = attach(df, refs.get("a"), "curie string, chebi_class array<string>", curie, "_a", salts)
-    df = attach(df, refs.get("b"), "chebi_id string, ascii_name string", number, "_b", salts)
+    df = attach(df, curie, [(refs.get("a"), "curie string, chebi_class array<string>", "_a")], salts)
+    df = attach(df, number, [(refs.get("b"), "chebi_id string, ascii_name string", "_b")], salts)
     first_class = F.get(F.col("_a")["chebi_class"], F.lit(0))
     return df.withColumn(out, F.coalesce(first_class, F.trim(F.col("_b")["ascii_name"]))).drop("_a", "_b")
 
@@ -232,8 +231,8 @@ def taxon_rank(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None
     """Rank by CURIE from ``a``; taxa only: else by taxon number from ``b``."""
     term = ids.ontology_id(F.col(key))
     number = F.when(term["prefix"] == "NCBITaxon", F.substring_index(term["curie"], ":", -1))
-    df = attach(df, refs.get("a"), "curie string, rank string", term["curie"], "_a", salts)
-    df = attach(df, refs.get("b"), "taxon_id string, rank string", number, "_b", salts)
+    df = attach(df, term["curie"], [(refs.get("a"), "curie string, rank string", "_a")], salts)
+    df = attach(df, number, [(refs.get("b"), "taxon_id string, rank string", "_b")], salts)
     return df.withColumn(out, F.coalesce(first_filled(F.col("_a")["rank"]), F.col("_b")["rank"])).drop("_a", "_b")
 
 

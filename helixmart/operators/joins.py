@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
@@ -64,28 +64,31 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left
 
 def attach(
     df: DataFrame,
-    reference: DataFrame | None,
-    schema: str,
-    key,
-    out: str,
+    key: Column,
+    references: list[tuple[DataFrame | None, str, str]],
     salts: int = 0,
 ) -> DataFrame:
-    """Left join ``reference`` as one struct column ``out``; NULL without a match.
+    """Left join reference tables, each as one struct column that is NULL without a match.
 
-    ``schema`` lists the fields to take; its first one is the reference's key, compared with
-    the column expression ``key``. The reference is reduced to one row per key, as a lookup
-    gives one answer; fields it lacks are NULL, and no reference at all means no match.
+    ``references`` lists ``(table, schema, column)``. A schema names the fields to take, the
+    first of which is compared with ``key``; fields a table lacks are NULL, and no table at all
+    means no match. Tables are reduced to one row per key, as a lookup gives one answer. They
+    share the key column, so several large tables cost one shuffle of ``df``.
     """
-    fields = StructType.fromDDL(schema)
-    if reference is None:
-        return df.withColumn(out, F.lit(None).cast(fields))
-    have = set(reference.columns)
-    taken = reference.select(
-        *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
-    )
-    head = fields[0]
-    packed = keep_one(taken, [head.name], null_keys=False).select(
-        F.col(head.name).alias("_k"), F.struct(*taken.columns).alias(out)
-    )
-    keyed = df.withColumn("_k", key.cast(head.dataType))
-    return skew_join(keyed, packed, ["_k"], "left", salts).drop("_k")
+    present = [(t, StructType.fromDDL(schema), out) for t, schema, out in references if t is not None]
+    if present:
+        kind = present[0][1][0].dataType
+        df = df.withColumn("_k", key.cast(kind))
+    for reference, fields, out in present:
+        have = set(reference.columns)
+        taken = reference.select(
+            *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+        )
+        head = fields[0].name
+        packed = keep_one(taken, [head], null_keys=False).select(
+            F.col(head).alias("_k"), F.struct(*taken.columns).alias(out)
+        )
+        df = skew_join(df, packed, ["_k"], "left", salts)
+    df = df.drop("_k")
+    missing = {out: F.lit(None).cast(StructType.fromDDL(schema)) for t, schema, out in references if t is None}
+    return df.withColumns(missing) if missing else df

@@ -36,23 +36,24 @@ def label_coordinates(
     )
 
 
-def csr_to_coordinates(data: DataFrame, indptr: DataFrame, width: int = 65536) -> DataFrame:
+def csr_to_coordinates(data: DataFrame, indptr: DataFrame, width: int = 64) -> DataFrame:
     """``data(pos, col, value)`` and ``indptr(row, start, end)`` -> ``(row, col, value)``.
 
     Row spans are cut at multiples of ``width`` positions, so the range condition becomes an
-    equi join on the position block followed by a filter inside the block.
+    equi join on the block of positions and a filter. The rows of a sparse matrix do not
+    overlap: a block meets at most ``width`` spans, whatever the row lengths, and a row that
+    holds a third of all entries is spread over its many blocks.
     """
+
+    def block(pos: Column) -> Column:
+        return F.floor(pos / width).cast("bigint")
+
     spans = indptr.filter(F.col("end") > F.col("start")).withColumn(
-        "_block",
-        F.explode(
-            F.sequence(
-                F.floor(F.col("start") / width).cast("bigint"), F.floor((F.col("end") - 1) / width).cast("bigint")
-            )
-        ),
+        "_block", F.explode(F.sequence(block(F.col("start")), block(F.col("end") - 1)))
     )
-    blocked = data.withColumn("_block", F.floor(F.col("pos") / width).cast("bigint"))
     return (
-        blocked.join(spans, "_block")
+        data.withColumn("_block", block(F.col("pos")))
+        .join(spans, "_block")
         .filter((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("end")))
         .select("row", "col", "value")
     )

@@ -142,15 +142,13 @@ def profile_similarity(
 def flows(links: DataFrame, steps: list[tuple[DataFrame, list[str]]], path: list[str], salts: int = 0) -> DataFrame:
     """Counts per distinct path through link tables (microbe -> metabolite -> cell type).
 
-    Each step joins ``(table, keys)``. Link rows carry a count, and after every join the rows
-    are counted again without the keys no later step needs, so they shrink on the way.
+    Each step joins ``(table, keys)``. The one shuffle of the count carries partial counts, so
+    its size follows the number of distinct paths, not of links.
     """
-    out = links.withColumn("n_links", F.lit(1).cast("bigint"))
-    for i, (table, keys) in enumerate(steps):
+    out = links
+    for table, keys in steps:
         out = skew_join(out, table, keys, "inner", salts)
-        needed = {k for _, later in steps[i + 1 :] for k in later} | set(path)
-        out = out.groupBy(*[c for c in out.columns if c in needed]).agg(F.sum("n_links").alias("n_links"))
-    return out
+    return out.groupBy(*path).agg(F.count(F.lit(1)).alias("n_links"))
 
 
 def edges(paths: DataFrame, source: str, target: str) -> DataFrame:

@@ -17,14 +17,19 @@ _SLUG = (
 )
 
 
+def _marked(spark, sf_dir):
+    # A projection of its own, so that the derived text is made once per row.
+    return table(spark, sf_dir, "documents").select("doc_id", F.expr(_MARKED).alias("marked"))
+
+
 @query(f"SELECT doc_id, {_TIDY.format(_MARKED)} AS tidy FROM documents")
 def tidy_punct(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.tidy_punct(F.expr(_MARKED)).alias("tidy"))
+    return _marked(spark, sf_dir).select("doc_id", text.tidy_punct(F.col("marked")).alias("tidy"))
 
 
 @query(f"SELECT doc_id, {_SLUG.format(_MARKED)} AS slug FROM documents")
 def ascii_slug(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.ascii_slug(F.expr(_MARKED)).alias("slug"))
+    return _marked(spark, sf_dir).select("doc_id", text.ascii_slug(F.col("marked")).alias("slug"))
 
 
 @query(f"""
@@ -33,7 +38,7 @@ SELECT doc_id, nullif(lower(trim(regexp_replace(strip_accents({_SLUG.format(_TID
 FROM documents
 """)
 def lowercase_ascii(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.lowercase_ascii(F.expr(_MARKED)).alias("plain"))
+    return _marked(spark, sf_dir).select("doc_id", text.lowercase_ascii(F.col("marked")).alias("plain"))
 
 
 @query(f"""
@@ -162,12 +167,10 @@ WITH v AS (SELECT string_split(split_part({_ES}, ':', 2), ',') AS f FROM lineite
 SELECT f[1] AS sample_id, split_part(f[2], '.', 1) AS gene_accession, cast(f[3] AS DOUBLE) AS log2_fc,
        cast(f[4] AS DOUBLE) AS p_value, cast(f[5] AS DOUBLE) AS base_mean, cast(f[6] AS BIGINT) AS raw_count,
        f[7] AS significance
-FROM v WHERE len(f) >= 7
+FROM v
 """)
 def parse_expr_stat(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select(records.expression_stat(F.expr(_ES)).alias("r")).filter(
-        "r is not null"
-    ).select("r.*")
+    return table(spark, sf_dir, "lineitem").select(records.expression_stat(F.expr(_ES)).alias("r")).select("r.*")
 
 
 _KIND_ID = (

@@ -93,8 +93,8 @@ def is_raw_like(name: Column) -> Column:
 
 def route_files(files: DataFrame, mode: str = "all", name: str = "name") -> DataFrame:
     """Add ``table`` and ``priority`` to the files of a mode."""
-    table = table_of(F.col(name))
-    return files.filter(in_mode(F.col(name), mode)).withColumn("table", table).withColumn("priority", priority_of(table))
+    routed = files.filter(in_mode(F.col(name), mode)).withColumn("table", table_of(F.col(name)))
+    return routed.withColumn("priority", priority_of(F.col("table")))
 
 
 def in_load_order(files: DataFrame, path: str = "path") -> DataFrame:

@@ -137,7 +137,7 @@ def test_salted_join_equals_plain_join(spark):
 def test_attach_takes_one_row_per_key(spark):
     df = spark.createDataFrame([(1,), (None,)], "k int")
     ref = spark.createDataFrame([("1", "b"), ("1", "a"), (None, "z")], "id string, v string")
-    got = attach(df, ref, "id string, v string, absent int", F.col("k"), "m")
+    got = attach(df, F.col("k"), [(ref, "id string, v string, absent int", "m")])
     assert sorted(((r["k"], r["m"] and tuple(r["m"])) for r in got.collect()), key=repr) == sorted([(1, ("1", "a", None)), (None, None)], key=repr)
 
 
