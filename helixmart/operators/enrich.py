@@ -68,8 +68,8 @@ def _empty_json() -> Column:
 
 
 def gene(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
-    accession = ids.strip_version(F.col(key))
-    a, b = F.col("_a"), F.col("_b")
+    df = df.withColumn("_id", ids.strip_version(F.col(key)))
+    accession, a, b = F.col("_id"), F.col("_a"), F.col("_b")
     df = attach(df, accession, [(refs.get("a"), GENE_A, "_a"), (refs.get("b"), GENE_B, "_b")], salts)
     name = (
         F.when(a.isNotNull(), first_filled(a["symbol"], a["name"], accession))
@@ -86,13 +86,13 @@ def gene(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None
         pathway_iri=_empty_json(),
         go_terms=F.coalesce(F.to_json(a["go_bp"]), _empty_json()),
     )
-    return df.withColumn(out, F.when(F.col(key).isNotNull(), row)).drop("_a", "_b")
+    return df.withColumn(out, F.when(F.col(key).isNotNull(), row)).drop("_id", "_a", "_b")
 
 
 def stimulus(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
-    iri = ids.canonical_iri(F.col(key))
+    df = df.withColumn("_id", ids.canonical_iri(F.col(key)))
+    iri, a, b = F.col("_id"), F.col("_a"), F.col("_b")
     label = ids.last_segment(iri)
-    a, b = F.col("_a"), F.col("_b")
     df = attach(df, ids.chebi_number(iri), [(refs.get("a"), STIMULUS_A, "_a")], salts)
     df = attach(df, iri, [(refs.get("b"), STIMULUS_B, "_b")], salts)
     known = a["ascii_name"].isNotNull()
@@ -106,7 +106,7 @@ def stimulus(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None =
         default_dose=F.lit(DEFAULT_DOSE),
         dose_unit=F.lit(DEFAULT_DOSE_UNIT),
     )
-    return df.withColumn(out, F.when(F.col(key).isNotNull(), row)).drop("_a", "_b")
+    return df.withColumn(out, F.when(F.col(key).isNotNull(), row)).drop("_id", "_a", "_b")
 
 
 def microbe(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
@@ -164,8 +164,8 @@ def ontology_term(df: DataFrame, key: str, out: str, refs: dict, as_of: str | No
 
 
 def study(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
-    acc = ids.study_accession(F.col(key))
-    a, b = F.col("_a"), F.col("_b")
+    df = df.withColumn("_id", ids.study_accession(F.col(key)))
+    acc, a, b = F.col("_id"), F.col("_a"), F.col("_b")
     df = attach(df, F.when(acc.startswith("E-MTAB"), acc), [(refs.get("a"), STUDY_A, "_a")], salts)
     df = attach(df, F.when(acc.startswith("GSE"), acc), [(refs.get("b"), STUDY_B, "_b")], salts)
     in_a = a.isNotNull()
@@ -186,7 +186,7 @@ def study(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = Non
         num_samples=pick(F.coalesce(a["samples"], F.lit(0)), F.lit(0), F.lit(None).cast("int")),
         contact_email=pick(F.lit(""), F.lit(""), F.concat(F.lower(acc), F.lit("@example.org"))),
     )
-    return df.withColumn(out, F.when(F.col(key).isNotNull(), row)).drop("_a", "_b")
+    return df.withColumn(out, F.when(F.col(key).isNotNull(), row)).drop("_id", "_a", "_b")
 
 
 def sample(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
@@ -211,10 +211,11 @@ def sample(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = No
 
 def term_name(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
     """Label by CURIE from ``a``, then by IRI from ``b``; NULL for ids of unknown ontologies."""
-    term = ids.ontology_id(F.col(key))
+    df = df.withColumn("_id", ids.ontology_id(F.col(key)))
+    term = F.col("_id")
     df = attach(df, term["curie"], [(refs.get("a"), "curie string, label string", "_a")], salts)
     df = attach(df, term["iri"], [(refs.get("b"), "iri string, label string", "_b")], salts)
-    return df.withColumn(out, first_filled(F.col("_a")["label"], F.col("_b")["label"])).drop("_a", "_b")
+    return df.withColumn(out, first_filled(F.col("_a")["label"], F.col("_b")["label"])).drop("_id", "_a", "_b")
 
 
 def chemical_class(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
@@ -229,11 +230,12 @@ def chemical_class(df: DataFrame, key: str, out: str, refs: dict, as_of: str | N
 
 def taxon_rank(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
     """Rank by CURIE from ``a``; taxa only: else by taxon number from ``b``."""
-    term = ids.ontology_id(F.col(key))
+    df = df.withColumn("_id", ids.ontology_id(F.col(key)))
+    term = F.col("_id")
     number = F.when(term["prefix"] == "NCBITaxon", F.substring_index(term["curie"], ":", -1))
     df = attach(df, term["curie"], [(refs.get("a"), "curie string, rank string", "_a")], salts)
     df = attach(df, number, [(refs.get("b"), "taxon_id string, rank string", "_b")], salts)
-    return df.withColumn(out, F.coalesce(first_filled(F.col("_a")["rank"]), F.col("_b")["rank"])).drop("_a", "_b")
+    return df.withColumn(out, F.coalesce(first_filled(F.col("_a")["rank"]), F.col("_b")["rank"])).drop("_id", "_a", "_b")
 
 
 ENRICHMENTS = {

@@ -70,9 +70,8 @@ def enrich_stimulus(spark, sf_dir):
     )
     from helixmart.functions.ids import canonical_iri
 
-    b = supplier.filter("s_acctbal > 2000").select(
-        canonical_iri(F.expr(STIMULUS_ID)).alias("iri"), F.lower("s_name").alias("label")
-    )
+    named = supplier.filter("s_acctbal > 2000").select(F.expr(STIMULUS_ID).alias("id"), F.lower("s_name").alias("label"))
+    b = named.select(canonical_iri(F.col("id")).alias("iri"), "label")
     return _expand(enrich.stimulus(rows, "id", "m", {"a": a, "b": b}), "m", ["s_suppkey"])
 
 

@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Recording a call site for every column operation doubles the time to build wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
