@@ -111,7 +111,7 @@ def read_raw_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def read_attribute_tsv(spark: SparkSession, path: str, header: str) -> DataFrame:
+def read_attribute_tsv(spark: SparkSession, path: str | list[str], header: str) -> DataFrame:
     """First-generation reader: missing-value texts are NULL, lines with too many cells skipped,
     short lines padded."""
     schema, keep = header_schema(header)
