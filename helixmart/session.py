@@ -18,6 +18,9 @@ RUNTIME_CONF = {
 }
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def build_session(app: str = "helixmart", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -40,9 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="helixmart-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="helixmart-")
+    return _LOCAL_FALLBACK[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -215,3 +215,34 @@ def test_legacy_lookup_items(spark):
     names = spark.createDataFrame([("CL:1", "astrocyte")], "curie string, label string")
     got = harmonize_items(items, spec, references={"term_name": {"a": names}})
     assert bag(got) == [("OntologyTerms", "label", "astrocyte"), ("OntologyTerms", "label", None), ("OntologyTerms", "label", None)]
+
+
+OBO = "http://purl.obolibrary.org/obo/"
+
+
+@pytest.mark.parametrize(
+    "table,chain,cell,expected",
+    [
+        ("Stimuli", ["canonical_iri", "fetch_stimulus_metadata"], "CHEBI:17968",
+         {"iri": OBO + "CHEBI_17968", "label": "CHEBI_17968", "class_hint": "", "default_dose": 1.0, "dose_unit": "mM", "molecular_weight": None}),
+        ("Microbes", ["fetch_from_ncbi_taxon", "fetch_microbe_metadata"], "NCBITaxon:818",
+         {"taxon_iri": "NCBITaxon_818", "strain_name": "Strain_818", "genome_size_bp": None}),
+        ("Taxa", ["fetch_taxon_numeric_id", "fetch_taxon_metadata"], "NCBITaxon:9606",
+         {"iri": "NCBITaxon_9606", "kingdom": "Bacteria", "ranking": "species", "habitat": "intestine"}),
+        ("OntologyTerms", ["fetch_ontology_term_metadata"], OBO + "CL_0000127",
+         {"iri": OBO + "CL_0000127", "label": "CL_0000127", "ontology": "CL", "synonyms": "[]", "onto_version": "2025-06"}),
+        ("Studies", ["normalize_study_accession", "fetch_study_metadata"], " gse12 ",
+         {"iri": "GSE12", "title": "Synthetic study GSE12", "source_repo": "LOCAL", "contact_email": "gse12@example.org"}),
+        ("Samples", ["extract_sample_id", "fetch_sample_metadata"], "SAMPAAAA1111",
+         {"iri": "SAMPAAAA1111", "study_iri": "LOCAL-STUDY", "tissue_iri": "UBERON_0000955", "raw_counts_uri": "s3://bucket/SAMPAAAA1111.zarr", "replicate_number": 1}),
+    ],
+)
+def test_default_metadata_reaches_the_target_table(spark, table, chain, cell, expected):
+    from helixmart.plans.schemas import TABLES
+
+    rules = load_rules(mapping(r=rule(table, "iri", chain, r"(?!other).*")))
+    df = spark.createDataFrame([(cell, 1), ("other", 2)], "cell string, n int")
+    shaped = harmonize(df, table, rules, as_of="2025-06-30")
+    got = align(shaped.filter("n = 1"), TABLES[table]).first().asDict()
+    assert {k: got[k] for k in expected} == expected
+    assert set(align(shaped.filter("n = 2"), TABLES[table]).first()) == {None}
