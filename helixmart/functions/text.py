@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+# The Arrow helpers travel to the executors by value: workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # --- fixed values -----------------------------------------------------------------------
 # White space as Unicode text defines it (Java's \s and trim() know ASCII blanks only).
 WHITESPACE = (

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator
 from urllib.parse import quote
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from helixmart.operators.align import union_by_name
 
+# The header reader travels to the executors by value: workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # --- fixed values -----------------------------------------------------------------------
 # Texts the attribute reader takes for missing values.
 MISSING_TOKENS = [
