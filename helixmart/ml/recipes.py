@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixmart.session import scratch_path
+
 
 def significance_model(
     df: DataFrame, categories: list[str], numbers: list[str], label: str, seed: int = 42, trees: int = 20,
@@ -16,9 +18,12 @@ def significance_model(
 ) -> PipelineModel:
     """Random forest on microbe-stimulus pairs.
 
-    Ids are hashed to a fixed width, so the model does not grow with the vocabularies.
+    Ids are hashed to a fixed width, so the model does not grow with the vocabularies. The fitted
+    model is stored and loaded again: a fresh training summary holds on to the session, which
+    cannot be sent to tasks once the session has observed a write.
     """
-    return Pipeline(
+    path = scratch_path(df.sparkSession, "significance-model")
+    fitted = Pipeline(
         stages=[
             StringIndexer(inputCol=label, outputCol="_label", handleInvalid="skip", stringOrderType="alphabetAsc"),
             FeatureHasher(inputCols=[*categories, *numbers], outputCol="_features", numFeatures=width),
@@ -27,6 +32,8 @@ def significance_model(
             ),
         ]
     ).fit(df)
+    fitted.write().save(path)
+    return PipelineModel.load(path)
 
 
 def predict(model: PipelineModel, df: DataFrame, keys: list[str]) -> DataFrame:

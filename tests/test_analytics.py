@@ -131,7 +131,11 @@ def test_seeded_sample_is_stable(spark):
     assert a != sampling.seeded_sample(df, ["id"], 43).collect()
 
 
-def test_recipes(spark):
+def test_recipes(spark, tmp_path):
+    from helixmart.sinks.merge import insert_ignore
+
+    # A counted write leaves an observer in the session; models must still score afterwards.
+    insert_ignore(spark.createDataFrame([(1,)], "k int"), str(tmp_path / "t"), ["k"])
     rows = spark.createDataFrame([(i, f"m{i % 3}", f"s{i % 2}", float(i % 7), "High" if i % 3 == 0 else "Low") for i in range(120)], "id int, m string, s string, x double, y string")
     model = recipes.significance_model(rows, ["m", "s"], ["x"], "y", trees=5, width=32)
     scored = recipes.predict(model, rows, ["id", "y"]).collect()
