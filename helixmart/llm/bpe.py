@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # White space as the tokenizer's patterns know it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
@@ -212,7 +213,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
     kept = [c for c in (keep or []) if c != id_col]
     source = docs.select(F.col(id_col).alias(id_col), *kept, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    schema = source.drop("_text").schema.add("ids", "array<int>")
+    schema = T.StructType([*source.drop("_text").schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
@@ -233,7 +234,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
 
     NULL ids decode to the empty text. Special tokens are kept.
     """
-    schema = encoded.schema.add(out, "string")
+    schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())])
     place = encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
