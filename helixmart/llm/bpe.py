@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from helixmart.llm.common import ship
+
 # White space as the tokenizer's patterns know it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
 # Control characters that str.split takes for white space and the tokenizer does not.
@@ -211,6 +213,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     NULL and empty texts, and texts of white space only, have no ids; repeated rows and ids stay rows;
     an empty table gives none. Memory follows the longest text of a batch.
     """
+    ship(docs.sparkSession)
     kept = [c for c in (keep or []) if c != id_col]
     source = docs.select(F.col(id_col).alias(id_col), *kept, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     schema = T.StructType([*source.drop("_text").schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -234,6 +237,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
 
     NULL ids decode to the empty text. Special tokens are kept.
     """
+    ship(encoded.sparkSession)
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())])
     place = encoded.columns.index(ids_col)
 

@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixmart.session import scratch_path
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once in an application, so that functions sent to tasks find their modules."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="helixmart-")) / "helixmart_package.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(target))
+        _SHIPPED.add(context.applicationId)
+
 
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cuts lineage, and survives lost executors."""
