@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixmart.llm import bpe, sharding, topk, warc
+from helixmart.llm import bpe, decontaminate, sharding, topk, warc
 from helixmart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def word_bpe_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
