@@ -32,15 +32,19 @@ def spaced(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s ]+", " "))
 
 
-def template(words: Column) -> Column:
-    """Canonical form of ``spaced`` text, word for word: placeholders for numbers, their units and names; the rest
-    in lower case without punctuation."""
+def template(df: DataFrame, words: str) -> DataFrame:
+    """Add ``template``, the canonical form of the ``spaced`` text in column ``words``, word for word.
+
+    Placeholders stand for numbers, their units and names; the rest is in lower case without punctuation.
+    """
     # A name is a word with a capital that does not start a sentence.
     named = F.regexp_replace(words, r"(?<=[\p{L}\p{N},;] )\p{Lu}[\p{L}\p{M}'’-]*", NAME)
-    counted = F.regexp_replace(named, r"(?<![^ ])[^\p{L} ]*\p{N}[^\p{L} ]*(?![^ ])", NUMBER)
+    counted = F.regexp_replace("_named", r"(?<![^ ])[^\p{L} ]*\p{N}[^\p{L} ]*(?![^ ])", NUMBER)
     attached = F.regexp_replace(counted, r"(?<![^ ])[^\p{L}⟨ ]*\p{N}[^\p{L} ]*(?:" + "|".join(UNITS) + r")[^\p{L} ]*(?![^ ])", NUMBER)
     united = F.regexp_replace(attached, rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?=[^\p{{L}}]|$)", UNIT)
-    return F.regexp_replace(F.lower(united), r"[^\p{L}\p{M}\p{N}⟨⟩ ]+", "")
+    # Texts without a digit skip the number patterns. Columns of their own keep each step from being computed twice.
+    marked = df.withColumn("_named", named).withColumn("_marked", F.when(F.col("_named").rlike(r"\p{N}"), united).otherwise(F.col("_named")))
+    return marked.withColumn("template", F.regexp_replace(F.lower("_marked"), r"[^\p{L}\p{M}\p{N}⟨⟩ ]+", "")).drop("_named", "_marked")
 
 
 def windows(df: DataFrame, length: int, keep: list[str]) -> DataFrame:
@@ -57,7 +61,7 @@ def windows(df: DataFrame, length: int, keep: list[str]) -> DataFrame:
 def _read(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
     words = spaced(F.col(text_col))
     split = df.select(F.col(id_col).alias(name), F.xxhash64(F.col(text_col)).alias(f"{name}_text"), words.alias("w"))
-    return split.select(name, f"{name}_text", F.split("w", " ").alias("words"), F.split(template(F.col("w")), " ").alias("canon"))
+    return template(split, "w").select(name, f"{name}_text", F.split("w", " ").alias("words"), F.split("template", " ").alias("canon"))
 
 
 def contaminated(
