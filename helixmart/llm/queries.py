@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixmart.llm import bpe, decontaminate, sharding, topk, warc
+from helixmart.llm import bpe, decontaminate, jaccard, sharding, topk, warc
 from helixmart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op5_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.replay(spark, path)
 
 
+@query
+def op6_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = word_bpe_file()
