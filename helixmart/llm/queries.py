@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixmart.llm import bpe, decontaminate, jaccard, sharding, topk, warc
+from helixmart.llm import bpe, decontaminate, jaccard, langid, sharding, topk, warc
 from helixmart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,11 @@ def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_held_out(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
