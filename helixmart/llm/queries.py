@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixmart.llm import bpe, decontaminate, jaccard, langid, sharding, suffixes, topk, toxicity, warc
+from helixmart.llm import bpe, decontaminate, jaccard, langid, pages, sharding, suffixes, topk, toxicity, warc
 from helixmart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,12 @@ def op3_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_boosted_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op5_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
