@@ -3,9 +3,10 @@
 Jaccard distance is a metric, but nearly all pairs of documents are at distance 1, where a pivot chosen at
 random separates nothing. Regions are therefore opened where sets can be close at all: a band of set sizes
 and a part of the shingle universe in which two sets agree entirely. With one part more than two linked sets
-can have differences, every linked pair shares a region. Inside regions the metric works: the pivot takes in
-everything within the link distance, and whatever has not met its class goes on to another pivot, against
-partners inside the triangle-inequality window only.
+can have differences, every linked pair shares a region. Inside a region the metric works: the pivot takes in
+everything within the link distance. What lies further out is known by its differences from the pivot, whose
+number is the distance to it; two sets are as far apart as their differences differ. So a region divides once
+more, by shared differences, with triangle-inequality windows on how many two linked sets must share.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixmart.llm.common import components, settle, ship
@@ -24,8 +25,6 @@ from helixmart.llm.common import components, settle, ship
 EMPTY = 3
 # Growth of the size bands.
 BAND = 1.6
-# Pivots that each open region tries before all its windows are compared.
-PIVOTS = 3
 MOST_WORDS = 500_000
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -76,6 +75,10 @@ class Bands:
         while self.starts[-1] < 1 << 40:
             self.starts.append(int(self.starts[-1] * BAND) + 1)
 
+    def differences(self, size: int) -> int:
+        """Most differences between a set of this size and a linked one, which has size * 100 / percent at most."""
+        return (size + size * 100 // self.percent) * (100 - self.percent) // (100 + self.percent)
+
     def of(self, size: int) -> list[tuple[int, int]]:
         """(band, most differences in it) where a set of this size can meet a linked one."""
         k = int(np.searchsorted(self.starts, size, side="right")) - 1
@@ -92,6 +95,8 @@ def regions(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         if differences == 0:
             continue  # linked sets of this band are equal
         parts = differences + 1 + EMPTY
+        # Of the band's parts, a set needs as many as its own size allows differences, and as may be empty.
+        needed = bands.differences(len(shingles)) + 1 + EMPTY
         part = ((shingles >> np.uint64(20)) * MULTIPLIERS[1] >> np.uint64(32)) % np.uint64(parts)
         order = np.argsort(part, kind="stable")
         part = part[order]
@@ -103,7 +108,9 @@ def regions(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         if parts - len(used) > EMPTY:
             empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), used)
             sums, used = np.concatenate([sums, np.zeros(len(empty), dtype=np.uint64)]), np.concatenate([used, empty])
-        keys = (sums ^ (used + np.uint64(1)) * MULTIPLIERS[4]) * MULTIPLIERS[0] + np.uint64(band) * MULTIPLIERS[1]
+        sums, used = sums[used < needed], used[used < needed]
+        salt = np.uint64(band * int(MULTIPLIERS[1]) % 2**64)
+        keys = (sums ^ (used + np.uint64(1)) * MULTIPLIERS[4]) * MULTIPLIERS[0] + salt
         out.append(keys ^ (keys >> np.uint64(31)))
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
@@ -145,13 +152,25 @@ def _sets(texts: DataFrame, k: int) -> DataFrame:
 
 
 def _measure(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs(a, b) -> (a, b, distance, link), exact."""
+    """pairs(a, b) -> (a, b, link, size_a, size_b, far, edge), exact.
+
+    ``far`` is the number of elements that only one of the two has; ``edge`` the first of them, as many as a's
+    linked sets may lack and one more: those of a first, then those of b, each in order.
+    """
     # The set that may stand in many pairs is joined while rows are narrow; the wide join is by the other one.
     left = pairs.join(sets.select(F.col("row").alias("b"), F.col("items").alias("items_b")), "b")
     both = left.join(sets.select(F.col("row").alias("a"), F.col("items").alias("items_a")), "a")
-    shared = F.size(F.array_intersect("items_a", "items_b"))
-    sized = both.select("a", "b", shared.alias("shared"), (F.size("items_a") + F.size("items_b") - shared).alias("all"))
-    return sized.select("a", "b", (1 - F.col("shared") / F.col("all")).alias("distance"), (100 * F.col("shared") >= percent * F.col("all")).alias("link"))
+    own, other = F.array_except("items_a", "items_b"), F.array_except("items_b", "items_a")
+    sized = both.select("a", "b", F.size("items_a").alias("size_a"), F.size("items_b").alias("size_b"), F.concat(own, other).alias("apart"), F.size(own).alias("n_own"))
+    shared, far = F.col("size_a") - F.col("n_own"), F.size("apart")
+    return sized.select(
+        "a", "b", (100 * shared >= percent * (shared + far)).alias("link"), "size_a", "size_b", far.alias("far"), F.slice("apart", 1, _most_apart(F.col("size_a"), percent) + 1).alias("edge")
+    )
+
+
+def _most_apart(size: Column, percent: int) -> Column:
+    """As Bands.differences."""
+    return F.floor((size + F.floor(size * 100 / percent)) * (100 - percent) / (100 + percent)).cast("int")
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,41 +207,29 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
 
 def _classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that hold all classes of the graph of linked sets together."""
-    window = (100 - percent) / 100 + 1e-9
-    open_members = members.select("key", "row", "pivot").withColumn("away", F.lit(None).cast("double"))
-    edges = None
-    for turn in range(PIVOTS + 1):
-        last = turn == PIVOTS
-        if last:
-            # What several pivots could not settle: all pairs of different classes inside the windows.
-            x, y = open_members.alias("x"), open_members.alias("y")
-            near = (F.col("x.key") == F.col("y.key")) & (F.col("x.row") < F.col("y.row")) & (F.col("x.class") != F.col("y.class")) & (F.abs(F.col("x.away") - F.col("y.away")) <= window)
-            pairs = x.join(y, near).select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
-        else:
-            candidates = open_members.where("row <> pivot")
-            if turn:
-                # Only members of another class than the pivot's, and no further from it than the window allows.
-                candidates = candidates.where((F.col("class") != F.col("pivot_class")) & (F.abs(F.col("away") - F.col("pivot_away")) <= window))
-            pairs = candidates.select(F.col("row").alias("a"), F.col("pivot").alias("b")).distinct()
-        measured = settle(_measure(settle(pairs, "jaccard-pairs"), sets, percent), "jaccard-measured")
-        found = measured.where("link").select("a", "b")
-        edges = found if edges is None else edges.union(found)
-        if last:
-            return edges
-        edges = settle(edges, "jaccard-edges")
-        roots = components(edges, "jaccard-turn").withColumnRenamed("id", "row")
-        if turn == 0:
-            # Distances from a region's first pivot order its windows in all later turns.
-            gone = measured.select(F.col("a").alias("row"), F.col("b").alias("pivot"), "distance")
-            open_members = open_members.drop("away").join(gone, ["row", "pivot"], "left").withColumn("away", F.coalesce("distance", F.lit(0.0))).drop("distance")
-        # A pivot has met its whole window: it leaves the region.
-        left = open_members.where("row <> pivot").drop("class", "pivot", "pivot_class", "pivot_away")
-        left = left.join(roots, "row", "left").withColumn("class", F.coalesce("root", "row")).drop("root")
-        spread = left.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min(F.struct("row", "class", "away")).alias("next")).where("low <> high")
-        open_members = left.join(spread.select("key", "next"), "key")
-        open_members = settle(
-            open_members.select("key", "row", "away", "class", F.col("next.row").alias("pivot"), F.col("next.class").alias("pivot_class"), F.col("next.away").alias("pivot_away")), "jaccard-open"
-        )
-        if open_members.isEmpty():
-            return edges
-    return edges
+    pairs = members.where("row <> pivot").select(F.col("row").alias("a"), F.col("pivot").alias("b")).distinct()
+    measured = settle(_measure(pairs, sets, percent), "jaccard-measured")
+    edges = settle(measured.where("link").select("a", "b"), "jaccard-edges")
+    roots = components(edges, "jaccard-turn")
+    # Regions whose members are not all of one class yet; b is the pivot from here on.
+    named = measured.join(roots.select(F.col("id").alias("a"), "root"), "a", "left").withColumn("class", F.coalesce("root", "a")).drop("root")
+    pivots = named.select("b").distinct().join(roots.select(F.col("id").alias("b"), "root"), "b", "left").select("b", F.coalesce("root", "b").alias("home"))
+    spread = named.groupBy("b").agg(F.min("class").alias("low"), F.max("class").alias("high")).join(pivots, "b")
+    spread = spread.where((F.col("low") != F.col("high")) | (F.col("low") != F.col("home"))).select("b")
+    # Two linked sets with x and y differences from the pivot, of which one is not linked to the pivot, share at
+    # least (x + y - d) / 2 of them, d the most differences they may have: so they share one among the first few.
+    # The one with fewer differences needs a shorter beginning than the other.
+    most = _most_apart(F.col("size_a"), percent)
+    out = F.floor((F.floor(F.col("size_a") * percent / 100) + F.col("size_b")) * (100 - percent) / (100 + percent)).cast("int") + 1
+    beyond = F.when(F.col("link"), F.greatest("far", out)).otherwise(F.col("far"))
+    share = F.greatest(F.lit(1), F.ceil((F.col("far") + beyond - most) / 2).cast("int"))
+    open_members = named.join(spread, "b").where("far > 0").select("a", "b", "class", "link", "far", (F.col("far") - share + 1).alias("short"), F.posexplode("edge").alias("place", "element"))
+    open_members = settle(open_members, "jaccard-open")
+    x, y = open_members.where("place < short").alias("x"), open_members.alias("y")
+    meet = (
+        (F.col("x.b") == F.col("y.b")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.class") != F.col("y.class"))
+        & ~(F.col("x.link") & F.col("y.link")) & (F.struct("x.far", "x.a") < F.struct("y.far", "y.a"))
+    )
+    near = settle(x.join(y, meet).select(F.col("x.a").alias("a"), F.col("y.a").alias("b")).distinct(), "jaccard-near")
+    found = _measure(near, sets, percent).where("link").select("a", "b")
+    return settle(edges.union(found), "jaccard-edges")
