@@ -61,25 +61,31 @@ def write(records: DataFrame, path: str, records_per_file: int = 2048, date: str
     lines.write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).text(path)
 
 
+SEGMENT = ["file", "block", "turn"]
+
+
 def segments(spark: SparkSession, path: str) -> DataFrame:
-    """(file, at, size, value): the stretches that follow each occurrence of the magic, at its byte offset.
+    """(file, block, turn, size, value): the stretches that follow each occurrence of the magic, in order of block and turn.
 
-    The files are cut at the magic by Spark's splittable text reader, inside payloads as well.
+    The files are cut at the magic by Spark's splittable text reader, inside payloads as well. What stands before
+    a file's first magic is a stretch, too: an empty one in a sound file.
     """
-    step = len(MAGIC)
     raw = spark.read.option("lineSep", MAGIC).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("turn"), "value",
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("turn"), "value"
     )
-    raw = settle(raw.withColumn("size", F.octet_length("value")), "warc-segments")
+    return settle(raw.withColumn("size", F.octet_length("value")), "warc-segments", "zstd")
+
+
+def places(segments: DataFrame) -> DataFrame:
+    """(file, block, turn, at): the byte offset of the magic before each stretch, negative for what has none."""
+    step = len(MAGIC)
     # Offsets in two steps: sums of whole splits, then within a split.
-    splits = raw.groupBy("file", "block").agg(F.sum(F.col("size") + step).alias("bytes"))
+    splits = segments.groupBy("file", "block").agg(F.sum(F.col("size") + step).alias("bytes"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select("file", "block", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("file", "block").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    spans = raw.select("file", "block", "turn", "size", F.coalesce(F.sum(F.col("size") + step).over(inside), F.lit(0)).alias("here"))
-    places = spans.join(splits, ["file", "block"]).select("file", "block", "turn", (F.col("base") + F.col("here") - step).alias("at"))
-    return raw.join(places, ["file", "block", "turn"]).select("file", "at", "size", "value")
+    spans = segments.select(*SEGMENT, F.coalesce(F.sum(F.col("size") + step).over(inside), F.lit(0)).alias("here"))
+    return spans.join(splits, ["file", "block"]).select(*SEGMENT, (F.col("base") + F.col("here") - step).alias("at"))
 
 
 def reachable(candidates: DataFrame) -> DataFrame:
@@ -109,23 +115,25 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     chain from the file's start reaches are records, so a magic inside a payload is payload. ``intact``:
     the payload has the digest that its header gives (NULL for revisits, which carry none).
     """
-    parts = settle(segments(spark, path).where("at >= 0"), "warc-parts")
+    parts = segments(spark, path)
     head = F.substring_index("value", END, 1)
-    length = F.regexp_extract(head, r"(?:^|\r\n)Content-Length: (\d{1,18})(?:\r\n|$)", 1)
-    next_at = F.col("at") + len(MAGIC) + F.octet_length(head) + len(END) + F.expr("try_cast(_length as long)") + len(END)
-    candidates = parts.withColumn("_length", length).select("file", "at", next_at.alias("next"))
+    length = F.regexp_extract(head, r"(?:^|\r\n)Content-Length: (\d{1,18})(?:\r\n|$)", 1).try_cast("long")
+    heads = parts.select(*SEGMENT, (len(MAGIC) + F.octet_length(head) + len(END) + length + len(END)).alias("reach"))
+    candidates = places(parts).join(heads, SEGMENT).where("at >= 0").select(*SEGMENT, "at", (F.col("at") + F.col("reach")).alias("next"))
     candidates = settle(candidates, "warc-candidates")
     records = reachable(candidates).withColumn("record", F.col("at"))
-    # A stretch that no chain reaches belongs to the record before it.
-    owners = candidates.select("file", "at").join(records, ["file", "at"], "left")
+    # A stretch that no chain reaches belongs to the record before it. Only records of several stretches, which are
+    # rare, are put together; all others stay where they were read.
+    owners = candidates.select(*SEGMENT, "at").join(records, ["file", "at"], "left")
     upto = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     owners = owners.withColumn("record", F.last("record", ignorenulls=True).over(upto))
-    pieces = owners.groupBy("file", "record").agg(F.count("*").alias("pieces"))
-    owned = parts.join(owners, ["file", "at"]).join(pieces, ["file", "record"])
-    whole = owned.where("pieces = 1").select("value")
-    mended = owned.where("pieces > 1").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("parts"))
-    mended = mended.select(F.array_join(F.col("parts.value"), MAGIC).alias("value"))
-    text = whole.union(mended)
+    in_record = Window.partitionBy("file", F.coalesce("record", F.lit(-1)))
+    odd = owners.withColumn("pieces", F.count("*").over(in_record)).where("pieces > 1 or record is null").drop("pieces")
+    odd = settle(odd, "warc-odd")
+    # The stretch before a file's first magic is empty.
+    whole = parts.where("size > 0").join(odd.select(SEGMENT), SEGMENT, "left_anti").select("value")
+    mended = parts.join(odd.where("record is not null"), SEGMENT).groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("parts"))
+    text = whole.union(mended.select(F.array_join(F.col("parts.value"), MAGIC).alias("value")))
     head = F.substring_index("value", END, 1)
     field = lambda name: F.nullif(F.regexp_extract("head", rf"(?:^|\r\n){name}: ([^\r\n]*)", 1), F.lit(""))
     number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1).try_cast("long")
