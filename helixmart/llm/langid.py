@@ -76,17 +76,17 @@ class Model:
         tables, self.starts, at = [], [], 0
         for x in points:
             moves = suffix_automaton(self.code[x].tolist())
-            table = np.full((len(moves), self.width), -1, dtype=np.int32)
+            fresh = len(moves)  # one more state: before a text and after a strange symbol, where any symbol starts a phrase
+            table = np.full((fresh + 1, self.width), -1, dtype=np.int32)
             for state, row in enumerate(moves):
                 table[state, list(row)] = list(row.values())
             # No move: the phrase ends and the next begins with this symbol; a strange symbol is a phrase itself.
-            again = np.where(table[0] >= 0, table[0], 0) | RESTART
+            again = np.where(table[0] >= 0, table[0], fresh) | RESTART
             table = np.where(table >= 0, table, again[None, :])
-            table[:, 1] = RESTART
-            table[:, -1] = np.arange(len(moves))
+            table[:, -1] = np.arange(fresh + 1)
             tables.append(table + at)
-            self.starts.append(at)
-            at += len(moves)
+            self.starts.append(at + fresh)
+            at += fresh + 1
         self.table = np.concatenate(tables).ravel()
         self.bits = np.array([np.log2(max(2, len(x))) for x in points])
 
@@ -117,7 +117,7 @@ class Model:
             owner = np.array(owner)
             for k, start in enumerate(self.starts):
                 state = np.full(steps.shape[1], start, dtype=np.int32)
-                count = np.ones(steps.shape[1], dtype=np.int32)
+                count = np.zeros(steps.shape[1], dtype=np.int32)
                 for row in steps:
                     move = self.table[state * self.width + row]
                     count += move >> 30

@@ -2,16 +2,18 @@
 
 Which suffixes are sorted: every window of 100 bytes has an anchor, its 32-byte stretch of smallest hash, so
 equal windows have equal anchors at equal places. Windows of one anchor follow each other; together they are
-the anchor's context. A context that also stands earlier as a whole takes all its windows with it. A context
-whose anchor stands nowhere else has no equal windows. Only the windows of the first of each context whose
-anchor has several are left, and these are sorted: each task sorts its suffixes into front-coded runs, runs
+the anchor's context. A context that also stands earlier as a whole takes all its windows with it. A window has 34 bytes of
+its context to the left of its anchor or to the right, so a context whose anchor stands nowhere else with the same
+34 bytes on one side has no equal windows. Only the windows of the first of each other context are left, and
+these are sorted: each task sorts its suffixes into front-coded runs, runs
 are exchanged by ranges of the suffix order, and every range is merged by a loser tree that compares two
 suffixes from their known common prefix on.
 """
 
 from __future__ import annotations
 
-import struct
+import bisect
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +28,19 @@ from helixmart.llm.common import partitions, settle, ship
 WIDTH = 100
 ANCHOR = 32
 SPAN = WIDTH - ANCHOR + 1
+SIDE = (WIDTH - ANCHOR) // 2
+# A text is named by its id and so many bits of its hash, which tell texts of one id apart.
+TAG_BITS = 24
+# Bits in the maps of texts that have something to sort or to cut: their bound whatever the input's size.
+MAP_BITS = 1 << 22
 # Bytes that are hashed at a time; longer texts are taken in overlapping pieces.
 PIECE = 2 << 20
 # Suffixes aimed at in a range of the merge, suffixes drawn for the range borders, and entries in a block.
 RANGE = 400_000
 DRAWN = 20_000
 ENTRIES = 4096
+# Bytes that say where a suffix is from: id, start and tag.
+ORIGIN = 16
 LAST_ID = (1 << 63) - 1
 
 _RANDOM = np.random.default_rng(77)
@@ -40,16 +49,21 @@ _FACTORS = _RANDOM.integers(0, 2**63, size=6, dtype=np.uint64) * np.uint64(2) +
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, last window) of each anchor of a text of at most PIECE + WIDTH bytes."""
+    """(hash, sides, first window, last window) of each anchor of a text of at most PIECE + WIDTH bytes.
+
+    ``sides``: 32 bits each of hashes of the SIDE bytes before and after the anchor.
+    """
     n = len(data) - WIDTH + 1
     if n <= 0:
         none = np.zeros(0, dtype=np.int64)
-        return none.astype(np.uint64), none, none
-    h = _BYTES[data]
-    step = 1
+        return none.astype(np.uint64), none.astype(np.uint64), none, none
+    h, two, step = _BYTES[data], None, 1
     for factor in _FACTORS[:5]:  # 1, 2, 4, 8, 16, 32 bytes
         h = h[:-step] * factor + h[step:]
         step *= 2
+        two = h if step == 2 else two
+    plain = h
+    h = h.copy()
     h ^= h >> np.uint64(29)
     h *= _FACTORS[5]
     # Hash above, place below: the least value names the leftmost stretch of least hash.
@@ -62,7 +76,15 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     least = np.minimum(behind[:n], ahead[SPAN - 1 : SPAN - 1 + n])
     first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
     last = np.concatenate([first[1:] - 1, [n - 1]])
-    return h[(least[first] & np.uint64(0xFFFFFF)).astype(np.int64)], first, last
+    at = (least[first] & np.uint64(0xFFFFFF)).astype(np.int64)
+
+    def side(start: np.ndarray) -> np.ndarray:  # 34 bytes as 32 and 2; a text's end is a side of its own
+        inside = (start >= 0) & (start + SIDE <= len(data))
+        s = np.where(inside, start, 0)
+        x = (plain[np.minimum(s, len(plain) - 1)] * _FACTORS[5] + two[np.minimum(s + ANCHOR, len(two) - 1)]) * _FACTORS[0]
+        return np.where(inside, x >> np.uint64(32), (start.astype(np.uint64) * _FACTORS[3] + _FACTORS[4] * np.uint64(len(data))) >> np.uint64(32))
+
+    return h[at], side(at - SIDE) << np.uint64(32) | side(at + ANCHOR), first, last
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -75,10 +97,15 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _pack(first, length, tag):
+    """Place, number of windows beyond the first (under 128) and tag in one number; of numbers or columns."""
+    return first * (128 << TAG_BITS) + length * (1 << TAG_BITS) + tag
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, id, text) -> contexts (hash, context, id, row, first, last), each context once in a batch;
-    of later ones in the batch only what they remove (context NULL)."""
-    names = ["hash", "context", "id", "row", "first", "last"]
+    """(tag, id, text) -> contexts (id, place, hash, context, sides), each context once in a batch; of later ones in
+    the batch only what they remove (context NULL, hash its end, place its start)."""
+    names = ["id", "place", "hash", "context", "sides"]
     for batch in batches:
         texts, parts = batch.column(2), []
         for i in range(batch.num_rows):
@@ -87,15 +114,15 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             data, view = np.frombuffer(raw, dtype=np.uint8), memoryview(raw)
             for base in range(0, len(data) - WIDTH + 1, PIECE):
-                h, first, last = anchors(data[base : base + PIECE + WIDTH - 1])
+                h, sides, first, last = anchors(data[base : base + PIECE + WIDTH - 1])
                 first, last = first + base, last + base
                 digest = xxhash.xxh3_64_intdigest
                 context = np.array([digest(view[a : b + WIDTH]) for a, b in zip(first.tolist(), last.tolist(), strict=True)], dtype=np.uint64)
-                parts.append((h, context, np.full(len(h), i), first, last))
+                parts.append((h, context, sides, np.full(len(h), i), first, last))
         if not parts:
             continue
-        h, context, at, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
-        ids, rows = batch.column(1).to_numpy()[at], batch.column(0).to_numpy()[at]
+        h, context, sides, at, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
+        ids, tags = batch.column(1).to_numpy()[at], batch.column(0).to_numpy()[at]
         order = np.lexsort((first, ids, context, h))
         same = np.zeros(len(order), dtype=bool)
         a, b = order[1:], order[:-1]
@@ -104,17 +131,17 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
         leader = order[lead]
         later = same & ((ids[order] != ids[leader]) | (first[order] != first[leader]))
-        keep, gone = order[~later], order[later]
-        columns = [h[keep].view(np.int64), context[keep].view(np.int64), ids[keep], rows[keep], first[keep], last[keep]]
+        keep, gone = np.sort(order[~later]), order[later]
+        places = _pack(first[keep], last[keep] - first[keep], tags[keep])
+        columns = [ids[keep], places, h[keep].view(np.int64), context[keep].view(np.int64), sides[keep].view(np.int64)]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
-        spans: dict[int, list[tuple[int, int]]] = {}
-        for r, x, y in zip(rows[gone].tolist(), first[gone].tolist(), last[gone].tolist(), strict=True):
-            spans.setdefault(r, []).append((x, y + WIDTH))
-        merged = [(r, x, y) for r, s in spans.items() for x, y in _merge(s)]
+        spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for i, t, x, y in zip(ids[gone].tolist(), tags[gone].tolist(), first[gone].tolist(), last[gone].tolist(), strict=True):
+            spans.setdefault((i, t), []).append((x, y + WIDTH))
+        merged = [(i, _pack(x, 0, t), y) for (i, t), s in spans.items() for x, y in _merge(s)]
         if merged:
-            r, x, y = (pa.array(c, pa.int64()) for c in zip(*merged, strict=True))
-            spread = pa.array((np.array(x) * 1_000_003) ^ np.array(r))
-            yield pa.RecordBatch.from_arrays([spread, pa.nulls(len(r), pa.int64()), x, r, x, y], names=names)
+            i, x, y = (pa.array(c, pa.int64()) for c in zip(*merged, strict=True))
+            yield pa.RecordBatch.from_arrays([i, x, y, pa.nulls(len(i), pa.int64()), pa.nulls(len(i), pa.int64())], names=names)
 
 
 def front_code(keys: list[bytes]) -> list[int]:
@@ -127,18 +154,20 @@ def front_code(keys: list[bytes]) -> list[int]:
 
 
 def write_block(entries: list[bytes]) -> bytes:
-    """Sorted entries (suffix and 24 bytes of origin) as: shared length, rest of the suffix, origin."""
+    """Sorted entries (suffix and origin) as: shared length, rest of the suffix, origin; packed by a codec."""
     shared = front_code([e[:WIDTH] for e in entries])
-    return b"".join([bytes((n,)) + e[n:] for n, e in zip(shared, entries, strict=True)])
+    plain = b"".join([bytes((n,)) + e[n:] for n, e in zip(shared, entries, strict=True)])
+    return len(plain).to_bytes(4) + pa.compress(plain, codec="zstd", asbytes=True)
 
 
 def read_blocks(blocks: list[bytes]) -> Iterator[tuple[int, bytes]]:
     """(shared length, entry) of a run; a block starts anew."""
-    for block in blocks:
+    for packed in blocks:
+        block = pa.decompress(packed[4:], decompressed_size=int.from_bytes(packed[:4]), codec="zstd", asbytes=True)
         at, before = 0, b""
         while at < len(block):
             n = block[at]
-            end = at + 1 + WIDTH - n + 24
+            end = at + 1 + WIDTH - n + ORIGIN
             entry = before[:n] + block[at + 1 : end]
             yield n, entry
             at, before = end, entry
@@ -219,114 +248,121 @@ class LoserTree:
         return WIDTH - (differ.bit_length() + 7) // 8
 
 
-# Origin of a suffix: id (moved so that the byte order is the number order), start, row.
-_ORIGIN = struct.Struct(">QQQ")
-
-
 def _origin(entry: bytes) -> tuple[int, int, int]:
-    i, start, row = _ORIGIN.unpack(entry[WIDTH:])
-    return i - (1 << 63), start, row - (1 << 63)
+    """(id, start, tag) of a suffix."""
+    return int.from_bytes(entry[WIDTH : WIDTH + 8]) - (1 << 63), int.from_bytes(entry[WIDTH + 8 : WIDTH + 13]), int.from_bytes(entry[WIDTH + 13 :])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], borders: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """(row, id, text, spots) -> a sorted, front-coded run of each batch, cut at the range borders."""
+    """(tag, id, text, spots) -> a sorted, front-coded run of each batch, cut at the range borders."""
     for turn, batch in enumerate(batches):
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
             entries, gone = [], []
-            for row, i, text, spots in zip(*(part.column(c).to_pylist() for c in range(4)), strict=True):
+            for tag, i, text, spots in zip(*(part.column(c).to_pylist() for c in range(4)), strict=True):
+                # The bytes of an origin are ordered as its id and start.
+                head, tail = (i + (1 << 63)).to_bytes(8), tag.to_bytes(3)
                 for spot in spots:
-                    for p in range(spot["first"], spot["last"] + 1):
-                        entries.append(text[p : p + WIDTH] + _ORIGIN.pack(i + (1 << 63), p, row + (1 << 63)))
+                    first, more = spot >> (TAG_BITS + 7), (spot >> TAG_BITS) & 127
+                    entries += [text[p : p + WIDTH] + head + p.to_bytes(5) + tail for p in range(first, first + more + 1)]
             entries.sort()
             kept: list[bytes] = []
             lead = b""
             for e in entries:  # a suffix that the run has from an earlier place need not travel
-                if kept and e[:WIDTH] == lead[:WIDTH] and e[WIDTH : WIDTH + 16] != lead[WIDTH : WIDTH + 16]:
-                    _, start, row = _origin(e)
-                    gone.append((row, start, start + WIDTH))
-                else:
-                    if not kept or e[:WIDTH] != lead[:WIDTH]:
-                        lead = e
+                if e[:WIDTH] != lead[:WIDTH]:
+                    lead = e
+                    kept.append(e)
+                elif e[WIDTH : WIDTH + 13] == lead[WIDTH : WIDTH + 13]:
                     kept.append(e)
-            run = (part.column(0)[0].as_py() * 31 + turn * 1009 + at) & LAST_ID
-            rows: list[tuple] = []
-            cuts = [0]
-            for border in borders:
-                lo, hi = cuts[-1], len(kept)
-                while lo < hi:
-                    mid = (lo + hi) // 2
-                    lo, hi = (mid + 1, hi) if kept[mid][:WIDTH] < border else (lo, mid)
-                cuts.append(lo)
-            for k, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(kept)], strict=True)):
-                rows += [(k, run, j, write_block(kept[j : min(b, j + ENTRIES)]), 0, 0, 0) for j in range(a, b, ENTRIES)]
-            by_row: dict[int, list[tuple[int, int]]] = {}
-            for row, x, y in gone:
-                by_row.setdefault(row, []).append((x, y))
-            rows += [(row % (len(borders) + 1), run, 0, None, row, x, y) for row, s in by_row.items() for x, y in _merge(s)]
+                else:
+                    gone.append(_origin(e))
+            run = (part.column(1)[0].as_py() * 31 + turn * 1009 + at) & LAST_ID
+            cuts = [0, *(bisect.bisect_left(kept, border) for border in borders), len(kept)]
+            rows = [(k, run, j, write_block(kept[j : min(b, j + ENTRIES)]), 0, 0, 0, 0) for k, (a, b) in enumerate(itertools.pairwise(cuts)) for j in range(a, b, ENTRIES)]
+            rows += [(i % (len(borders) + 1), run, 0, None, i, t, x, y) for (i, t), s in _grouped(gone).items() for x, y in _merge(s)]
             if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["range", "run", "seq", "block", "row", "first", "end"])
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["range", "run", "seq", "block", "id", "tag", "first", "end"])
+
+
+def _grouped(gone: list[tuple[int, int, int]]) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for i, start, tag in gone:
+        spans.setdefault((i, tag), []).append((start, start + WIDTH))
+    return spans
 
 
 def _merged(group: pd.DataFrame) -> pd.DataFrame:
     """One range: all runs' blocks through the loser tree; what later suffixes of equal windows remove."""
     passed = group[group["block"].isna()]
-    spans: dict[int, list[tuple[int, int]]] = {}
-    for row, a, b in zip(passed["row"], passed["first"], passed["end"], strict=True):
-        spans.setdefault(int(row), []).append((int(a), int(b)))
     blocks = group[group["block"].notna()].sort_values(["run", "seq"])
     runs = [read_blocks(list(g)) for _, g in blocks.groupby("run")["block"]]
     lead: tuple[int, int] | None = None
+    gone = []
     for shared, entry in LoserTree(runs):
-        i, start, row = _origin(entry)
+        origin = _origin(entry)
         if shared < WIDTH or lead is None:
-            lead = (i, start)  # equal windows come in order of id and start
-        elif (i, start) != lead:
-            spans.setdefault(row, []).append((start, start + WIDTH))
-    out = [(row, a, b) for row, s in spans.items() for a, b in _merge(s)]
-    return pd.DataFrame(out, columns=["row", "first", "end"]).astype("int64")
+            lead = origin[:2]  # equal windows come in order of id and start
+        elif origin[:2] != lead:
+            gone.append(origin)
+    out = [(i, t, a, b) for (i, t), s in _grouped(gone).items() for a, b in _merge(s)]
+    out += list(passed[["id", "tag", "first", "end"]].itertuples(index=False, name=None))
+    return pd.DataFrame(out, columns=["id", "tag", "first", "end"]).astype("int64")
+
+
+def _map_of(keys: DataFrame) -> DataFrame:
+    """A map of MAP_BITS bits, one for each id and tag: (word, bits), bounded whatever the number of keys."""
+    bit = F.pmod(F.xxhash64("id", "tag"), F.lit(MAP_BITS))
+    words = keys.withColumn("_b", bit).select(F.shiftright("_b", 5).alias("word"), F.expr("shiftleft(1L, cast(_b % 32 as int))").alias("bit"))
+    return words.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def _split(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """``texts`` with ``maybe``: false only for texts that are not among ``keys``, so that they need not be shuffled."""
+    marked = texts.withColumn("_b", F.pmod(F.xxhash64("id", "tag"), F.lit(MAP_BITS)))
+    joined = marked.join(F.broadcast(settle(_map_of(keys), "suffix-map")), F.shiftright("_b", 5) == F.col("word"), "left")
+    return joined.withColumn("maybe", F.coalesce(F.expr("(bits & shiftleft(1L, cast(_b % 32 as int))) <> 0"), F.lit(False))).drop("word", "bits", "_b")
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """texts(row, id, text binary) -> (row, first, end): bytes of windows that also start earlier."""
+    """texts(tag, id, text binary) -> (id, tag, first, end): bytes of windows that also start earlier."""
     ship(texts.sparkSession)
-    found = texts.mapInArrow(_contexts, "hash long, context long, id long, row long, first long, last long")
+    found = texts.select("tag", "id", "text").mapInArrow(_contexts, "id long, place long, hash long, context long, sides long")
     # Narrow rows: a hash with very many contexts spills, it is never gathered.
-    by_hash = Window.partitionBy("hash")
-    in_order = by_hash.orderBy("context", "id", "first")
+    size = 1 << TAG_BITS
+    first, more, tag = F.shiftright("place", TAG_BITS + 7), F.shiftright("place", TAG_BITS).bitwiseAND(F.lit(127)), F.pmod("place", F.lit(size))
+    before, after = F.shiftrightunsigned("sides", 32), F.col("sides").bitwiseAND(F.lit(0xFFFFFFFF))
     whole = Window.partitionBy("hash", "context").orderBy("id", "first").rowsBetween(Window.unboundedPreceding, 0)
-    placed = found.withColumns(
-        {
-            "lead": F.first(F.struct("id", "first")).over(whole),
-            "several": F.min("context").over(by_hash) != F.max("context").over(by_hash),
-            "turn": F.lag("context").over(in_order),
-        }
+    several = lambda c: F.min("context").over(Window.partitionBy("hash", c)) != F.max("context").over(Window.partitionBy("hash", c))
+    # All windows run on partitions by hash: one exchange.
+    placed = found.repartition(partitions(texts.sparkSession), "hash").withColumns({"first": first, "more": more, "tag": tag, "before": before, "after": after})
+    placed = placed.withColumns({"lead": F.first(F.struct("id", "first")).over(whole), "left": several("before"), "right": several("after")})
+    real = F.col("context").isNotNull()
+    later = real & (F.struct("id", "first") != F.col("lead"))
+    placed = placed.select("id", "tag", "first", "more", "place", "hash", (~real).alias("given"), later.alias("later"), (real & ~later & (F.col("left") | F.col("right"))).alias("open"))
+    placed = settle(placed.where("given or later or open"), "suffix-contexts")
+    spans = placed.where("given or later").select(
+        "id", "tag", "first", F.when(F.col("given"), F.col("hash")).otherwise(F.col("first") + F.col("more") + WIDTH).alias("end")
     )
-    removed = F.col("context").isNotNull() & (F.struct("id", "first") != F.col("lead"))
-    placed = placed.select(
-        "row", "id", "first", "last", F.col("context").isNull().alias("given"), removed.alias("later"), (F.col("several") & ~removed & F.col("context").isNotNull()).alias("open")
-    ).where("given or later or open")
-    placed = settle(placed, "suffix-contexts")
-    spans = placed.where("given").select("row", "first", F.col("last").alias("end")).union(placed.where("later").select("row", "first", (F.col("last") + WIDTH).alias("end")))
     spots = placed.where("open")
-    windows = spots.agg(F.sum(F.col("last") - F.col("first") + 1)).first()[0] or 0
+    windows = spots.agg(F.sum(F.col("more") + 1)).first()[0] or 0
     if not windows:
         return spans
-    spots = spots.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spots"))
-    work = texts.join(spots, "row").select("row", "id", "text", "spots")
-    borders = _borders(work, windows)
-    blocks = work.mapInArrow(lambda it: _runs(it, borders), "range long, run long, seq long, block binary, row long, first long, end long")
-    merged = blocks.groupBy("range").applyInPandas(_merged, "row long, first long, end long")
-    return spans.union(merged)
-
-
-def _borders(work: DataFrame, windows: int) -> list[bytes]:
-    """Range borders from a drawn sample of the suffixes: bounded by DRAWN in expectation."""
-    ranges = max(partitions(work.sparkSession), -(-windows // RANGE))
-    share = min(1.0, DRAWN / windows)
-    spot = work.select("text", F.explode("spots").alias("spot")).select("text", F.explode(F.sequence("spot.first", "spot.last")).alias("p"))
-    drawn = spot.where(F.rand(5) < share).select(F.expr(f"substring(text, cast(p as int) + 1, {WIDTH})").alias("s"))
+    work = _split(texts, spots.select("id", "tag")).where("maybe").join(spots.groupBy("id", "tag").agg(F.collect_list("place").alias("spots")), ["id", "tag"])
+    borders = _borders(texts, windows)
+    blocks = work.select("tag", "id", "text", "spots").mapInArrow(lambda it: _runs(it, borders), "range long, run long, seq long, block binary, id long, tag long, first long, end long")
+    return spans.union(blocks.groupBy("range").applyInPandas(_merged, "id long, tag long, first long, end long"))
+
+
+def _borders(texts: DataFrame, windows: int) -> list[bytes]:
+    """Range borders from a drawn sample of the suffixes of all texts: DRAWN of them in expectation."""
+    ranges = max(partitions(texts.sparkSession), -(-windows // RANGE))
+    places = F.length("text") - WIDTH + 1
+    long_enough = texts.where(F.length("text") >= WIDTH)
+    total = long_enough.agg(F.count("*")).first()[0]
+    drawn = long_enough.where(F.pmod(F.xxhash64("id", "tag", F.lit(1)), F.lit(1 << 20)) < F.lit(int(min(1.0, DRAWN / max(1, total)) * (1 << 20)))).select(
+        F.substring("text", (F.pmod(F.xxhash64("id", "tag", F.lit(2)), places) + 1).cast("int"), F.lit(WIDTH)).alias("s")
+    )
     keys = sorted(bytes(r["s"]) for r in drawn.collect())
     return sorted({keys[len(keys) * k // ranges] for k in range(1, ranges)}) if keys else []
 
@@ -343,11 +379,15 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     """
     kept = [c for c in (keep or []) if c not in (id_col, text_col)]
     keyed = docs.select(
-        F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("_id"), *[F.col(c).alias(f"_keep_{c}") for c in kept], F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
-    )
-    texts = keyed.select("row", F.coalesce(F.col("_id").cast("long"), F.lit(LAST_ID)).alias("id"), "text")
-    spans = settle(repeated_spans(texts), "suffix-spans").groupBy("row").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
-    joined = keyed.join(spans, "row", "left").drop("row")
+        F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << TAG_BITS)).alias("tag"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(id_col).alias("_id"),
+        *[F.col(c).alias(f"_keep_{c}") for c in kept], F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
+    )
+    spans = settle(repeated_spans(keyed.select("tag", "id", "text")), "suffix-spans")
+    parted = _split(keyed, spans.select("id", "tag"))
+    found = spans.groupBy("id", "tag").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    # Texts that nothing is cut from stay where they are read.
+    whole = parted.where("not maybe").drop("id", "tag", "maybe").withColumn("spans", F.array().cast("array<struct<first: bigint, end: bigint>>"))
+    joined = parted.where("maybe").drop("maybe").join(found, ["id", "tag"], "left").drop("id", "tag").unionByName(whole)
     kept_fields = [f"`_keep_{c}` {joined.schema[f'_keep_{c}'].dataType.simpleString()}" for c in kept]
     schema = ", ".join([f"_id {joined.schema['_id'].dataType.simpleString()}", *kept_fields, "n_bytes long, n_removed long, n_spans long, spans array<struct<first: long, end: long>>, kept binary"])
     place = joined.columns.index("text")
