@@ -4,9 +4,10 @@ Jaccard distance is a metric, but nearly all pairs of documents are at distance
 random separates nothing. Regions are therefore opened where sets can be close at all: a band of set sizes
 and a part of the shingle universe in which two sets agree entirely. With one part more than two linked sets
 can have differences, every linked pair shares a region. Inside a region the metric works: the pivot takes in
-everything within the link distance. What lies further out is known by its differences from the pivot, whose
-number is the distance to it; two sets are as far apart as their differences differ. So a region divides once
-more, by shared differences, with triangle-inequality windows on how many two linked sets must share.
+everything within the link distance. What lies further out is known by its differences from a centre, whose
+number is the distance to it; two sets are as far apart as their differences differ. So a family of regions
+divides once more, by shared differences, with pivots again, and with triangle-inequality windows on how many
+differences two linked sets must share.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from helixmart.llm.common import components, settle, ship
 EMPTY = 3
 # Growth of the size bands.
 BAND = 1.6
+# Counters of how often elements occur: their bound whatever the input's size.
+COUNTERS = 1 << 20
 MOST_WORDS = 500_000
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -152,20 +155,14 @@ def _sets(texts: DataFrame, k: int) -> DataFrame:
 
 
 def _measure(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs(a, b) -> (a, b, link, size_a, size_b, far, edge), exact.
-
-    ``far`` is the number of elements that only one of the two has; ``edge`` the first of them, as many as a's
-    linked sets may lack and one more: those of a first, then those of b, each in order.
-    """
+    """pairs(a, b) -> (a, b, link, size_a, size_b, apart), exact; ``apart`` holds what only one of the two has."""
     # The set that may stand in many pairs is joined while rows are narrow; the wide join is by the other one.
     left = pairs.join(sets.select(F.col("row").alias("b"), F.col("items").alias("items_b")), "b")
     both = left.join(sets.select(F.col("row").alias("a"), F.col("items").alias("items_a")), "a")
     own, other = F.array_except("items_a", "items_b"), F.array_except("items_b", "items_a")
     sized = both.select("a", "b", F.size("items_a").alias("size_a"), F.size("items_b").alias("size_b"), F.concat(own, other).alias("apart"), F.size(own).alias("n_own"))
     shared, far = F.col("size_a") - F.col("n_own"), F.size("apart")
-    return sized.select(
-        "a", "b", (100 * shared >= percent * (shared + far)).alias("link"), "size_a", "size_b", far.alias("far"), F.slice("apart", 1, _most_apart(F.col("size_a"), percent) + 1).alias("edge")
-    )
+    return sized.select("a", "b", (100 * shared >= percent * (shared + far)).alias("link"), "size_a", "size_b", "apart")
 
 
 def _most_apart(size: Column, percent: int) -> Column:
@@ -205,30 +202,74 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     )
 
 
+def _rare_first(measured: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Replace ``apart`` by its size ``far`` and by ``edge``, its rarest elements: one more than a's linked sets may lack.
+
+    Any fixed order is exact; rarest first keeps few sets together. Counts are kept by hash in COUNTERS counters.
+    """
+    counter = F.pmod(F.col("item"), F.lit(COUNTERS)).cast("int")
+    counts = sets.select(F.explode("items").alias("item")).groupBy(counter.alias("c")).count().collect()  # COUNTERS rows at most
+    table = np.zeros(COUNTERS, dtype=np.int32)
+    table[[r["c"] for r in counts]] = [min(r["count"], 2**31 - 1) for r in counts]
+    sent = measured.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edges, far = [], []
+            for items, most in zip(batch.column(5), batch.column(6).to_numpy(), strict=True):
+                x = items.values.to_numpy()
+                far.append(len(x))
+                edges.append(x[np.lexsort((x, sent.value[x % COUNTERS]))[: most + 1]].view(np.uint64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(far, pa.int32()), _lists(edges)], names=["a", "b", "link", "size_a", "size_b", "far", "edge"])
+
+    source = measured.select("a", "b", "link", "size_a", "size_b", "apart", _most_apart(F.col("size_a"), percent).alias("most"))
+    return source.mapInArrow(run, "a long, b long, link boolean, size_a int, size_b int, far int, edge array<long>")
+
+
+def _named(table: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the class of the set in ``column``."""
+    return table.join(roots.select(F.col("id").alias(column), "root"), column, "left").withColumn(name, F.coalesce("root", column)).drop("root")
+
+
 def _classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that hold all classes of the graph of linked sets together."""
+    # First pivots: each region's. Regions that share sets form a family, whose first set is its centre.
     pairs = members.where("row <> pivot").select(F.col("row").alias("a"), F.col("pivot").alias("b")).distinct()
-    measured = settle(_measure(pairs, sets, percent), "jaccard-measured")
-    edges = settle(measured.where("link").select("a", "b"), "jaccard-edges")
+    pairs = settle(pairs, "jaccard-pairs")
+    families = components(pairs, "jaccard-family").select(F.col("id").alias("a"), F.col("root").alias("b")).where("a <> b")
+    edges = settle(_measure(pairs, sets, percent).where("link").select("a", "b"), "jaccard-edges")
     roots = components(edges, "jaccard-turn")
-    # Regions whose members are not all of one class yet; b is the pivot from here on.
-    named = measured.join(roots.select(F.col("id").alias("a"), "root"), "a", "left").withColumn("class", F.coalesce("root", "a")).drop("root")
-    pivots = named.select("b").distinct().join(roots.select(F.col("id").alias("b"), "root"), "b", "left").select("b", F.coalesce("root", "b").alias("home"))
-    spread = named.groupBy("b").agg(F.min("class").alias("low"), F.max("class").alias("high")).join(pivots, "b")
-    spread = spread.where((F.col("low") != F.col("high")) | (F.col("low") != F.col("home"))).select("b")
-    # Two linked sets with x and y differences from the pivot, of which one is not linked to the pivot, share at
-    # least (x + y - d) / 2 of them, d the most differences they may have: so they share one among the first few.
+    # Families whose members are not all of one class yet; b is the centre from here on.
+    named = settle(_named(_named(families, roots, "a", "class"), roots, "b", "home"), "jaccard-named")
+    spread = named.groupBy("b").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("home").alias("home"))
+    spread = spread.where("low <> high or low <> home").select("b")
+    measured = settle(_measure(named.join(spread, "b").select("a", "b"), sets, percent), "jaccard-measured", "zstd")
+    # Two linked sets with x and y differences from the centre, of which one is not linked to it, share at least
+    # (x + y - d) / 2 of them, d the most differences they may have: so they share one among their first few.
     # The one with fewer differences needs a shorter beginning than the other.
     most = _most_apart(F.col("size_a"), percent)
     out = F.floor((F.floor(F.col("size_a") * percent / 100) + F.col("size_b")) * (100 - percent) / (100 + percent)).cast("int") + 1
     beyond = F.when(F.col("link"), F.greatest("far", out)).otherwise(F.col("far"))
     share = F.greatest(F.lit(1), F.ceil((F.col("far") + beyond - most) / 2).cast("int"))
-    open_members = named.join(spread, "b").where("far > 0").select("a", "b", "class", "link", "far", (F.col("far") - share + 1).alias("short"), F.posexplode("edge").alias("place", "element"))
-    open_members = settle(open_members, "jaccard-open")
+    inner = _rare_first(measured, sets, percent).where("far > 0")
+    inner = inner.select("a", "b", "link", "size_a", "far", (F.col("far") - share + 1).alias("short"), F.posexplode("edge").alias("place", "element"))
+    inner = settle(inner, "jaccard-inner")
+    # Inner regions: sets that share such a difference. Their first set is a pivot of its own.
+    pivots = inner.groupBy("b", "element").agg(F.min("a").alias("pivot"), F.max("a").alias("last")).where("pivot <> last").drop("last")
+    stars = inner.join(pivots, ["b", "element"]).where("a <> pivot")
+    stars = settle(_named(_named(stars.select("a", "pivot").distinct(), roots, "a", "class"), roots, "pivot", "home").where("class <> home").select("a", F.col("pivot").alias("b")), "jaccard-stars")
+    edges = settle(edges.union(_measure(stars, sets, percent).where("link").select("a", "b")), "jaccard-edges")
+    roots = components(edges, "jaccard-turn")
+    # What is left: sets of different classes in one inner region, within the windows of size and distance.
+    open_members = _named(inner, roots, "a", "class")
+    mixed = open_members.groupBy("b", "element").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("b", "element")
+    open_members = settle(open_members.join(mixed, ["b", "element"]), "jaccard-open")
     x, y = open_members.where("place < short").alias("x"), open_members.alias("y")
+    larger, smaller = F.greatest("x.size_a", "y.size_a"), F.least("x.size_a", "y.size_a")
     meet = (
-        (F.col("x.b") == F.col("y.b")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.class") != F.col("y.class"))
-        & ~(F.col("x.link") & F.col("y.link")) & (F.struct("x.far", "x.a") < F.struct("y.far", "y.a"))
+        (F.col("x.b") == F.col("y.b")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.class") != F.col("y.class")) & ~(F.col("x.link") & F.col("y.link"))
+        & (F.struct("x.far", "x.a") < F.struct("y.far", "y.a")) & (100 * smaller >= percent * larger)
+        & ((F.col("y.far") - F.col("x.far")) * (100 + percent) <= (F.col("x.size_a") + F.col("y.size_a")) * (100 - percent))
     )
     near = settle(x.join(y, meet).select(F.col("x.a").alias("a"), F.col("y.a").alias("b")).distinct(), "jaccard-near")
     found = _measure(near, sets, percent).where("link").select("a", "b")
