@@ -20,18 +20,21 @@ def significance_model(
 
     Ids are hashed to a fixed width, so the model does not grow with the vocabularies. The fitted
     model is stored and loaded again: a fresh training summary holds on to the session, which
-    cannot be sent to tasks once the session has observed a write.
+    cannot be sent to tasks once the session has observed a write. Rows without a label are not
+    learned from; the label's index is no stage of the model, so that it scores any row. Labels are
+    numbered in alphabetical order.
     """
     path = scratch_path(df.sparkSession, "significance-model")
+    indexer = StringIndexer(inputCol=label, outputCol="_label", handleInvalid="skip", stringOrderType="alphabetAsc")
+    labelled = df.filter(F.col(label).isNotNull())
     fitted = Pipeline(
         stages=[
-            StringIndexer(inputCol=label, outputCol="_label", handleInvalid="skip", stringOrderType="alphabetAsc"),
             FeatureHasher(inputCols=[*categories, *numbers], outputCol="_features", numFeatures=width),
             RandomForestClassifier(
                 labelCol="_label", featuresCol="_features", numTrees=trees, maxDepth=depth, seed=seed,
             ),
         ]
-    ).fit(df)
+    ).fit(indexer.fit(labelled).transform(labelled))
     fitted.write().save(path)
     return PipelineModel.load(path)
 
@@ -42,7 +45,9 @@ def predict(model: PipelineModel, df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def principal_components(df: DataFrame, keys: list[str], features: list[str], k: int = 2) -> DataFrame:
-    """First ``k`` component scores of standardised features."""
+    """First ``k`` component scores of standardised features; a NULL counts as the feature's mean."""
+    means = df.agg(*[F.avg(c).alias(c) for c in features]).first()
+    df = df.withColumns({c: F.coalesce(c, F.lit(means[c])) for c in features})
     model = Pipeline(
         stages=[
             VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="skip"),

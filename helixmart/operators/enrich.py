@@ -110,7 +110,7 @@ def stimulus(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None =
 
 
 def microbe(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
-    taxon = F.col(key).cast("int")
+    taxon = F.col(key).try_cast("int")
     a = F.col("_a")
     df = attach(df, taxon, [(refs.get("a"), MICROBE_A, "_a")], salts)
     text = taxon.cast("string")
@@ -128,7 +128,7 @@ def microbe(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = N
 
 
 def taxon(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
-    number = F.col(key).cast("int")
+    number = F.col(key).try_cast("int")
     a = F.col("_a")
     df = attach(df, number, [(refs.get("a"), TAXON_A, "_a")], salts)
     row = _pack(

@@ -21,7 +21,7 @@ def with_parent(child: DataFrame, parent: DataFrame, on: dict[str, str], salts:
 
 
 def _keys(parent: DataFrame, on: dict[str, str]) -> DataFrame:
-    return parent.select(*[F.col(p).alias(c) for c, p in on.items()]).distinct()
+    return parent.select(*[F.col(p).alias(c) for c, p in on.items()])
 
 
 def split_valid(df: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:

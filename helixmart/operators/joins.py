@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
 _SALT = "_salt"
+_OWN = "_own_group"
+# Joins in which every left row stands under one salt only and right rows are never kept by themselves.
+_SALTABLE = {"inner", "left", "leftouter", "left_outer", "semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti"}
 
 
 def keep_one(
@@ -30,21 +33,24 @@ def keep_one(
     ``min``/``max`` over a struct pre-aggregates in every map task, so a key that owns a third
     of the rows sends one row per task through the shuffle; a ``row_number`` window would sort
     all its copies in a single task. Rows with a NULL in the key never equal each other, as in
-    a unique index: they pass by the shuffle and all stay (or none, with ``null_keys=False``).
+    a unique index: each is a group of its own and all stay (or none, with ``null_keys=False``).
     """
     rest = [c for c in df.columns if c not in keys]
     fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])]
     fields += [F.col(c) for c in rest] or [F.lit(1).alias("_one")]
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    one = (
-        df.filter(~has_null)
-        .groupBy(*keys)
+    groups = list(keys)
+    if not null_keys:
+        df = df.filter(~has_null)
+    elif any(df.schema[k].nullable for k in keys):
+        # One pass over the input: a number of its own keeps a row with a NULL key apart.
+        df = df.withColumn(_OWN, F.when(has_null, F.monotonically_increasing_id()))
+        groups.append(_OWN)
+    return (
+        df.groupBy(*groups)
         .agg((F.max if last else F.min)(F.struct(*fields)).alias("_row"))
-        .select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
+        .select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns if c != _OWN])
     )
-    if null_keys and any(df.schema[k].nullable for k in keys):
-        one = one.unionAll(df.filter(has_null))
-    return one
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = 0) -> DataFrame:
@@ -55,6 +61,8 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left
     """
     if salts < 2:
         return left.join(right, on, how)
+    if how.lower() not in _SALTABLE:
+        raise ValueError(f"a {how!r} join would repeat right rows once per salt")
     plain = [F.col(f.name) for f in left.schema if not isinstance(f.dataType, MapType)]
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(salts)).cast("int")
     salted_left = left.withColumn(_SALT, spread)

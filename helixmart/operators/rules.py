@@ -22,6 +22,8 @@ from helixmart.functions.registry import CURRENT, NOOP, Lookup, Registry, Transf
 from helixmart.operators.enrich import ENRICHMENTS
 
 REJECTED = "_rejected"
+# Lookups whose key is a number.
+NUMERIC_KEYS = {"microbe", "taxon"}
 
 
 @dataclass(frozen=True)
@@ -90,7 +92,7 @@ def harmonize(
     columns = df.columns
     cells = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
     if not cells:
-        return df
+        return df.withColumn(REJECTED, F.array().cast("array<string>")) if on_error == "quarantine" else df
 
     last_first = list(reversed(list(enumerate(cells))))
     out = df.select(
@@ -141,6 +143,8 @@ def _run_chains(df, active, references, on_error, as_of, salts) -> DataFrame:
         for k, rule in enumerate(active):
             if i < len(rule.chain) and isinstance(rule.chain[i], Lookup):
                 kind = rule.chain[i].kind
+                if kind in NUMERIC_KEYS:
+                    df = df.withColumns(_step(k, rule, Transform(lambda c: c, _whole_number), on_error))
                 df = ENRICHMENTS[kind](
                     df.withColumnRenamed(f"_v{k}", "_key"), "_key", f"_v{k}", references.get(kind, {}),
                     as_of=as_of, salts=salts,
@@ -148,6 +152,11 @@ def _run_chains(df, active, references, on_error, as_of, salts) -> DataFrame:
     return df
 
 
+def _whole_number(c: Column) -> Column:
+    """NULL is left to the lookup, which gives no row for it."""
+    return c.isNull() | c.try_cast("int").isNotNull()
+
+
 def _step(k: int, rule: Rule, step: Transform, on_error: str) -> dict[str, Column]:
     value = F.col(f"_v{k}")
     result = step.apply(value)

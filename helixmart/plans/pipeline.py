@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from helixmart.functions.registry import CURRENT, Registry
 from helixmart.operators.align import align
@@ -14,8 +15,8 @@ from helixmart.plans.schemas import KEYS, TABLES
 from helixmart.sinks.export import append_audit, write_raw_counts
 from helixmart.sinks.merge import insert_ignore
 from helixmart.sources.catalog import RAW_COUNTS, discover_files, route_files
-from helixmart.sources.envelope import read_envelopes, rows_of
-from helixmart.sources.tsv import read_raw_counts, read_tsv_files
+from helixmart.sources.envelope import quarantine_unrouted, read_envelopes, rows_of
+from helixmart.sources.tsv import ORDER, read_raw_counts, read_tsv_files
 
 
 def tables_to_load(files: DataFrame) -> list[str]:
@@ -42,11 +43,13 @@ def load_table(
     shaped = harmonize(rows, table, rules, references, on_error)
     if on_error == "quarantine":
         shaped, rejected = split_quarantine(shaped)
-        rejected.write.mode("append").parquet(f"{root}/_quarantine/{table}")
-    aligned = align(shaped, TABLES[table], lenient=on_error == "quarantine")
-    inserted = insert_ignore(aligned, f"{root}/{table}", keys[table])
+        rejected.drop(ORDER).write.mode("append").parquet(f"{root}/_quarantine/{table}")
+    order = [ORDER] if ORDER in shaped.columns else []
+    target = StructType([*TABLES[table].fields, *[shaped.schema[c] for c in order]])
+    aligned = align(shaped, target, lenient=on_error == "quarantine")
+    inserted = insert_ignore(aligned, f"{root}/{table}", keys[table], order, transient=order)
     if audit:
-        append_audit(aligned, f"{root}/_audit", table, batch, time.time() - started)
+        append_audit(aligned.drop(*order), f"{root}/_audit", table, batch, time.time() - started)
     return inserted
 
 
@@ -76,18 +79,24 @@ def run(
         if table == RAW_COUNTS:
             write_raw_counts(read_raw_counts(spark, data_dir), f"{root}/counts")
             continue
-        rows = read_tsv_files(mine, multi_line)
+        # The first row of a key is the one that stands first in the files, taken by path.
+        rows = read_tsv_files(mine, multi_line, with_order=True)
         stats[table] = load_table(rows, table, rules, root, keys, references, on_error, audit, data_dir)
     return stats
 
 
 def load_envelopes(spark: SparkSession, path: str, root: str, keys: dict[str, list[str]] = KEYS) -> dict[str, int]:
-    """Insert ``{"table", "row"}`` JSON lines into their tables."""
+    """Insert ``{"table", "row"}`` JSON lines into their tables.
+
+    Known tables without a key (raw counts) are kept as they came below ``_quarantine``.
+    """
     envelopes = read_envelopes(spark, path)
     present = {r["table"] for r in envelopes.select("table").distinct().collect()}
     unknown = present - set(TABLES)
     if unknown:
         raise ValueError(f"Unknown table(s): {sorted(unknown, key=str)}")
+    if present - set(keys):
+        quarantine_unrouted(envelopes, keys, root)
     return {
         t: insert_ignore(align(rows_of(envelopes, t, TABLES[t].names), TABLES[t]), f"{root}/{t}", keys[t])
         for t in TABLES

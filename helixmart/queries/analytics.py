@@ -190,7 +190,7 @@ def classifier(spark, sf_dir):
         F.col("l_quantity").alias("score"),
         F.when(F.col("l_extendedprice") > 50000, "High").otherwise("Low").alias("significance"),
     )
-    model = recipes.significance_model(rows, ["microbe", "stimulus"], ["score"], "significance", trees=5, width=64)
+    model = recipes.significance_model(rows, ["microbe", "stimulus"], ["score"], "significance")
     return recipes.predict(model, rows, ["l_orderkey", "microbe", "stimulus"])
 
 

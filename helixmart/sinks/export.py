@@ -23,8 +23,8 @@ def write_staged_json(staged: DataFrame, path: str) -> None:
 
 
 def write_raw_counts(counts: DataFrame, path: str) -> None:
-    """Long counts in one folder per sample; each input file belongs to one sample already."""
-    counts.write.partitionBy("sample_id").mode("append").parquet(path)
+    """Long counts in one folder per sample; a sample that is loaded again replaces its folder."""
+    counts.write.partitionBy("sample_id").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
 def append_audit(df: DataFrame, path: str, source: str, batch: str, seconds: float) -> None:

@@ -57,9 +57,10 @@ def new_rows(
 ) -> DataFrame:
     """Incoming rows an insert-ignore would add: first per key, key not in the target.
 
-    Of the target only the key columns are read.
+    Of the target only the key columns are read. Columns of ``order_by`` that the target lacks serve the order only.
     """
-    return keep_one(incoming, keys, order_by).join(target.select(*keys), keys, "left_anti").select(*incoming.columns)
+    stored = [c for c in incoming.columns if c in target.columns or c not in (order_by or [])]
+    return keep_one(incoming, keys, order_by).join(target.select(*keys), keys, "left_anti").select(*stored)
 
 
 def merged_rows(
@@ -103,14 +104,18 @@ def insert_ignore(
     order_by: list[str] | None = None,
     rows_per_file: int | None = None,
     prune_target: bool = False,
+    transient: list[str] | None = None,
 ) -> int:
     """Append rows with new keys; returns how many were inserted.
 
+    ``transient`` names columns of ``order_by`` that are not stored.
+
     ``prune_target`` reads the incoming rows once more to narrow the target scan: worth it for
     small batches of ascending keys, not for bulk loads.
     """
     spark = incoming.sparkSession
-    target = read_target(spark, path, incoming.schema)
+    stored = StructType([f for f in incoming.schema if f.name not in (transient or [])])
+    target = read_target(spark, path, stored)
     if prune_target:
         target = within_key_range(target, incoming, keys[0])
     return _counted_write(new_rows(incoming, target, keys, order_by), path, "append", rows_per_file)

@@ -12,6 +12,13 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).json(path)
 
 
+def quarantine_unrouted(envelopes: DataFrame, routed, root: str) -> None:
+    """Write envelopes of tables that are not in ``routed`` below ``root/_quarantine``, one folder per table."""
+    lost = envelopes.filter(~F.coalesce(F.col("table").isin(list(routed)), F.lit(False)))
+    kept = lost.select(F.coalesce("table", F.lit("NULL")).alias("table"), F.to_json("row").alias("row"))
+    kept.write.partitionBy("table").mode("append").json(f"{root}/_quarantine")
+
+
 def rows_of(envelopes: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Rows of one table as text columns; absent keys are NULL."""
     return envelopes.filter(F.col("table") == table).select(

@@ -31,6 +31,8 @@ def read_matrix_market(spark: SparkSession, path: str) -> DataFrame:
     kind = banner.lower().split()
     if "coordinate" not in kind:
         raise ValueError(f"{path}: only coordinate matrices are supported")
+    if {"complex", "hermitian"} & set(kind):
+        raise ValueError(f"{path}: complex matrices are not supported")
     lines = spark.read.text(path).filter(~F.col("value").startswith("%")).filter(F.trim("value") != "")
     same = F.col("value") == size
     repeated = (
@@ -44,9 +46,10 @@ def read_matrix_market(spark: SparkSession, path: str) -> DataFrame:
         F.get(parts, F.lit(1)).cast("bigint").alias("cell_index"),
         value.alias("value"),
     )
-    if "symmetric" in kind:
+    if {"symmetric", "skew-symmetric"} & set(kind):
+        other = -F.col("value") if "skew-symmetric" in kind else F.col("value")
         mirrored = coords.filter("gene_index <> cell_index").select(
-            F.col("cell_index").alias("gene_index"), F.col("gene_index").alias("cell_index"), "value"
+            F.col("cell_index").alias("gene_index"), F.col("gene_index").alias("cell_index"), other.alias("value")
         )
         coords = coords.unionAll(mirrored)
     return coords

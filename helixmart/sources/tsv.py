@@ -28,6 +28,8 @@ MISSING_TOKENS = [
 # ----------------------------------------------------------------------------------------
 
 _CORRUPT = "_corrupt_line"
+# Place of a row in the files: sorts as the rows stand there.
+ORDER = "_row_order"
 
 
 def _read_first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -36,6 +38,8 @@ def _read_first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
     def first_line(path: str) -> str:
         if path.startswith("file:"):
             path = "/" + path[len("file:"):].lstrip("/")
+        elif path.startswith(("s3a:", "s3n:")):  # other names of one store
+            path = "s3:" + quote(path[4:], safe=":/@")
         else:
             path = quote(path, safe=":/@")
         filesystem, inner = fs.FileSystem.from_uri(path)
@@ -67,21 +71,30 @@ def _options(reader, multi_line: bool):
 
 
 def read_tsv(
-    spark: SparkSession, paths: list[str], header: str, multi_line: bool = False, with_file: bool = False
+    spark: SparkSession, paths: list[str], header: str, multi_line: bool = False, with_file: bool = False,
+    with_order: bool = False,
 ) -> DataFrame:
     """All-text rows of files that share one header line.
 
     Blank lines are skipped, short rows end in NULL, extra cells are ignored, an empty cell is
     NULL. Cells may hold doubled quotes; line breaks inside quotes need ``multi_line``, which
-    keeps Spark from splitting a file among tasks.
+    keeps Spark from splitting a file among tasks. ``with_order`` adds ``ORDER``.
     """
     schema, keep = header_schema(header)
     df = _options(spark.read.schema(schema), multi_line).csv(paths)
     extra = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_file")] if with_file else []
+    if with_order:
+        place = F.struct(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        extra.append(place.alias(ORDER))
     return df.select(*[F.col(f"`{c}`") for c in keep], *extra)
 
 
-def read_tsv_files(files: DataFrame, multi_line: bool = False, with_file: bool = False) -> DataFrame:
+def read_tsv_files(
+    files: DataFrame, multi_line: bool = False, with_file: bool = False, with_order: bool = False
+) -> DataFrame:
     """Rows of all catalogued files, each read by its own header, under the union of columns.
 
     Spark reads one path list per *distinct* header, not per file.
@@ -90,7 +103,7 @@ def read_tsv_files(files: DataFrame, multi_line: bool = False, with_file: bool =
     groups: dict[str, list[str]] = {}
     for row in headers_of(files).collect():
         groups.setdefault(row["header"], []).append(row["path"])
-    frames = [read_tsv(spark, sorted(p), h, multi_line, with_file) for h, p in sorted(groups.items()) if h]
+    frames = [read_tsv(spark, sorted(p), h, multi_line, with_file, with_order) for h, p in sorted(groups.items()) if h]
     if not frames:
         raise ValueError("no file with a header line")
     return union_by_name(*frames)
@@ -136,7 +149,7 @@ def read_headerless(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def with_line_index(df: DataFrame, out: str = "index") -> DataFrame:
-    """Add the 1-based position of each row in its (single) file, computed by the scan's blocks.
+    """Add the 1-based position of each row in its file, computed by the scan's blocks.
 
     Rows of one block are read in order by one task. Block sizes give each block's offset, so
     no row passes through a single task. ``df`` must be a plain file scan.
@@ -144,13 +157,13 @@ def with_line_index(df: DataFrame, out: str = "index") -> DataFrame:
     from pyspark.sql import Window
 
     placed = df.select(
-        "*", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at")
+        "*", F.col("_metadata.file_path").alias("_of"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
     )
-    blocks = placed.groupBy("_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # One row per block of the file: bounded by file size / split size, so safe to broadcast.
-    joined = placed.join(F.broadcast(offsets), "_block")
+    blocks = placed.groupBy("_of", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_of").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("_of", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    joined = placed.join(offsets, ["_of", "_block"])
     return joined.select(*df.columns, (F.col("_off") + F.col("_at") - F.col("_first") + 1).alias(out))
 
 

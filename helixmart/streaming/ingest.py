@@ -13,7 +13,7 @@ from helixmart.operators.rules import harmonize
 from helixmart.plans.schemas import KEYS, TABLES
 from helixmart.sinks.merge import insert_ignore
 from helixmart.sources.envelope import SCHEMA as ENVELOPE
-from helixmart.sources.envelope import rows_of
+from helixmart.sources.envelope import quarantine_unrouted, rows_of
 from helixmart.sources.tsv import header_schema
 
 
@@ -80,9 +80,13 @@ def ingest(
 
 
 def ingest_envelopes(stream: DataFrame, root: str, checkpoint: str, keys: dict[str, list[str]] = KEYS) -> StreamingQuery:
-    """Route each micro-batch of envelopes to its tables, referenced tables first."""
+    """Route each micro-batch of envelopes to its tables, referenced tables first.
+
+    Envelopes of other tables are kept below ``root/_quarantine``: the checkpoint will not offer them again.
+    """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        quarantine_unrouted(batch, keys, root)
         for table, key in keys.items():
             rows = align(rows_of(batch, table, TABLES[table].names), TABLES[table])
             insert_ignore(rows, f"{root}/{table}", key)
