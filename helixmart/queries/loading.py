@@ -8,7 +8,9 @@ from helixmart.operators.integrity import content_audit, orphans, rows_per_table
 from helixmart.plans import star
 from helixmart.queries.base import query, table
 from helixmart.session import scratch_path
-from helixmart.sinks import merge
+from helixmart.sinks import export, merge
+from helixmart.sources.tsv import ORDER, read_tsv
+from helixmart.streaming.ingest import ingest_envelopes, stream_envelopes
 
 _EXISTING = "SELECT c_custkey AS sample_id, c_name AS label, cast(NULL AS string) AS day FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')"
 _FIRST = """
@@ -175,3 +177,58 @@ def run_totals(spark, sf_dir):
     return table(spark, sf_dir, "orders").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_orderdate").alias("n_batches")
     )
+
+
+@query("""
+SELECT concat('ENSG', lpad(cast(p_partkey AS varchar), 11, '0')) AS gene_accession, concat('gene ', p_name) AS gene_name,
+       p_size AS gene_length_bp FROM part
+""")
+def load_keep_first(spark, sf_dir):
+    """A full row, then a row of the same key without values: the first in file order stays."""
+    full = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("ENSG"), F.lpad(F.col("p_partkey").cast("string"), 11, "0")).alias("gene_accession"),
+        F.concat(F.lit("gene "), F.col("p_name")).alias("gene_name"),
+        F.col("p_size").cast("string").alias("gene_length_bp"),
+    )
+    both = full.withColumn("turn", F.explode(F.array(F.lit(0), F.lit(1))))
+    both = both.withColumns({c: F.when(F.col("turn") == 0, F.col(c)) for c in ("gene_name", "gene_length_bp")})
+    folder, path = scratch_path(spark, "genes-tsv"), scratch_path(spark, "genes")
+    rows = both.repartition(4, "gene_accession").sortWithinPartitions("turn", "gene_accession").drop("turn")
+    rows.write.option("sep", "\t").option("header", True).csv(folder)
+    scan = read_tsv(spark, [folder], "\t".join(full.columns), with_order=True)
+    scan = scan.withColumn("gene_length_bp", F.col("gene_length_bp").cast("int"))
+    merge.insert_ignore(scan, path, ["gene_accession"], [ORDER], transient=[ORDER])
+    return spark.read.parquet(path)
+
+
+@query("""
+SELECT concat('S', cast(l_suppkey % 20 AS varchar)) AS sample_id, concat('G', cast(l_partkey % 50 AS varchar)) AS gene_iri,
+       cast(sum(l_quantity) AS bigint) AS "count" FROM lineitem GROUP BY 1, 2
+""")
+def raw_counts_twice(spark, sf_dir):
+    """Loading the same samples again replaces them."""
+    counts = table(spark, sf_dir, "lineitem").groupBy(
+        F.concat(F.lit("S"), (F.col("l_suppkey") % 20).cast("string")).alias("sample_id"),
+        F.concat(F.lit("G"), (F.col("l_partkey") % 50).cast("string")).alias("gene_iri"),
+    ).agg(F.sum("l_quantity").cast("bigint").alias("count"))
+    path = scratch_path(spark, "counts")
+    for _ in range(2):
+        export.write_raw_counts(counts, path)
+    return spark.read.schema("gene_iri string, count bigint, sample_id string").parquet(path).select("sample_id", "gene_iri", "count")
+
+
+@query("""
+SELECT CASE c_custkey % 3 WHEN 0 THEN 'Studies' WHEN 1 THEN 'RawCounts' ELSE 'Nowhere' END AS "table", count(*) AS n_rows
+FROM customer GROUP BY 1
+""")
+def envelopes_quarantine(spark, sf_dir):
+    """A stream of envelopes: rows of unrouted tables are kept aside, not lost."""
+    kind = F.when(F.col("c_custkey") % 3 == 0, "Studies").when(F.col("c_custkey") % 3 == 1, "RawCounts").otherwise("Nowhere")
+    envelopes = table(spark, sf_dir, "customer").select(
+        kind.alias("table"), F.create_map(F.lit("iri"), F.col("c_custkey").cast("string"), F.lit("title"), F.col("c_name")).alias("row")
+    )
+    folder, root, checkpoint = (scratch_path(spark, x) for x in ("envelopes", "envelope-root", "envelope-checkpoint"))
+    envelopes.write.json(folder)
+    ingest_envelopes(stream_envelopes(spark, folder), root, checkpoint).awaitTermination()
+    kept = spark.read.schema("row string, table string").json(f"{root}/_quarantine").groupBy("table").agg(F.count("*").alias("n_rows"))
+    return rows_per_table({"Studies": spark.read.parquet(f"{root}/Studies")}).unionByName(kept)
