@@ -154,23 +154,25 @@ def front_code(keys: list[bytes]) -> list[int]:
 
 
 def write_block(entries: list[bytes]) -> bytes:
-    """Sorted entries (suffix and origin) as: shared length, rest of the suffix, origin; packed by a codec."""
+    """Sorted entries (suffix and origin): shared lengths, rests of the suffixes, origins byte by byte; packed by a codec."""
     shared = front_code([e[:WIDTH] for e in entries])
-    plain = b"".join([bytes((n,)) + e[n:] for n, e in zip(shared, entries, strict=True)])
-    return len(plain).to_bytes(4) + pa.compress(plain, codec="zstd", asbytes=True)
+    origins = np.frombuffer(b"".join([e[WIDTH:] for e in entries]), dtype=np.uint8).reshape(-1, ORIGIN)
+    plain = b"".join([bytes(shared), *[e[n:WIDTH] for n, e in zip(shared, entries, strict=True)], origins.T.tobytes()])
+    return len(entries).to_bytes(4) + len(plain).to_bytes(4) + pa.compress(plain, codec="zstd", asbytes=True)
 
 
 def read_blocks(blocks: list[bytes]) -> Iterator[tuple[int, bytes]]:
     """(shared length, entry) of a run; a block starts anew."""
     for packed in blocks:
-        block = pa.decompress(packed[4:], decompressed_size=int.from_bytes(packed[:4]), codec="zstd", asbytes=True)
-        at, before = 0, b""
-        while at < len(block):
-            n = block[at]
-            end = at + 1 + WIDTH - n + ORIGIN
-            entry = before[:n] + block[at + 1 : end]
-            yield n, entry
-            at, before = end, entry
+        n = int.from_bytes(packed[:4])
+        block = pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[4:8]), codec="zstd", asbytes=True)
+        origins = np.frombuffer(block[len(block) - n * ORIGIN :], dtype=np.uint8).reshape(ORIGIN, n).T.tobytes()
+        at, before = n, b""
+        for i, shared in enumerate(block[:n]):
+            end = at + WIDTH - shared
+            before = before[:shared] + block[at:end]
+            at = end
+            yield shared, before + origins[i * ORIGIN : (i + 1) * ORIGIN]
 
 
 class LoserTree:
