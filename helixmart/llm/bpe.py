@@ -23,7 +23,7 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0                
 # Control characters that str.split takes for white space and the tokenizer does not.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # Remembered chunks, and pieces, per worker; beyond it the memory starts anew. Only time depends on it.
-MOST_REMEMBERED = 600_000
+MOST_REMEMBERED = 400_000
 
 
 def _byte_symbols() -> list[str]:
@@ -34,7 +34,7 @@ def _byte_symbols() -> list[str]:
 
 
 class Vocabulary:
-    """One tokenizer file: normaliser, pieces, pair compatibility and the offset table."""
+    """One tokenizer file for encoding: normaliser, pieces, matches and pair compatibility."""
 
     def __init__(self, path: str):
         import ahocorasick
@@ -72,11 +72,6 @@ class Vocabulary:
                     break
         self.machine.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
-        names = {**{i: t for t, i in self.ids.items()}, **{i: t for t, i in self.special.items()}}
-        size = max(names) + 1
-        shown = [(names.get(i, "") + " ").encode() for i in range(size)]
-        self.blob = np.frombuffer(b"".join(shown), dtype=np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(b) for b in shown])]).astype(np.int64)
         self.edges: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         self.known: dict[str, bytes] = {}
         self.known_pieces: dict[str, bytes] = {}
@@ -190,6 +185,18 @@ class Vocabulary:
                     known[c] = self.chunk(c)
             return b"".join([known[c] for c in chunks])
 
+
+class OffsetTable:
+    """All token strings, each with a blank, in one byte table, and where each starts."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        shown = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
+        self.blob = np.frombuffer(b"".join(shown), dtype=np.uint8)
+        self.offsets = np.concatenate([[0], np.cumsum([len(b) for b in shown])]).astype(np.int64)
+
     def decode(self, ids: np.ndarray) -> bytes:
         """Token strings joined by single blanks, cut out of one byte table by offsets."""
         if not len(ids):
@@ -200,6 +207,12 @@ class Vocabulary:
         return self.blob[places].tobytes()[:-1]
 
 
+@functools.lru_cache(maxsize=4)
+def offset_table(path: str) -> OffsetTable:
+    """One per worker process."""
+    return OffsetTable(path)
+
+
 @functools.lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     """One per worker process."""
@@ -242,14 +255,14 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
     place = encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
+        table = offset_table(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 lists = part.column(place)
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 ends = np.cumsum(np.asarray([n or 0 for n in pc.list_value_length(lists).to_pylist()], dtype=np.int64))
-                texts = [vocab.decode(flat[a:b]).decode() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                texts = [table.decode(flat[a:b]).decode() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out])
 
     return encoded.mapInArrow(run, schema)
