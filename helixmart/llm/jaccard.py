@@ -27,7 +27,7 @@ EMPTY = 3
 # Growth of the size bands.
 BAND = 1.6
 # Counters of how often elements occur: their bound whatever the input's size.
-COUNTERS = 1 << 20
+COUNTERS = 1 << 17
 MOST_WORDS = 500_000
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -208,9 +208,9 @@ def _rare_first(measured: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     Any fixed order is exact; rarest first keeps few sets together. Counts are kept by hash in COUNTERS counters.
     """
     counter = F.pmod(F.col("item"), F.lit(COUNTERS)).cast("int")
-    counts = sets.select(F.explode("items").alias("item")).groupBy(counter.alias("c")).count().collect()  # COUNTERS rows at most
-    table = np.zeros(COUNTERS, dtype=np.int32)
-    table[[r["c"] for r in counts]] = [min(r["count"], 2**31 - 1) for r in counts]
+    counts = sets.select(F.explode("items").alias("item")).groupBy(counter.alias("c")).count().toArrow()  # COUNTERS rows at most
+    table = np.zeros(COUNTERS, dtype=np.int64)
+    table[counts["c"].to_numpy()] = counts["count"].to_numpy()
     sent = measured.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
