@@ -52,7 +52,7 @@ class Registry:
             if name in self._entries:
                 found.append(self._entries[name])
             elif self.strict:
-                raise KeyError(f"Unknown transform '{name}'")
+                raise KeyError(f"no transform is registered as {name!r}")
         return found
 
     def extended(self, **more) -> "Registry":

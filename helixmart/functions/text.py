@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import sys
-import unicodedata
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -76,38 +76,19 @@ def tidy_punct(c: Column) -> Column:
     return F.when(c.rlike(_any_of(PUNCTUATION)), out).otherwise(c)
 
 
-def _replace_each(text: str, table: dict[str, str]) -> str:
+def _spelled(c: Column, table: dict[str, str]) -> Column:
+    """Replace each of ``table``'s characters; rows without any pass untouched."""
+    out = c
     for mark, name in table.items():
-        if mark in text:
-            text = text.replace(mark, name)
-    return text
+        out = F.replace(out, F.lit(mark), F.lit(name))
+    return F.when(c.rlike(_any_of(table)), out).otherwise(c)
 
 
-# Spark has no Unicode normalisation, and its case and regex functions are several times slower
-# on non-ASCII text than on ASCII. So rows with foreign characters go to the two Arrow-batched
-# helpers below (all other rows reach them as NULL), and ASCII rows never leave the JVM.
-
-_SPELLING = {**PUNCTUATION, **GREEK}
-
-
-def _slug(text: str) -> str:
-    return " ".join(_replace_each(text, GREEK).split()).lower()
-
-
-def _plain(text: str) -> str:
-    words = " ".join(_replace_each(text, _SPELLING).split()).lower()
-    letters = unicodedata.normalize("NFKD", words).encode("ascii", "ignore").decode("ascii")
-    return letters.strip().lower()
-
-
-@F.pandas_udf(StringType())
-def _foreign_slug(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else _slug(t) or None)
-
-
-@F.pandas_udf(StringType())
-def _foreign_plain(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else _plain(t) or None)
+# Spark has no Unicode normalisation: rows with foreign characters go to one Arrow kernel.
+@F.arrow_udf(StringType())
+def _base_letters(texts: pa.Array) -> pa.Array:
+    """Compatibility decomposition, of which the ASCII characters stay."""
+    return pc.replace_substring_regex(pc.utf8_normalize(texts, form="NFKD"), pattern=r"[^\x00-\x7F]", replacement="")
 
 
 def _squeeze(c: Column) -> Column:
@@ -116,11 +97,12 @@ def _squeeze(c: Column) -> Column:
 
 def ascii_slug(c: Column) -> Column:
     """Spell Greek letters, collapse white space, trim, lower-case; blank gives NULL."""
-    foreign = c.rlike(_FOREIGN)
-    return F.when(foreign, _foreign_slug(F.when(foreign, c))).otherwise(_squeeze(c))
+    return _squeeze(_spelled(c, GREEK))
 
 
 def lowercase_ascii(c: Column) -> Column:
     """Lower-case ASCII text; NULL when nothing is left."""
-    foreign = c.rlike(_FOREIGN)
-    return F.when(foreign, _foreign_plain(F.when(foreign, c))).otherwise(_squeeze(c))
+    words = _squeeze(_spelled(tidy_punct(c), GREEK))
+    foreign = words.rlike(_FOREIGN)
+    letters = blank_to_null(F.lower(strip(_base_letters(F.when(foreign, words)))))
+    return F.when(foreign, letters).otherwise(words)

@@ -33,6 +33,8 @@ SAMPLE_DEFAULTS = {
     "replicate_number": 1,
 }
 HUMAN_TAXON = "NCBITaxon_9606"
+# What stands where no source knows better; not found, made up from the id.
+TITLE_STUB, MAIL_STUB, COUNTS_STUB, COUNTS_END = "Synthetic study ", "@example.org", "s3://bucket/", ".zarr"
 
 GENE_A = "gene_accession string, symbol string, name string, start bigint, end bigint, go_bp array<string>"
 GENE_B = "gene_accession string, display_name string, start bigint, end bigint"
@@ -177,14 +179,14 @@ def study(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = Non
 
     row = _pack(
         iri=acc,
-        title=pick(a["title"], b["title"], F.concat(F.lit("Synthetic study "), acc)),
+        title=pick(a["title"], b["title"], F.concat(F.lit(TITLE_STUB), acc)),
         source_repo=pick(F.lit("ArrayExpress"), F.lit("GEO"), F.lit("LOCAL")),
         publication_date=pick(
             F.substring(F.coalesce(a["publication_date"], F.lit("")), 1, 10), F.lit(""), today
         ),
         study_type=F.lit(STUDY_TYPE),
         num_samples=pick(F.coalesce(a["samples"], F.lit(0)), F.lit(0), F.lit(None).cast("int")),
-        contact_email=pick(F.lit(""), F.lit(""), F.concat(F.lower(acc), F.lit("@example.org"))),
+        contact_email=pick(F.lit(""), F.lit(""), F.concat(F.lower(acc), F.lit(MAIL_STUB))),
     )
     return df.withColumn(out, F.when(F.col(key).isNotNull(), row)).drop("_id", "_a", "_b")
 
@@ -198,7 +200,7 @@ def sample(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = No
     row = _pack(
         iri=sid,
         **filled,
-        raw_counts_uri=F.coalesce(a["raw_counts_uri"], F.concat(F.lit("s3://bucket/"), sid, F.lit(".zarr"))),
+        raw_counts_uri=F.coalesce(a["raw_counts_uri"], F.concat(F.lit(COUNTS_STUB), sid, F.lit(COUNTS_END))),
         collection_date=F.coalesce(a["collection_date"], today),
         donor_age_years=a["donor_age_years"],
         viability_pct=a["viability_pct"],

@@ -13,17 +13,12 @@ from helixmart.operators.eav import harmonize_items, mapped_columns, staged_valu
 from helixmart.session import scratch_path
 from helixmart.sinks.merge import read_target, upsert
 from helixmart.sources.annotated import mapped_items, raw_count_uris
-from helixmart.sources.catalog import discover_any, is_raw_like
+from helixmart.sources.catalog import check_mode, discover_any, is_raw_like
 from helixmart.sources.tsv import header_schema, headers_of, read_attribute_tsv
 
 MODES = ("metadata", "counts", "both")
 
 
-def _check(mode: str) -> None:
-    if mode not in MODES:
-        raise ValueError(f"Unsupported mode '{mode}'. Choose from {MODES}.")
-
-
 def file_items(
     spark: SparkSession, folder: str, mapping: dict, mode: str = "metadata", skip: frozenset = frozenset()
 ) -> DataFrame:
@@ -31,7 +26,7 @@ def file_items(
 
     Spark plans one scan per (stem, header) pair, and stems are bounded by the mapping.
     """
-    _check(mode)
+    check_mode(mode, MODES)
     empty = spark.createDataFrame([], "column string, value string")
     if mode == "counts":
         return empty
@@ -57,7 +52,7 @@ def file_items(
 
 def store_items(spark: SparkSession, store: str, mapping: dict, mode: str = "metadata") -> DataFrame:
     """Items of an annotated store: mapped metadata, one URI per sample for ``counts``, or both."""
-    _check(mode)
+    check_mode(mode, MODES)
     parts = [spark.createDataFrame([], "column string, value string")]
     if mode != "counts":
         parts.append(mapped_items(spark, store, mapping))

@@ -79,9 +79,13 @@ def priority_of(table: Column) -> Column:
     return chain.otherwise(F.lit(UNKNOWN_PRIORITY))
 
 
+def check_mode(mode: str, modes: tuple[str, ...] = MODES) -> None:
+    if mode not in modes:
+        raise ValueError(f"mode is {mode!r}, and can only be one of: {', '.join(modes)}")
+
+
 def in_mode(name: Column, mode: str) -> Column:
-    if mode not in MODES:
-        raise ValueError(f"Unsupported mode '{mode}'. Choose from {MODES}.")
+    check_mode(mode)
     raw = name.endswith(RAW_SUFFIX)
     return {"all": F.lit(True), "metadata": ~raw, "raw_counts": raw}[mode]
 
