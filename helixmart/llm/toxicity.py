@@ -23,7 +23,7 @@ LEAST_RATIO = 30.0
 # Word beginnings of these lengths are terms beside the words.
 STEMS = (4, 5, 6, 7)
 NEIGHBOURS = 15
-BLOCK = 64
+BLOCK = 512
 MOST_WORDS = 500_000
 WORD = re.compile(r"[^\W\d_]+")
 
