@@ -2,7 +2,8 @@
 
 A stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; its decisions take effect in
 what it returns. All but the last return the columns of ``documents``. Rows that repeat an id are one document:
-they stay or go together.
+they stay or go together. Since a stage's rows are written before the next begins, the next deletes the
+intermediate tables of the stages before it.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixmart.llm import bpe, decontaminate, jaccard, suffixes, toxicity
+from helixmart.llm.common import sweep
 from helixmart.llm.queries import word_bpe_file
 from helixmart.session import scratch_path
 
@@ -29,6 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of 5-word-shingle sets linked by a Jaccard similarity of 0.8 or more, the smallest id stays."""
+    sweep(spark)
     classes = jaccard.jaccard_components(docs, k=5, percent=80)
     return _without(docs, classes.where("component_id <> doc_id"))
 
@@ -38,6 +41,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     NULL texts stay NULL, and n_chars is counted anew where bytes went.
     """
+    sweep(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     was_null = docs.withColumn("_null", F.col("text").isNull())
     cut = suffixes.dedup(was_null, keep=[*others, "_null"])
@@ -52,6 +56,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, word for word or re-parameterised, go."""
+    sweep(spark)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

@@ -27,11 +27,23 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
+_SETTLED: list[str] = []
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete the tables that ``settle`` has written so far. Results that still read them must have been written."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    while _SETTLED:
+        path = path_of(_SETTLED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cuts lineage, and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", compression).parquet(path)
+    _SETTLED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

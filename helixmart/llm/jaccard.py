@@ -186,9 +186,10 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     rows = settle(_sketch(texts.select("row", "text"), k, percent), "jaccard-rows")
     # A vertex for each distinct set, named by one of its rows. Rows are named by their content, so a second scan finds them.
     vertices = settle(rows.where("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("row")), "jaccard-vertices")
-    keyed = rows.join(vertices.select("row"), "row", "left_semi").dropDuplicates(["row"]).select("row", F.explode("keys").alias("key"))
+    keyed = rows.select("row", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("row").alias("pivot"), F.max("row").alias("last")).where("pivot <> last")
-    members = settle(keyed.join(shared.select("key", "pivot"), "key"), "jaccard-members")
+    # A region's pivot is a vertex: copies share all regions, and the vertex is their first.
+    members = settle(keyed.join(shared.select("key", "pivot"), "key").join(vertices.select("row"), "row", "left_semi"), "jaccard-members")
     sets = settle(_sets(texts.join(members.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"]).select("row", "text"), k), "jaccard-sets")
     links = _classes(members, sets, percent)
     classes = components(links, "jaccard-cc")
