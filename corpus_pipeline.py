@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixmart.llm import bpe, decontaminate, jaccard, suffixes, toxicity
-from helixmart.llm.common import sweep
+from helixmart.llm.common import forget, sweep
 from helixmart.llm.queries import word_bpe_file
 from helixmart.session import scratch_path
 
@@ -25,6 +25,7 @@ def _without(docs: DataFrame, bad: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.5 or more go; learned from all labels."""
+    forget()
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return _without(docs, toxicity.score(docs, labels).where("score >= 0.5"))
 

@@ -30,8 +30,13 @@ def ship(spark: SparkSession) -> None:
 _SETTLED: list[str] = []
 
 
+def forget() -> None:
+    """Leave the tables written so far alone: ``sweep`` deletes later ones only."""
+    _SETTLED.clear()
+
+
 def sweep(spark: SparkSession) -> None:
-    """Delete the tables that ``settle`` has written so far. Results that still read them must have been written."""
+    """Delete the tables that ``settle`` wrote since ``forget``. Results that still read them must have been written."""
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     while _SETTLED:
         path = path_of(_SETTLED.pop())

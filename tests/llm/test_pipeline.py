@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from helixmart.llm import bpe, toxicity
 from helixmart.llm.queries import word_bpe_file
+from helixmart.session import scratch_path
 from tests.llm.test_text_operators import components_by_force, dedup_by_force, words
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -25,7 +26,9 @@ def test_near_copies_and_repeats(spark):
     shared = words(rng, 70)
     rows = [(i, f"{words(rng, 30)} {shared if i % 3 == 0 else ''} {words(rng, 30)}") for i in range(30)]
     rows += [(30, rows[4][1]), (31, rows[4][1] + " end"), (32, None), (33, ""), (34, "é" * 80 + shared)]
-    kept = STAGES["jaccard_join"](spark, frame(spark, rows), SF_DIR)
+    path = scratch_path(spark, "pipeline-test")
+    STAGES["jaccard_join"](spark, frame(spark, rows), SF_DIR).write.parquet(path)
+    kept = spark.read.parquet(path)
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     want = {i for i, _, least in components_by_force(rows, 5, 80) if i == least}
     assert {r["doc_id"] for r in kept.collect()} == want
