@@ -99,7 +99,7 @@ def test_warc_of_small_payloads_and_no_rows(spark):
     assert warc.replay(spark, path).collect() == []
 
 
-@pytest.mark.parametrize("scale,spread", [(1, 1.0), (0.001, 1.0), (3, 1e7)])
+@pytest.mark.parametrize("scale,spread", [(1, 1.0), (0.001, 1.0), (3, 1e4)])
 def test_top_k(spark, scale, spread):
     rng = np.random.default_rng(7)
     centres = rng.normal(size=(5, 24))
