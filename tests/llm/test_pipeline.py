@@ -10,7 +10,7 @@ import corpus_pipeline
 from helixmart.llm import bpe, toxicity
 from helixmart.llm.queries import word_bpe_file
 from helixmart.session import scratch_path
-from tests.llm.test_text_operators import components_by_force, dedup_by_force, words
+from test_text_operators import components_by_force, dedup_by_force, words
 
 SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
