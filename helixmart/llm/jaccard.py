@@ -203,6 +203,14 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     )
 
 
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked ones of pairs(a, b). Pairs whose sizes rule a link out are not measured."""
+    sizes = sets.select("row", F.size("items").alias("n"))
+    sized = pairs.join(sizes.select(F.col("row").alias("a"), F.col("n").alias("_na")), "a").join(sizes.select(F.col("row").alias("b"), F.col("n").alias("_nb")), "b")
+    near = sized.where(100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")).select("a", "b")
+    return _measure(near, sets, percent).where("link").select("a", "b")
+
+
 def _rare_first(measured: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Replace ``apart`` by its size ``far`` and by ``edge``, its rarest elements: one more than a's linked sets may lack.
 
@@ -238,7 +246,7 @@ def _classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = members.where("row <> pivot").select(F.col("row").alias("a"), F.col("pivot").alias("b")).distinct()
     pairs = settle(pairs, "jaccard-pairs")
     families = components(pairs, "jaccard-family").select(F.col("id").alias("a"), F.col("root").alias("b")).where("a <> b")
-    edges = settle(_measure(pairs, sets, percent).where("link").select("a", "b"), "jaccard-edges")
+    edges = settle(_links(pairs, sets, percent), "jaccard-edges")
     roots = components(edges, "jaccard-turn")
     # Families whose members are not all of one class yet; b is the centre from here on.
     named = settle(_named(_named(families, roots, "a", "class"), roots, "b", "home"), "jaccard-named")
@@ -259,7 +267,7 @@ def _classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pivots = inner.groupBy("b", "element").agg(F.min("a").alias("pivot"), F.max("a").alias("last")).where("pivot <> last").drop("last")
     stars = inner.join(pivots, ["b", "element"]).where("a <> pivot")
     stars = settle(_named(_named(stars.select("a", "pivot").distinct(), roots, "a", "class"), roots, "pivot", "home").where("class <> home").select("a", F.col("pivot").alias("b")), "jaccard-stars")
-    edges = settle(edges.union(_measure(stars, sets, percent).where("link").select("a", "b")), "jaccard-edges")
+    edges = settle(edges.union(_links(stars, sets, percent)), "jaccard-edges")
     roots = components(edges, "jaccard-turn")
     # What is left: sets of different classes in one inner region, within the windows of size and distance.
     open_members = _named(inner, roots, "a", "class")
@@ -273,5 +281,5 @@ def _classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         & ((F.col("y.far") - F.col("x.far")) * (100 + percent) <= (F.col("x.size_a") + F.col("y.size_a")) * (100 - percent))
     )
     near = settle(x.join(y, meet).select(F.col("x.a").alias("a"), F.col("y.a").alias("b")).distinct(), "jaccard-near")
-    found = _measure(near, sets, percent).where("link").select("a", "b")
+    found = _links(near, sets, percent)
     return settle(edges.union(found), "jaccard-edges")
