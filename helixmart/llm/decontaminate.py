@@ -12,7 +12,7 @@ WINDOW = 8
 LEAST_LITERAL = 4
 COVERAGE = 0.5
 LEAST_WINDOWS = 6
-# Items of fewer words than this are too short to tell from chance.
+# Items of fewer words than this, and windows with fewer than LEAST_LITERAL literal words, are matched word for word only.
 LEAST_WORDS = 5
 # Benchmark windows that may be broadcast (about 0.3 kB each); beyond it both sides are shuffled.
 BROADCAST_WINDOWS = 200_000
@@ -27,9 +27,21 @@ UNITS = (
 ).split()
 
 
+# Scripts written without blanks, whose characters are words of their own.
+UNSPACED = "".join(rf"\p{{Is{s}}}" for s in "Han Hiragana Katakana Thai Lao Khmer Myanmar".split())
+
+
 def spaced(text: Column) -> Column:
-    """The words of a text with single blanks between them."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s ]+", " "))
+    """The words of a text with single blanks between them; each character of a script without blanks is a word."""
+    text = F.coalesce(text, F.lit(""))
+    apart = F.when(text.rlike(f"[{UNSPACED}]"), F.regexp_replace(text, f"([{UNSPACED}])", " $1 ")).otherwise(text)
+    return F.trim(F.regexp_replace(apart, r"[\s ]+", " "))
+
+
+def plain(words: Column) -> Column:
+    """The ``spaced`` words in lower case without punctuation around them; signs of numbers and lone symbols stay."""
+    around = r"(?<![^ ])(?:(?![+−-]?\p{N})[^\p{L}\p{M}\p{N} ])+(?=[\p{L}\p{M}\p{N}+−-])|(?<=[\p{L}\p{M}\p{N}])[^\p{L}\p{M}\p{N} ]+(?![^ ])"
+    return F.regexp_replace(F.lower(words), around, "")
 
 
 def template(df: DataFrame, words: str) -> DataFrame:
@@ -64,6 +76,46 @@ def _read(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
     return template(split, "w").select(name, f"{name}_text", F.split("w", " ").alias("words"), F.split("template", " ").alias("canon"))
 
 
+def _literal(form: Column) -> Column:
+    return F.size(F.filter(form, lambda w: ~w.startswith("⟨") & (w != "")))
+
+
+def _read_plain(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
+    words = F.split(plain(spaced(F.col(text_col))), " ").alias("words")
+    read = df.select(F.col(id_col).alias(name), F.xxhash64(F.col(text_col)).alias(f"{name}_text"), words)
+    return read.select("*", F.col("words").alias("canon"))
+
+
+def _hinted(sought: DataFrame) -> DataFrame:
+    return F.broadcast(sought) if sought.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS else sought
+
+
+def _lengths(items: DataFrame) -> list[int]:
+    """Window lengths: WINDOW, and the whole length of each shorter item."""
+    return sorted(r["n"] for r in items.select(F.least(F.size("canon"), F.lit(WINDOW)).alias("n")).distinct().collect())
+
+
+def _verbatim(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame | None:
+    """Alignments of equal words: key, windows (matched), item_windows. No word is a slot; None without items."""
+    items = _read_plain(benchmark, item_col, item_text_col, "item_id").where(F.array_join("words", "") != "")
+    items = settle(items.dropDuplicates(["item_id", "item_id_text"]), "decontaminate-words")
+    texts = _read_plain(docs, id_col, text_col, "doc_id")
+    found = None
+    for length in _lengths(items):
+        pool = items.where(F.size("canon") == length) if length < WINDOW else items.where(F.size("canon") >= WINDOW)
+        sought = windows(pool.select("*", (F.size("canon") - length + 1).alias("item_windows")), length, ["item_id", "item_id_text", "item_windows"])
+        sought = sought.select("hash", "item_id", "item_id_text", "item_windows", F.col("place").alias("item_place"), F.col("form").alias("item_form"))
+        met = windows(texts, length, ["doc_id", "doc_id_text"]).drop("surface").join(_hinted(sought), "hash").where(F.col("form") == F.col("item_form"))
+        met = met.withColumn("shift", F.col("place") - F.col("item_place")).drop("hash", "form", "item_form", "place")
+        if length < WINDOW:  # one window is the whole item: once in a document is enough
+            met = met.withColumn("shift", F.lit(0)).dropDuplicates(["doc_id", "doc_id_text", "item_id", "item_id_text"])
+        found = met if found is None else found.unionByName(met)
+    if found is None:
+        return None
+    found = settle(found, "decontaminate-equal").withColumn("key", F.struct("doc_id", "doc_id_text", "item_id", "item_id_text", "shift"))
+    return found.groupBy("key").agg(F.countDistinct("item_place").alias("windows"), F.max("item_windows").alias("item_windows"))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -76,33 +128,52 @@ def contaminated(
 
     Both sides become templates; equal template windows of 8 words meet in a hash join. Matches of a document
     and an item on one alignment count together. An alignment counts if every slot value of the item stands
-    for one value in the document throughout, and its windows cover half of the item, or six windows (13 words
-    in a row). Windows with fewer than four literal words don't count.
+    for one value in the document throughout, and its windows cover half of the item's, or six windows (13 words
+    in a row). Windows with fewer than four literal words are not template windows. Windows of 8 equal words
+    count by themselves, whatever the words are, by the same shares. In scripts without blanks characters are words.
 
     Edge cases: NULL and empty texts match nothing. Items of 5 to 7 words are matched as a whole; shorter ones
-    are not looked for. Rows that repeat id and text count as one; rows with one id and several texts are
+    too, but only word for word. Rows that repeat id and text count as one; rows with one id and several texts are
     tested apart and reported once per item. NULL ids are reported as NULL. Other columns are not looked at.
     Returns also windows (matched), item_windows, slots, changed_slots and kind (verbatim or reparameterised).
     """
     items = settle(_read(benchmark, item_col, item_text_col, "item_id").dropDuplicates(["item_id", "item_id_text"]), "decontaminate-items")
     texts = _read(docs, id_col, text_col, "doc_id")
-    lengths = [r["n"] for r in items.select(F.least(F.size("canon"), F.lit(WINDOW)).alias("n")).distinct().collect() if r["n"] >= LEAST_WORDS]
     found = None
-    for length in sorted(lengths):  # one length, and one more for each of 5, 6 and 7 that short items have
+    for length in [n for n in _lengths(items) if n >= LEAST_WORDS]:  # one length, and one more for each of 5, 6 and 7 that short items have
         pool = items.where(F.size("canon") == length) if length < WINDOW else items.where(F.size("canon") >= WINDOW)
-        total = (F.size("canon") - length + 1).alias("item_windows")
+        # Shares are of the windows that can be met.
+        places = F.sequence(F.lit(1), F.size("canon") - length + 1)
+        total = F.size(F.filter(places, lambda at: _literal(F.slice("canon", at, length)) >= LEAST_LITERAL)).alias("item_windows")
         sought = windows(pool.select("*", total), length, ["item_id", "item_id_text", "item_windows"])
-        literal = F.size(F.filter("form", lambda w: ~w.startswith("⟨") & (w != "")))
-        sought = sought.where(literal >= min(LEAST_LITERAL, length))
+        sought = sought.where(_literal(F.col("form")) >= LEAST_LITERAL)
         sought = sought.select("hash", "item_id", "item_id_text", "item_windows", F.col("place").alias("item_place"), F.col("form").alias("item_form"), F.col("surface").alias("item_surface"))
-        if sought.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
-            sought = F.broadcast(sought)
-        met = windows(texts, length, ["doc_id", "doc_id_text"]).join(sought, "hash")
+        met = windows(texts, length, ["doc_id", "doc_id_text"]).join(_hinted(sought), "hash")
         met = met.withColumn("shift", F.col("place") - F.col("item_place"))
         found = met if found is None else found.unionByName(met)
-    if found is None:
+    aligned = _verbatim(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    if found is not None:
+        found = _templates(found)
+        aligned = found if aligned is None else found.unionByName(aligned.selectExpr("*", "0L as slots", "0L as changed_slots"))
+    elif aligned is not None:
+        aligned = aligned.selectExpr("*", "0L as slots", "0L as changed_slots")
+    else:
         empty = docs.select(F.col(id_col).alias("doc_id"), F.lit(None).cast("long").alias("item_id")).limit(0)
         return empty.selectExpr("doc_id", "item_id", "0L as windows", "0L as item_windows", "0L as slots", "0L as changed_slots", "'' as kind")
+    enough = (F.col("windows") >= LEAST_WINDOWS) | (F.col("windows") >= COVERAGE * F.col("item_windows"))
+    aligned = aligned.where(enough).select(
+        F.struct("key.doc_id", "key.item_id").alias("pair"),
+        F.struct("windows", (-F.col("changed_slots")).alias("same"), "item_windows", "slots", "changed_slots").alias("best"),
+    )
+    best = aligned.groupBy("pair").agg(F.max("best").alias("best"))
+    return best.select(
+        "pair.doc_id", "pair.item_id", "best.windows", F.col("best.item_windows").cast("long").alias("item_windows"), "best.slots", "best.changed_slots",
+        F.when(F.col("best.changed_slots") == 0, "verbatim").otherwise("reparameterised").alias("kind"),
+    )
+
+
+def _templates(found: DataFrame) -> DataFrame:
+    """Alignments of template windows: key, windows (matched), item_windows, slots, changed_slots."""
     # Equal hashes are confirmed after the write, so that the join needs no slice of a window that meets nothing.
     found = settle(found.drop("hash"), "decontaminate-met").where(F.col("form") == F.col("item_form"))
     keys = ["doc_id", "doc_id_text", "item_id", "item_id_text", "shift"]
@@ -118,16 +189,7 @@ def contaminated(
     values = slots.groupBy("key", "stands").agg(F.min("now").alias("low"), F.max("now").alias("high"), F.count("*").alias("slots"), F.sum((F.col("now") != F.col("stands.value")).cast("long")).alias("changed"))
     checked = values.groupBy("key").agg(F.sum("slots").alias("slots"), F.sum("changed").alias("changed_slots"), F.max(F.col("low") != F.col("high")).alias("mixed"))
     aligned = counted.join(checked, "key", "left").where(~F.coalesce("mixed", F.lit(False)))
-    enough = (F.col("windows") >= LEAST_WINDOWS) | (F.col("windows") >= COVERAGE * F.col("item_windows"))
-    aligned = aligned.where(enough).select(
-        F.struct("key.doc_id", "key.item_id").alias("pair"),
-        F.struct("windows", -F.coalesce("changed_slots", F.lit(0)), "item_windows", F.coalesce("slots", F.lit(0)).alias("slots"), F.coalesce("changed_slots", F.lit(0)).alias("changed_slots")).alias("best"),
-    )
-    best = aligned.groupBy("pair").agg(F.max("best").alias("best"))
-    return best.select(
-        "pair.doc_id", "pair.item_id", "best.windows", F.col("best.item_windows").cast("long").alias("item_windows"), "best.slots", "best.changed_slots",
-        F.when(F.col("best.changed_slots") == 0, "verbatim").otherwise("reparameterised").alias("kind"),
-    )
+    return aligned.select("key", "windows", "item_windows", F.coalesce("slots", F.lit(0)).alias("slots"), F.coalesce("changed_slots", F.lit(0)).alias("changed_slots"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

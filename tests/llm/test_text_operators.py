@@ -352,3 +352,17 @@ def test_short_items_match_as_a_whole(spark):
     docs = spark.createDataFrame([(1, "so six words make up this one here"), (2, "six words make up this two")], "doc_id long, text string")
     items = spark.createDataFrame([(3, "Six words make up this one.")], "item_id long, text string")
     assert [(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, items).collect()] == [(1, 3)]
+
+
+def contaminated_pairs(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    return {(r["doc_id"], r["item_id"]) for r in found.collect()}
+
+
+def test_verbatim_items_of_any_make(spark):
+    rng = random.Random(5)
+    items = ["小明有十二个苹果，他给了小红三个，还剩几个？", "ประเทศไทยมีกี่จังหวัด", "Who wrote Hamlet?", "Compute 12 + 34 * 56 - 78 / 9 + 10", "The Great Fire Of London Began In Pudding Lane In 1666", "!!"]
+    texts = [f"{words(rng, 20)} {t} {words(rng, 20)}" for t in items[:5]]
+    texts += ["小红有十二本书", "who wrote it", "Compute 13 + 35 * 57 - 79 / 8 + 11", "The Small House Of Berlin Stood In Garden Street In 1777", "Compute 12 - 34 * 56 + 78 / 9 - 10"]
+    assert contaminated_pairs(spark, texts, items) == {(i, i) for i in range(5)}
