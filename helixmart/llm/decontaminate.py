@@ -127,9 +127,9 @@ def contaminated(
     """(doc_id, item_id) of documents that hold a benchmark item, word for word or with other numbers, units or names.
 
     Both sides become templates; equal template windows of 8 words meet in a hash join. Matches of a document
-    and an item on one alignment count together. An alignment counts if every slot value of the item stands
-    for one value in the document throughout, and its windows cover half of the item's, or six windows (13 words
-    in a row). Windows with fewer than four literal words are not template windows. Windows of 8 equal words
+    and an item on one alignment count together. Where a slot value of the item stands for several values in
+    the document, windows over its changed places don't count. An alignment counts if its windows cover half of
+    the item's, or six windows (13 words), which must be in a row if others conflict. Windows with fewer than four literal words are not template windows. Windows of 8 equal words
     count by themselves, whatever the words are, by the same shares. In scripts without blanks characters are words.
 
     Edge cases: NULL and empty texts match nothing. Items of 5 to 7 words are matched as a whole; shorter ones
@@ -179,16 +179,31 @@ def _templates(found: DataFrame) -> DataFrame:
     keys = ["doc_id", "doc_id_text", "item_id", "item_id_text", "shift"]
     # NULL ids take part: the keys are grouped as one struct.
     found = found.withColumn("key", F.struct(*keys))
-    counted = found.groupBy("key").agg(F.countDistinct("place").alias("windows"), F.max("item_windows").alias("item_windows"))
     zipped = F.explode(F.arrays_zip("form", "item_surface", "surface", F.sequence(F.lit(0), F.size("form") - 1).alias("i")))
     slots = found.select("key", "item_place", zipped.alias("z")).where(F.col("z.form").startswith("⟨"))
     bare = lambda c: F.regexp_replace(F.lower(c), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
     slots = slots.select(
         "key", (F.col("item_place") + F.col("z.i")).alias("at"), F.struct("z.form", bare(F.col("z.item_surface")).alias("value")).alias("stands"), bare(F.col("z.surface")).alias("now")
     ).distinct()
-    values = slots.groupBy("key", "stands").agg(F.min("now").alias("low"), F.max("now").alias("high"), F.count("*").alias("slots"), F.sum((F.col("now") != F.col("stands.value")).cast("long")).alias("changed"))
-    checked = values.groupBy("key").agg(F.sum("slots").alias("slots"), F.sum("changed").alias("changed_slots"), F.max(F.col("low") != F.col("high")).alias("mixed"))
-    aligned = counted.join(checked, "key", "left").where(~F.coalesce("mixed", F.lit(False)))
+    changed = F.col("now") != F.col("stands.value")
+    values = slots.groupBy("key", "stands").agg(
+        (F.min("now") != F.max("now")).alias("mixed"), F.count("*").alias("slots"), F.sum(changed.cast("long")).alias("changed"), F.collect_set(F.when(changed, F.col("at"))).alias("at")
+    )
+    # Where a value stands for several, the windows over its changed places conflict.
+    conflicts = F.flatten(F.collect_list(F.when(F.col("mixed"), F.col("at")))).alias("conflicts")
+    checked = values.groupBy("key").agg(F.sum("slots").alias("slots"), F.sum("changed").alias("changed_slots"), conflicts)
+    met = found.select("key", "item_place", "item_windows", F.size("form").alias("length")).distinct()
+    met = met.join(checked, "key", "left").withColumn("torn", F.size(F.coalesce("conflicts", F.array().cast("array<int>"))) > 0)
+    met = met.where(~F.col("torn") | ~F.exists("conflicts", lambda at: (at >= F.col("item_place")) & (at < F.col("item_place") + F.col("length"))))
+    aligned = met.groupBy("key").agg(
+        F.count("*").alias("windows"), F.max("item_windows").alias("item_windows"), F.max("slots").alias("slots"), F.max("changed_slots").alias("changed_slots"),
+        F.max("torn").alias("torn"), F.array_sort(F.collect_list("item_place")).alias("places"),
+    )
+    # What is left of a torn alignment must be whole stretches: windows here and there are no passage.
+    steps = F.when(F.size("places") >= LEAST_WINDOWS, F.sequence(F.lit(0), F.size("places") - LEAST_WINDOWS)).otherwise(F.array().cast("array<int>"))
+    places = F.col("places")
+    stretch = F.exists(steps, lambda i: places[i + LEAST_WINDOWS - 1] == places[i] + LEAST_WINDOWS - 1)
+    aligned = aligned.where(~F.col("torn") | (F.col("windows") >= COVERAGE * F.col("item_windows")) | stretch)
     return aligned.select("key", "windows", "item_windows", F.coalesce("slots", F.lit(0)).alias("slots"), F.coalesce("changed_slots", F.lit(0)).alias("changed_slots"))
 
 

@@ -366,3 +366,15 @@ def test_verbatim_items_of_any_make(spark):
     texts = [f"{words(rng, 20)} {t} {words(rng, 20)}" for t in items[:5]]
     texts += ["小红有十二本书", "who wrote it", "Compute 13 + 35 * 57 - 79 / 8 + 11", "The Small House Of Berlin Stood In Garden Street In 1777", "Compute 12 - 34 * 56 + 78 / 9 - 10"]
     assert contaminated_pairs(spark, texts, items) == {(i, i) for i in range(5)}
+
+
+def test_conflicting_slots_take_only_their_windows(spark):
+    rng = random.Random(8)
+    lead, tail = words(rng, 20), words(rng, 20)
+    items = [f"{lead} 17 {tail} 17 {words(rng, 3)}", f"so 3 {words(rng, 20)} and {words(rng, 20)} for 3"]
+    texts = [items[0].replace("17", "18", 1), items[1].replace("so 3", "so 8").replace("for 3", "for 9"), f"so 8 {words(rng, 30)} for 9"]
+    assert contaminated_pairs(spark, texts, items) == {(0, 0), (1, 1)}
+    # No six windows of equal words: the places of 3 that conflict are at the ends only.
+    part = "so 3 boys and 5 girls who each walk to 5 or more shops buy bread there and then eat 3"
+    text = part.replace("5", "6").replace("so 3", "so 8").replace("eat 3", "eat 9")
+    assert contaminated_pairs(spark, [text], [part]) == {(0, 0)}
