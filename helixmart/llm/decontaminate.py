@@ -17,8 +17,9 @@ LEAST_WORDS = 5
 # Benchmark windows that may be broadcast (about 0.3 kB each); beyond it both sides are shuffled.
 BROADCAST_WINDOWS = 200_000
 
-# Placeholders and the words taken for units.
-NUMBER, UNIT, NAME = "⟨n⟩", "⟨u⟩", "⟨p⟩"
+# Placeholders, what stands for a blank inside a slot, and the words taken for units.
+NUMBER, NAME = "⟨n⟩", "⟨p⟩"
+JOINT = "\ue000"
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg t lb lbs pound pounds oz ounce ounces ml l "
     "liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks "
@@ -45,18 +46,21 @@ def plain(words: Column) -> Column:
 
 
 def template(df: DataFrame, words: str) -> DataFrame:
-    """Add ``template``, the canonical form of the ``spaced`` text in column ``words``, word for word.
+    """Add ``joined``, the ``spaced`` text in column ``words`` with the words of a slot made one, and its canonical form ``template``, word for word.
 
-    Placeholders stand for numbers, their units and names; the rest is in lower case without punctuation.
+    Placeholders stand for runs of names and for numbers with their units; the rest is in lower case without punctuation.
     """
-    # A name is a word with a capital that does not start a sentence.
-    named = F.regexp_replace(words, r"(?<=[\p{L}\p{N},;] )\p{Lu}[\p{L}\p{M}'’-]*", NAME)
-    counted = F.regexp_replace("_named", r"(?<![^ ])[^\p{L} ]*\p{N}[^\p{L} ]*(?![^ ])", NUMBER)
-    attached = F.regexp_replace(counted, r"(?<![^ ])[^\p{L}⟨ ]*\p{N}[^\p{L} ]*(?:" + "|".join(UNITS) + r")[^\p{L} ]*(?![^ ])", NUMBER)
-    united = F.regexp_replace(attached, rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?=[^\p{{L}}]|$)", UNIT)
+    # A name is a word with a capital: at the start of a sentence none can be told from other words.
+    name, start, units = r"\p{Lu}[\p{L}\p{M}'’-]*", r"(?<![\p{L}\p{M}\p{N}'’-])", "|".join(UNITS)
+    joined = F.regexp_replace(words, rf"{start}({name}) (?=\p{{Lu}})", f"$1{JOINT}")
+    measured = F.regexp_replace("_joined", rf"(\p{{N}}) (?=(?:{units})(?![\p{{L}}\p{{M}}\p{{N}}]))", f"$1{JOINT}")
+    named = F.regexp_replace("joined", rf"{start}{name}(?:{JOINT}{name})*", NAME)
+    counted = F.regexp_replace("_named", rf"(?<![^ ])[^\p{{L}}⟨ ]*\p{{N}}[^\p{{L}} ]*(?:{units})?[^\p{{L}} ]*(?![^ ])", NUMBER)
     # Texts without a digit skip the number patterns. Columns of their own keep each step from being computed twice.
-    marked = df.withColumn("_named", named).withColumn("_marked", F.when(F.col("_named").rlike(r"\p{N}"), united).otherwise(F.col("_named")))
-    return marked.withColumn("template", F.regexp_replace(F.lower("_marked"), r"[^\p{L}\p{M}\p{N}⟨⟩ ]+", "")).drop("_named", "_marked")
+    digits = F.col(words).rlike(r"\p{N}")
+    marked = df.withColumn("_joined", joined).withColumn("joined", F.when(digits, measured).otherwise(F.col("_joined")))
+    marked = marked.withColumn("_named", named).withColumn("_marked", F.when(digits, counted).otherwise(F.col("_named")))
+    return marked.withColumn("template", F.regexp_replace(F.lower("_marked"), r"[^\p{L}\p{M}\p{N}⟨⟩ ]+", "")).drop("_joined", "_named", "_marked")
 
 
 def windows(df: DataFrame, length: int, keep: list[str]) -> DataFrame:
@@ -73,7 +77,7 @@ def windows(df: DataFrame, length: int, keep: list[str]) -> DataFrame:
 def _read(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
     words = spaced(F.col(text_col))
     split = df.select(F.col(id_col).alias(name), F.xxhash64(F.col(text_col)).alias(f"{name}_text"), words.alias("w"))
-    return template(split, "w").select(name, f"{name}_text", F.split("w", " ").alias("words"), F.split("template", " ").alias("canon"))
+    return template(split, "w").select(name, f"{name}_text", F.split("joined", " ").alias("words"), F.split("template", " ").alias("canon"))
 
 
 def _literal(form: Column) -> Column:
@@ -86,6 +90,26 @@ def _read_plain(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFra
     return read.select("*", F.col("words").alias("canon"))
 
 
+def _begun(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """Items, and each that begins with a capital also with a small letter, as it stands inside a sentence."""
+    items, first = benchmark.select(item_col, text_col), r"(?s)^(\P{L}*\p{Lu})"
+    small = F.concat(F.lower(F.regexp_extract(text_col, first, 1)), F.regexp_replace(text_col, first, ""))
+    return items.unionByName(items.where(F.col(text_col).rlike(first)).withColumn(text_col, small))
+
+
+def _bare(word: Column) -> Column:
+    return F.regexp_replace(F.lower(word), rf"^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$|{JOINT}", "")
+
+
+def _keyed(found: DataFrame) -> DataFrame:
+    """Add ``key``, one for each alignment a match belongs to: its word shift, and two bands of neighbouring shifts."""
+    band = lambda kind, at: F.struct(F.lit(kind).alias("kind"), at.cast("long").alias("at"))
+    shift = F.col("shift")
+    bands = F.array(band(0, shift), band(1, F.floor(shift / WINDOW)), band(2, F.floor((shift + WINDOW // 2) / WINDOW)))
+    # NULL ids take part: the keys are grouped as one struct.
+    return found.withColumn("band", F.explode(bands)).withColumn("key", F.struct("doc_id", "doc_id_text", "item_id", "item_id_text", "band"))
+
+
 def _hinted(sought: DataFrame) -> DataFrame:
     return F.broadcast(sought) if sought.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS else sought
 
@@ -112,7 +136,7 @@ def _verbatim(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
         found = met if found is None else found.unionByName(met)
     if found is None:
         return None
-    found = settle(found, "decontaminate-equal").withColumn("key", F.struct("doc_id", "doc_id_text", "item_id", "item_id_text", "shift"))
+    found = _keyed(settle(found, "decontaminate-equal"))
     return found.groupBy("key").agg(F.countDistinct("item_place").alias("windows"), F.max("item_windows").alias("item_windows"))
 
 
@@ -127,7 +151,7 @@ def contaminated(
     """(doc_id, item_id) of documents that hold a benchmark item, word for word or with other numbers, units or names.
 
     Both sides become templates; equal template windows of 8 words meet in a hash join. Matches of a document
-    and an item on one alignment count together. Where a slot value of the item stands for several values in
+    and an item on one word shift, or on neighbouring ones, count together. Where a slot value of the item stands for several values in
     the document, windows over its changed places don't count. An alignment counts if its windows cover half of
     the item's, or six windows (13 words), which must be in a row if others conflict. Windows with fewer than four literal words are not template windows. Windows of 8 equal words
     count by themselves, whatever the words are, by the same shares. In scripts without blanks characters are words.
@@ -137,17 +161,20 @@ def contaminated(
     tested apart and reported once per item. NULL ids are reported as NULL. Other columns are not looked at.
     Returns also windows (matched), item_windows, slots, changed_slots and kind (verbatim or reparameterised).
     """
-    items = settle(_read(benchmark, item_col, item_text_col, "item_id").dropDuplicates(["item_id", "item_id_text"]), "decontaminate-items")
+    items = settle(_read(_begun(benchmark, item_col, item_text_col), item_col, item_text_col, "item_id").dropDuplicates(["item_id", "item_id_text"]), "decontaminate-items")
     texts = _read(docs, id_col, text_col, "doc_id")
     found = None
     for length in [n for n in _lengths(items) if n >= LEAST_WORDS]:  # one length, and one more for each of 5, 6 and 7 that short items have
         pool = items.where(F.size("canon") == length) if length < WINDOW else items.where(F.size("canon") >= WINDOW)
         # Shares are of the windows that can be met.
         places = F.sequence(F.lit(1), F.size("canon") - length + 1)
-        total = F.size(F.filter(places, lambda at: _literal(F.slice("canon", at, length)) >= LEAST_LITERAL)).alias("item_windows")
-        sought = windows(pool.select("*", total), length, ["item_id", "item_id_text", "item_windows"])
-        sought = sought.where(_literal(F.col("form")) >= LEAST_LITERAL)
-        sought = sought.select("hash", "item_id", "item_id_text", "item_windows", F.col("place").alias("item_place"), F.col("form").alias("item_form"), F.col("surface").alias("item_surface"))
+        total = F.size(F.filter(places, lambda at: _literal(F.slice("canon", at, length)) >= LEAST_LITERAL))
+        pool = pool.select("*", F.greatest(total, F.lit(1)).alias("item_windows"), F.size("canon").alias("item_length"))
+        sought = windows(pool, length, ["item_id", "item_id_text", "item_windows", "item_length"])
+        # A name at the start of a sentence may be any word: where it is the same word, it is literal.
+        names = F.size(F.filter("form", lambda w: w == NAME))
+        sought = sought.where((_literal(F.col("form")) + F.least(names, F.lit(1))) >= LEAST_LITERAL)
+        sought = sought.select("hash", "item_id", "item_id_text", "item_windows", "item_length", F.col("place").alias("item_place"), F.col("form").alias("item_form"), F.col("surface").alias("item_surface"))
         met = windows(texts, length, ["doc_id", "doc_id_text"]).join(_hinted(sought), "hash")
         met = met.withColumn("shift", F.col("place") - F.col("item_place"))
         found = met if found is None else found.unionByName(met)
@@ -176,18 +203,19 @@ def _templates(found: DataFrame) -> DataFrame:
     """Alignments of template windows: key, windows (matched), item_windows, slots, changed_slots."""
     # Equal hashes are confirmed after the write, so that the join needs no slice of a window that meets nothing.
     found = settle(found.drop("hash"), "decontaminate-met").where(F.col("form") == F.col("item_form"))
-    keys = ["doc_id", "doc_id_text", "item_id", "item_id_text", "shift"]
-    # NULL ids take part: the keys are grouped as one struct.
-    found = found.withColumn("key", F.struct(*keys))
+    same = F.filter(F.arrays_zip("form", "item_surface", "surface"), lambda z: (z["form"] == NAME) & (_bare(z["item_surface"]) == _bare(z["surface"])))
+    found = _keyed(found.where(_literal(F.col("form")) + F.size(same) >= LEAST_LITERAL))
     zipped = F.explode(F.arrays_zip("form", "item_surface", "surface", F.sequence(F.lit(0), F.size("form") - 1).alias("i")))
-    slots = found.select("key", "item_place", zipped.alias("z")).where(F.col("z.form").startswith("⟨"))
-    bare = lambda c: F.regexp_replace(F.lower(c), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+    slots = found.select("key", "item_place", "item_length", zipped.alias("z")).where(F.col("z.form").startswith("⟨"))
     slots = slots.select(
-        "key", (F.col("item_place") + F.col("z.i")).alias("at"), F.struct("z.form", bare(F.col("z.item_surface")).alias("value")).alias("stands"), bare(F.col("z.surface")).alias("now")
+        "key", "item_length", (F.col("item_place") + F.col("z.i")).alias("at"), F.struct("z.form", _bare(F.col("z.item_surface")).alias("value")).alias("stands"), _bare(F.col("z.surface")).alias("now")
     ).distinct()
     changed = F.col("now") != F.col("stands.value")
+    # Names of the text around an item run into its first and last word: these two stand for anything.
+    inner = F.when((F.col("at") > 1) & (F.col("at") < F.col("item_length")), F.col("now"))
     values = slots.groupBy("key", "stands").agg(
-        (F.min("now") != F.max("now")).alias("mixed"), F.count("*").alias("slots"), F.sum(changed.cast("long")).alias("changed"), F.collect_set(F.when(changed, F.col("at"))).alias("at")
+        F.coalesce(F.min(inner) != F.max(inner), F.lit(False)).alias("mixed"), F.count("*").alias("slots"), F.sum(changed.cast("long")).alias("changed"),
+        F.collect_set(F.when(changed & inner.isNotNull(), F.col("at"))).alias("at"),
     )
     # Where a value stands for several, the windows over its changed places conflict.
     conflicts = F.flatten(F.collect_list(F.when(F.col("mixed"), F.col("at")))).alias("conflicts")

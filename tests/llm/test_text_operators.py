@@ -378,3 +378,19 @@ def test_conflicting_slots_take_only_their_windows(spark):
     part = "so 3 boys and 5 girls who each walk to 5 or more shops buy bread there and then eat 3"
     text = part.replace("5", "6").replace("so 3", "so 8").replace("eat 3", "eat 9")
     assert contaminated_pairs(spark, [text], [part]) == {(0, 0)}
+
+
+def test_slots_of_other_lengths_and_at_sentence_starts(spark):
+    items = [
+        "the train from New York takes 5 km of track and then waits for the old bridge to open",
+        "Tom has 5 apples. Tom buys 3 more at the shop. Tom eats some of them. Tom sells what is left",
+        "How many are 5 and 7",
+    ]
+    texts = [
+        items[0].replace("New York", "Paris").replace("5 km", "7km"),
+        items[1].replace("Tom", "Mary Ann").replace("5", "8").replace("3", "9"),
+        items[2].replace("5", "6").replace("7", "9"),
+        "so how many are 61 and 9 then",
+        "Sam are 5 and 7 then",
+    ]
+    assert contaminated_pairs(spark, texts, items) == {(0, 0), (1, 1), (2, 2), (3, 2)}
