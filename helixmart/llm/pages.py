@@ -46,8 +46,9 @@ TOKENS = {
 }
 GROUP = {t: i for i, (_, words) in enumerate(TOKENS.items()) for t in words.split()}
 SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^=>]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+)?)*+)>|<[!?/][^>]*(?:>|\Z)", re.S)
+# One attribute after the other: quotes speak only after an equals sign, and what a value holds is no name.
+ATTRIBUTE = re.compile(r"([^\s=/>]++)(?:\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+))?")
 # HTML's white space and the blanks that references can write.
 SPACES = re.compile(r"\s+")
 
@@ -139,7 +140,7 @@ def parse(page: str) -> Node:
         if m[3]:
             found = set()
             for name, value in ATTRIBUTE.findall(m[3]):
-                name, value = name.lower(), value.strip("\"'")
+                name, value = name.lower(), value[1:-1] if value[:1] in ("'", '"') else value
                 if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
                     hidden = True
                 elif name in ("class", "id", "role"):

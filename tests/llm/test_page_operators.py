@@ -40,6 +40,18 @@ def test_main_text(spark):
     assert pages.extract(spark.createDataFrame([], PAGES)).collect() == []
 
 
+def test_attributes_are_read_one_by_one():
+    text = "This is a long sentence of the article. Here is one more of them. "
+    for attributes in ['data-title="The hidden cost of x"', "title='A hidden gem'", "hiddenfield=1", 'alt="x" data-x="style=display:none"', 'title="a > b"', 'data-a=x"']:
+        node = pages.parse(f"<article {attributes}><p>{text}</p></article>").children[0]
+        assert not node.hidden and [n.tag for n in node.children] == ["p"] and not node.own, attributes
+    for attributes in ["hidden", 'HIDDEN=""', "id=a hidden class=b", "style='display: none'", 'aria-hidden="true"', "/hidden"]:
+        assert pages.parse(f"<article {attributes}><p>{text}</p></article>").children[0].hidden, attributes
+    stray = pages.parse('<p>one <a href="x"">two</a> three</p><p class=y>"four"</p>')
+    assert ["".join(n.items) for n in stray.children] == ["one two three", '"four"'] and stray.children[0].links == 3
+    assert pages.parse("<a x=" * 1_000).own == 5_000
+
+
 def test_held_out_nodes_and_agreement():
     rng, trees = random.Random(123), pages.model()
     wrong = total = 0
