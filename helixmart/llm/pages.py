@@ -19,10 +19,11 @@ from helixmart.llm.common import ship
 
 # Elements by the part they play in the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style template noscript head title svg math iframe object canvas audio video select option datalist textarea".split())
+UNSEEN = frozenset("script style template noscript head title svg iframe select option datalist textarea annotation annotation-xml".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var br wbr img".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var br wbr img "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd semantics annotation annotation-xml".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split()

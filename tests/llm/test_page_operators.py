@@ -52,6 +52,14 @@ def test_attributes_are_read_one_by_one():
     assert pages.parse("<a x=" * 1_000).own == 5_000
 
 
+def test_formulas_and_fallback_text():
+    formula = '<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding="t">\\x</annotation></semantics></math>'
+    line = "This is a long sentence of the article, and it says something. Here is one more of them. "
+    page = f"<article><p>{line}Let {formula} hold. {line}</p><object><p>{line}</p></object><p>{line}</p></article>"
+    long = line.strip()
+    assert pages.main_text([page], pages.model()) == [f"{line}Let x=2 hold. {long}\n{long}\n{long}"]
+
+
 def test_held_out_nodes_and_agreement():
     rng, trees = random.Random(123), pages.model()
     wrong = total = 0
