@@ -45,10 +45,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sweep(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     was_null = docs.withColumn("_null", F.col("text").isNull())
-    cut = suffixes.dedup(was_null, keep=[*others, "_null"])
-    # Halves of characters become the replacement character, which texts without a cut may hold by themselves.
+    cut = suffixes.dedup(was_null, keep=[*others, "_null"], characters=True)
     text = F.make_valid_utf8(F.col("kept").cast("string"))
-    text = F.when(F.col("n_removed") > 0, F.replace(text, F.lit("\ufffd"), F.lit(""))).otherwise(text)
     cut = cut.withColumn("text", F.when(~F.col("_null"), text))
     if "n_chars" in others:
         cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -369,11 +369,25 @@ def _borders(texts: DataFrame, windows: int) -> list[bytes]:
     return sorted({keys[len(keys) * k // ranges] for k in range(1, ranges)}) if keys else []
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def trim(piece: bytes, left: bool, right: bool) -> bytes:
+    """``piece`` without the bytes of characters cut in half at its left and right edge."""
+    a, e = 0, len(piece)
+    while left and a < min(3, e) and piece[a] & 0xC0 == 0x80:
+        a += 1
+    for back in range(1, min(3, e - a) + 1) if right else ():
+        byte = piece[e - back]
+        if byte & 0xC0 != 0x80:
+            if (byte >= 0xC0) + (byte >= 0xE0) + (byte >= 0xF0) >= back:
+                e -= back
+            break
+    return piece[a:e]
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, characters: bool = False) -> DataFrame:
     """Remove every byte that a 100-byte string covers which also starts earlier (smaller id, or same id, earlier start).
 
     A row per input row: id, the columns in ``keep``, n_bytes, n_removed, n_spans, spans (array of first and end),
-    kept (the remaining bytes).
+    kept (the remaining bytes; with ``characters``, without those of characters that a cut halves).
 
     Edge cases: a NULL text is empty; texts under 100 bytes stay; strings never cross documents; rows of one id
     are not earlier than each other at one place, so repeated rows share their fate and NULL ids, which count as
@@ -406,6 +420,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
                         pieces.append(text[done:a])
                         done = b
                     pieces.append(text[done:])
+                    if characters:
+                        pieces = [trim(p, i > 0, i < len(gaps)) for i, p in enumerate(pieces)]
                     out.append((len(text), sum(b - a for a, b in gaps), len(gaps), [{"first": a, "end": b} for a, b in gaps], b"".join(pieces)))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])), pa.binary()]
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]

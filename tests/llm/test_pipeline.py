@@ -41,6 +41,13 @@ def test_near_copies_and_repeats(spark):
     assert sum(shared in (r["text"] or "") for r in cut) == 1
 
 
+def test_replacement_characters_of_a_text_stay(spark):
+    shared = words(random.Random(4), 50)
+    rows = [(1, "a " + shared + "é end"), (2, "b \ufffd one " + shared + "è two \ufffd"), (3, "no cut \ufffd")]
+    cut = {r["doc_id"]: r["text"] for r in STAGES["suffix_dedup"](spark, frame(spark, rows), SF_DIR).collect()}
+    assert cut == {1: rows[0][1], 2: "b \ufffd one two \ufffd", 3: rows[2][1]}
+
+
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
 def test_whole_pipeline(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
