@@ -17,14 +17,15 @@ def category_profile(
     text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     values = text.unpivot([], columns, "column", "value").filter(F.col("value").isNotNull()).distinct()
     sizes = values.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
-    # A column of NULLs only has no value, and a row all the same.
-    named = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    sizes = named.join(sizes, "column", "left").select("column", F.coalesce("n_values", F.lit(0)).alias("n_values"))
     order = Window.partitionBy("column").orderBy("value")
     smallest = values.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= list_below)
     heads = smallest.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("_head"))
-    joined = sizes.join(heads, "column", "left")
-    joined = joined.withColumn("_head", F.coalesce("_head", F.array().cast("array<string>")))
+    # Both sides read one shuffle of the distinct values. A column of NULLs only has no value, and a row all the same.
+    found = sizes.join(heads, "column")
+    named = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    joined = named.join(found, "column", "left").select(
+        "column", F.coalesce("n_values", F.lit(0)).alias("n_values"), F.coalesce("_head", F.array().cast("array<string>")).alias("_head")
+    )
     few = F.col("n_values") < list_below
     shown = F.when(few, F.col("_head")).otherwise(F.slice("_head", 1, first))
     return joined.select(

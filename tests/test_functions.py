@@ -1,4 +1,6 @@
-import pandas as pd
+import unicodedata
+
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -48,6 +50,15 @@ def test_ascii_slug(one):
     assert one(text.ascii_slug, "".join(text.GREEK)) == ["".join(text.GREEK.values())]
 
 
+def plain_ascii(s):
+    """The same rules in plain Python."""
+    for mark, stand_in in [*text.PUNCTUATION.items(), *text.GREEK.items()]:
+        s = s.replace(mark, stand_in)
+    s = " ".join(s.split()).lower()
+    letters = unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode()
+    return letters.lower().strip() or None
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet=st.sampled_from(" \t\n\x1c\u00a0\u2003aBé½±°Ωο–ß"), max_size=12), min_size=5, max_size=30))
 def test_text_functions_do_not_depend_on_the_path(one, samples):
@@ -55,7 +66,7 @@ def test_text_functions_do_not_depend_on_the_path(one, samples):
     jvm = one(lambda c: text._squeeze(c), *samples)
     assert jvm == [" ".join(s.split()).lower() or None for s in samples]
     plain = one(text.lowercase_ascii, *samples)
-    assert plain == [(text._plain(s) or None) for s in samples]
+    assert plain == [plain_ascii(s) for s in samples]
 
 
 def test_split_commas(one):
@@ -165,4 +176,16 @@ def test_expression_record(one):
 
 
 def test_arrow_helpers_keep_length():
-    assert text._foreign_plain.func(pd.Series(["é", None, "日"])).tolist() == ["e", None, None]
+    assert text._base_letters.func(pa.array(["é", None, "日", "ﬁ½", "a\u2003 β"])).to_pylist() == ["e", None, None, "fi12", "a beta"]
+
+
+def test_every_character_is_spelled_as_the_rules_say(spark):
+    points = [p for p in range(1, 0x3000) if not 0xD800 <= p < 0xE000] + list(range(0xF900, 0x10000)) + [0x1F600, 0x1D400]
+    df = spark.createDataFrame([(p, f" A{chr(p)}{chr(p)} B") for p in points], "p int, v string")
+    got = {r["p"]: r["t"] for r in df.select("p", text.lowercase_ascii(F.col("v")).alias("t")).collect()}
+    assert {p: t for p, t in got.items() if t != plain_ascii(f" A{chr(p)}{chr(p)} B")} == {}
+
+
+def test_foreign_text_stands_in_the_plan_once(spark):
+    plan = spark.range(1).select(text.lowercase_ascii(F.col("id").cast("string")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
