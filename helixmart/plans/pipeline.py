@@ -63,7 +63,7 @@ def run(
     references: dict | None = None,
     keys: dict[str, list[str]] = KEYS,
     on_error: str = "fail",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     audit: bool = False,
 ) -> dict[str, int]:
     """Load a folder of TSV files below ``root``; ``{table: rows inserted}``.

@@ -29,6 +29,26 @@ def tsv_scan(spark, sf_dir):
     return read_tsv_files(discover_files(spark, folder, (".csv",)))
 
 
+_BROKEN = "replace(substr(text, 1, 300), ' ', chr(10)) || chr(9) || '\"' || lang || '\"'"
+
+
+@query(f"""
+SELECT cast(doc_id AS string) AS doc_id, CASE WHEN doc_id % 3 = 0 THEN {_BROKEN} ELSE replace(replace(text, chr(10), ' '), chr(9), ' ') END AS title,
+       source, lang
+FROM documents
+""")
+def tsv_multi_line(spark, sf_dir):
+    # Every third row has a cell with line breaks, tabs and doubled quotes, and files have many splits.
+    folder = scratch_path(spark, "tsv")
+    broken = F.expr(_BROKEN.replace("||", " || "))
+    plain = F.translate("text", "\n\t", "  ")
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, broken).otherwise(plain).alias("title"), "source", "lang")
+    rows.write.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return read_tsv_files(discover_files(spark, folder, (".csv",)))
+
+
 def _write_lines(lines, folder, header):
     """Text lines under a header line, cell separators as they are."""
     lines.select(lines[0].alias(header)).write.option("header", True).option("sep", "\x01").option("quote", "").option(

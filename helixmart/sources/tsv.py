@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 import sys
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from helixmart.operators.align import union_by_name
+from helixmart.sources import quoted
 
 # The header reader travels to the executors by value: workers need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -71,29 +73,59 @@ def _options(reader, multi_line: bool):
 
 
 def read_tsv(
-    spark: SparkSession, paths: list[str], header: str, multi_line: bool = False, with_file: bool = False,
+    spark: SparkSession, paths: list[str], header: str, multi_line: bool | None = None, with_file: bool = False,
     with_order: bool = False,
 ) -> DataFrame:
     """All-text rows of files that share one header line.
 
-    Blank lines are skipped, short rows end in NULL, extra cells are ignored, an empty cell is
-    NULL. Cells may hold doubled quotes; line breaks inside quotes need ``multi_line``, which
-    keeps Spark from splitting a file among tasks. ``with_order`` adds ``ORDER``.
+    Blank lines are skipped, short rows end in NULL, extra cells are ignored, an empty cell is NULL. Cells may hold
+    doubled quotes and, inside quotes, line breaks: by default one scan finds the files with such breaks, and
+    those are read as :mod:`helixmart.sources.quoted` does, all others by Spark's reader; both by splits. ``False``
+    says that there are no such breaks and saves the scan, ``True`` reads a file in one task. ``with_order`` adds
+    ``ORDER``.
     """
     schema, keep = header_schema(header)
-    df = _options(spark.read.schema(schema), multi_line).csv(paths)
-    extra = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_file")] if with_file else []
+    broken = quoted.files_with_breaks(spark, paths) if multi_line is None else set()
+    frames = []
+    if broken:
+        known = [r["path"] for r in spark.read.format("binaryFile").load(paths).select("path").collect()]
+        name = {_plain_path(p): p for p in known}
+        apart = {_plain_path(p) for p in broken}
+        frames.append(_quoted_rows(spark, [name[p] for p in sorted(apart)], schema, keep, with_file, with_order))
+        paths = [p for k, p in sorted(name.items()) if k not in apart]
+    if paths:
+        df = _options(spark.read.schema(schema), bool(multi_line)).csv(paths)
+        extra = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_file")] if with_file else []
+        if with_order:
+            place = F.struct(
+                F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("row"),
+            )
+            extra.append(place.alias(ORDER))
+        frames.append(df.select(*[F.col(f"`{c}`") for c in keep], *extra))
+    return union_by_name(*frames)
+
+
+def _plain_path(path: str) -> str:
+    """One spelling of a file's name, however its URI is written."""
+    return re.sub(r"^([a-z0-9]+):/+", r"\1:/", unquote(path))
+
+
+def _quoted_rows(spark: SparkSession, paths: list[str], schema: StructType, keep: list[str], with_file: bool, with_order: bool) -> DataFrame:
+    found = quoted.records(spark, paths)
+    cells = F.from_csv(
+        "value", ", ".join(f"c{i} string" for i in range(len(schema))),
+        {"sep": "\t", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "lineSep": "\n"},
+    )
+    extra = [F.col("path").alias("_path"), F.col("file").alias("_file")] if with_file else []
     if with_order:
-        place = F.struct(
-            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-        extra.append(place.alias(ORDER))
-    return df.select(*[F.col(f"`{c}`") for c in keep], *extra)
+        extra.append(F.struct("path", "block", "row").alias(ORDER))
+    place = {f.name: i for i, f in enumerate(schema)}
+    return found.withColumn("cells", cells).select(*[F.col(f"cells.c{place[c]}").alias(c) for c in keep], *extra)
 
 
 def read_tsv_files(
-    files: DataFrame, multi_line: bool = False, with_file: bool = False, with_order: bool = False
+    files: DataFrame, multi_line: bool | None = None, with_file: bool = False, with_order: bool = False
 ) -> DataFrame:
     """Rows of all catalogued files, each read by its own header, under the union of columns.
 
