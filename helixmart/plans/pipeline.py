@@ -12,10 +12,11 @@ from helixmart.functions.registry import CURRENT, Registry
 from helixmart.operators.align import align
 from helixmart.operators.rules import harmonize, load_rules, split_quarantine
 from helixmart.plans.schemas import KEYS, TABLES
+from helixmart.session import scratch_path
 from helixmart.sinks.export import append_audit, write_raw_counts
 from helixmart.sinks.merge import insert_ignore
 from helixmart.sources.catalog import RAW_COUNTS, discover_files, route_files
-from helixmart.sources.envelope import quarantine_unrouted, read_envelopes, rows_of
+from helixmart.sources.envelope import quarantine_unrouted, read_envelopes, rows_of, split_by_table
 from helixmart.sources.tsv import ORDER, read_raw_counts, read_tsv_files
 
 
@@ -86,11 +87,11 @@ def run(
 
 
 def load_envelopes(spark: SparkSession, path: str, root: str, keys: dict[str, list[str]] = KEYS) -> dict[str, int]:
-    """Insert ``{"table", "row"}`` JSON lines into their tables.
+    """Insert ``{"table", "row"}`` JSON lines, parsed once, into their tables.
 
     Known tables without a key (raw counts) are kept as they came below ``_quarantine``.
     """
-    envelopes = read_envelopes(spark, path)
+    envelopes = split_by_table(read_envelopes(spark, path), scratch_path(spark, "envelopes"))
     present = {r["table"] for r in envelopes.select("table").distinct().collect()}
     unknown = present - set(TABLES)
     if unknown:

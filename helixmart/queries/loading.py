@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from helixmart.operators.integrity import content_audit, orphans, rows_per_table, with_parent
 from helixmart.plans import star
+from helixmart.plans.schemas import TABLES
 from helixmart.queries.base import query, table
 from helixmart.session import scratch_path
 from helixmart.sinks import export, merge
 from helixmart.sources.tsv import ORDER, read_tsv
-from helixmart.streaming.ingest import ingest_envelopes, stream_envelopes
+from helixmart.streaming.ingest import ingest_envelopes, load_envelopes_batch, stream_envelopes
 
 _EXISTING = "SELECT c_custkey AS sample_id, c_name AS label, cast(NULL AS string) AS day FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')"
 _FIRST = """
@@ -73,7 +74,8 @@ SELECT n.c_custkey, c.c_name, n.c_acctbal, n.c_mktsegment FROM n LEFT JOIN custo
 def upsert(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     path = scratch_path(spark, "studies")
-    customer.write.parquet(path)
+    # The table is in hash buckets: the upsert reads and writes those of the changed keys.
+    merge.upsert(customer, path, ["c_custkey"], buckets=32)
     changes = (
         table(spark, sf_dir, "orders")
         .filter("o_orderstatus = 'F'")
@@ -232,3 +234,28 @@ def envelopes_quarantine(spark, sf_dir):
     ingest_envelopes(stream_envelopes(spark, folder), root, checkpoint).awaitTermination()
     kept = spark.read.schema("row string, table string").json(f"{root}/_quarantine").groupBy("table").agg(F.count("*").alias("n_rows"))
     return rows_per_table({"Studies": spark.read.parquet(f"{root}/Studies")}).unionByName(kept)
+
+
+@query("""
+WITH r AS (
+  SELECT CASE c_custkey % 3 WHEN 0 THEN 'Studies' WHEN 1 THEN 'RawCounts' ELSE 'Nowhere' END AS "table", c_custkey % 7 AS part, cast(c_nationkey AS string) AS iri
+  FROM customer
+)
+SELECT "table", iri, 1::BIGINT AS n_rows FROM r WHERE "table" = 'Studies' GROUP BY ALL
+UNION ALL SELECT "table", NULL, cast(count(*) + count(*) FILTER (part < 3) AS BIGINT) FROM r WHERE "table" <> 'Studies' GROUP BY 1
+""")
+def stream_replay(spark, sf_dir):
+    """Batches that run again, in any order, leave the same rows in the tables and in quarantine."""
+    kind = F.when(F.col("c_custkey") % 3 == 0, "Studies").when(F.col("c_custkey") % 3 == 1, "RawCounts").otherwise("Nowhere")
+    customer = table(spark, sf_dir, "customer").select(
+        kind.alias("table"), F.create_map(F.lit("iri"), F.col("c_nationkey").cast("string"), F.lit("title"), F.col("c_name")).alias("row"),
+        (F.col("c_custkey") % 7).alias("part"),
+    )
+    root = scratch_path(spark, "replayed")
+    batches = {"a-0": customer.where("part < 3").drop("part"), "a-1": customer.drop("part")}
+    for name in ("a-0", "a-0", "a-1", "a-1", "a-0"):
+        load_envelopes_batch(batches[name], name, root, {"Studies": ["iri"]})
+    studies = merge.read_target(spark, f"{root}/Studies", TABLES["Studies"])
+    kept = spark.read.schema("row string, table string").json(f"{root}/_quarantine").groupBy("table").agg(F.count("*").alias("n_rows"))
+    stored = studies.groupBy("iri").agg(F.count("*").alias("n_rows")).select(F.lit("Studies").alias("table"), "iri", "n_rows")
+    return stored.unionByName(kept.select("table", F.lit(None).cast("string").alias("iri"), "n_rows"))

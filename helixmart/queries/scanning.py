@@ -132,7 +132,9 @@ def envelope_split(spark, sf_dir):
     ).unionAll(wrapped("supplier", "Stimuli", iri="cast(s_suppkey as string)", label="s_name"))
     folder = scratch_path(spark, "envelopes")
     both.write.json(folder)
-    rows = envelope.rows_of(envelope.read_envelopes(spark, folder), "Studies", TABLES["Studies"].names)
+    # The lines are parsed once, whatever the number of tables; a table's rows are read from its own folder.
+    routed = envelope.split_by_table(envelope.read_envelopes(spark, folder), scratch_path(spark, "routed"))
+    rows = envelope.rows_of(routed, "Studies", TABLES["Studies"].names)
     return align(rows, TABLES["Studies"])
 
 

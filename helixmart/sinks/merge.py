@@ -1,8 +1,8 @@
 """Keyed writes into Parquet tables.
 
 ``insert_ignore`` only appends, so running it again after a lost job inserts nothing twice.
-``upsert`` writes the whole new version beside the table and then swaps folders; an interrupted
-swap is finished or undone by :func:`recover`.
+``upsert`` writes new versions beside the table and then swaps folders: the buckets that change of a table in
+hash buckets, else the whole table. An interrupted swap is finished or undone by :func:`recover`.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from helixmart.operators.joins import keep_one
+from helixmart.sinks.buckets import BATCH, BUCKET, build, finish, read_layout, upsert_buckets
 
 STAGED, PREVIOUS = "__staged", "__previous"
 
@@ -27,15 +28,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def recover(spark: SparkSession, path: str) -> None:
-    """Finish a swap that stopped half-way: the table folder is missing, both others exist."""
+    """Finish a swap that stopped half-way: the table folder is missing, both others exist; or buckets wait."""
     fs, to_path = _fs(spark, path)
+    finish(spark, path)
     if fs.exists(to_path(path)) or not fs.exists(to_path(path + PREVIOUS)):
         return
     complete = fs.exists(to_path(f"{path}{STAGED}/_SUCCESS"))
     fs.rename(to_path(path + (STAGED if complete else PREVIOUS)), to_path(path))
 
 
-def _publish(spark: SparkSession, path: str) -> None:
+def publish(spark: SparkSession, path: str) -> None:
     fs, to_path = _fs(spark, path)
     fs.delete(to_path(path + PREVIOUS), True)
     if fs.exists(to_path(path)):
@@ -49,7 +51,9 @@ def read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     recover(spark, path)
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    # Buckets and batches are folders of the table, not columns.
+    layout = [c for c in (BUCKET, BATCH) if c not in schema.names]
+    return spark.read.schema(schema).parquet(path).drop(*layout)
 
 
 def new_rows(
@@ -128,10 +132,24 @@ def upsert(
     order_by: list[str] | None = None,
     schema: StructType | None = None,
     rows_per_file: int | None = None,
+    buckets: int | None = None,
 ) -> int:
-    """Insert or replace rows by key; returns the table's row count afterwards."""
+    """Insert or replace rows by key; returns the table's row count afterwards.
+
+    With ``buckets`` the table is kept in so many hash buckets of the key from then on, and later calls, with or
+    without it, rewrite only the buckets that hold incoming keys.
+    """
     spark = incoming.sparkSession
-    target = read_target(spark, path, schema or incoming.schema)
+    recover(spark, path)
+    layout, schema = read_layout(spark, path), schema or incoming.schema
+    if layout is not None:
+        upsert_buckets(incoming, path, keys, order_by, schema, layout, rows_per_file)
+        return read_target(spark, path, schema).count()
+    target = read_target(spark, path, schema)
+    if buckets:
+        build(incoming, target, path + STAGED, keys, order_by, buckets)
+        publish(spark, path)
+        return read_target(spark, path, schema).count()
     rows = _counted_write(merged_rows(incoming, target, keys, order_by), path + STAGED, "overwrite", rows_per_file)
-    _publish(spark, path)
+    publish(spark, path)
     return rows

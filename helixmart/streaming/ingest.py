@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from helixmart.operators.align import align
 from helixmart.operators.rules import harmonize
 from helixmart.plans.schemas import KEYS, TABLES
-from helixmart.sinks.merge import insert_ignore
+from helixmart.session import scratch_path
+from helixmart.sinks.buckets import insert_batch
 from helixmart.sources.envelope import SCHEMA as ENVELOPE
-from helixmart.sources.envelope import quarantine_unrouted, rows_of
+from helixmart.sources.envelope import quarantine_unrouted, rows_of, split_by_table
 from helixmart.sources.tsv import header_schema
 
 
@@ -63,32 +64,45 @@ def ingest(
     references: dict | None = None,
     on_inserted: Callable[[int, int], None] | None = None,
 ) -> StreamingQuery:
-    """Harmonise and insert each micro-batch. A replayed batch inserts nothing twice."""
+    """Harmonise and insert each micro-batch. A replayed batch leaves every table as it was."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rows = align(harmonize(batch, table, rules, references), schema or TABLES[table])
-        # A batch is small beside the table: keep it while its key range is looked up first.
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            inserted = insert_ignore(rows, path, keys or KEYS[table], prune_target=True)
-        finally:
-            rows.unpersist()
+        inserted = insert_batch(rows, path, keys or KEYS[table], batch_name(checkpoint, batch_id))
         if on_inserted:
             on_inserted(batch_id, inserted)
 
     return for_each_batch(stream, load, checkpoint)
 
 
-def ingest_envelopes(stream: DataFrame, root: str, checkpoint: str, keys: dict[str, list[str]] = KEYS) -> StreamingQuery:
-    """Route each micro-batch of envelopes to its tables, referenced tables first.
+def batch_name(checkpoint: str, batch_id: int) -> str:
+    """Name of a micro-batch that no other stream's batches have."""
+    return f"{hashlib.md5(checkpoint.encode()).hexdigest()[:12]}-{batch_id}"
+
+
+def load_envelopes_batch(batch: DataFrame, name: str, root: str, keys: dict[str, list[str]] = KEYS) -> dict[str, int]:
+    """Insert one named batch of envelopes, parsed once, referenced tables first; {table: rows inserted}.
 
-    Envelopes of other tables are kept below ``root/_quarantine``: the checkpoint will not offer them again.
+    Envelopes of other tables are kept below ``root/_quarantine``: a checkpoint will not offer them again. Running
+    the same batch again changes nothing.
     """
+    spark = batch.sparkSession
+    envelopes = split_by_table(batch, scratch_path(spark, "envelopes"))
+    present = {r["table"] for r in envelopes.select("table").distinct().collect()}
+    if present - set(keys):
+        quarantine_unrouted(envelopes, keys, root, name)
+    out = {}
+    for table, key in keys.items():
+        if table in present:
+            rows = align(rows_of(envelopes, table, TABLES[table].names), TABLES[table])
+            out[table] = insert_batch(rows, f"{root}/{table}", key, name)
+    return out
+
+
+def ingest_envelopes(stream: DataFrame, root: str, checkpoint: str, keys: dict[str, list[str]] = KEYS) -> StreamingQuery:
+    """Route each micro-batch of envelopes to its tables, as ``load_envelopes_batch`` does."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        quarantine_unrouted(batch, keys, root)
-        for table, key in keys.items():
-            rows = align(rows_of(batch, table, TABLES[table].names), TABLES[table])
-            insert_ignore(rows, f"{root}/{table}", key)
+        load_envelopes_batch(batch, batch_name(checkpoint, batch_id), root, keys)
 
     return for_each_batch(stream, load, checkpoint)
