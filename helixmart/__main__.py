@@ -20,7 +20,7 @@ from helixmart.plans import pipeline
 from helixmart.session import build_session
 from helixmart.sources.catalog import MODES, discover_files, only_loadable, route_files
 from helixmart.sources.tsv import read_tsv_files
-from helixmart.streaming.ingest import ingest_envelopes, stream_envelopes
+from helixmart.streaming.ingest import ingest_envelopes, ingest_routed, stream_envelopes, stream_files
 
 
 def count_rows(spark: SparkSession, data_dir: str, mode: str) -> DataFrame:
@@ -54,6 +54,9 @@ def _parser() -> argparse.ArgumentParser:
     follow.add_argument("--data-dir", required=True)
     follow.add_argument("--target", required=True)
     follow.add_argument("--checkpoint", required=True)
+    follow.add_argument("--mapping", help="YAML rule mapping: follow TSV files of any table instead of JSON lines")
+    follow.add_argument("--mode", choices=MODES, default="all")
+    follow.add_argument("--on-error", choices=("fail", "quarantine"), default="fail")
     return parser
 
 
@@ -73,6 +76,10 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(stats))
     elif args.command == "load-json":
         print(json.dumps(pipeline.load_envelopes(spark, args.input, args.target)))
+    elif args.mapping:
+        report = lambda _, stats: print(json.dumps(stats))
+        stream = stream_files(spark, args.data_dir)
+        ingest_routed(stream, args.mapping, args.target, args.checkpoint, args.mode, on_error=args.on_error, on_loaded=report).awaitTermination()
     else:
         ingest_envelopes(stream_envelopes(spark, args.data_dir), args.target, args.checkpoint).awaitTermination()
 

@@ -13,6 +13,7 @@ from helixmart.operators.align import align
 from helixmart.operators.rules import harmonize, load_rules, split_quarantine
 from helixmart.plans.schemas import KEYS, TABLES
 from helixmart.session import scratch_path
+from helixmart.sinks.buckets import BATCH, insert_batch
 from helixmart.sinks.export import append_audit, write_raw_counts
 from helixmart.sinks.merge import insert_ignore
 from helixmart.sources.catalog import RAW_COUNTS, discover_files, route_files
@@ -38,22 +39,60 @@ def load_table(
     on_error: str = "fail",
     audit: bool = False,
     batch: str = "",
+    named: str | None = None,
 ) -> int:
-    """Harmonise, align and insert the rows of one table; returns the rows inserted."""
+    """Harmonise, align and insert the rows of one table; returns the rows inserted.
+
+    ``named`` makes them a batch that changes nothing when it runs again (see ``insert_batch``).
+    """
     started = time.time()
     shaped = harmonize(rows, table, rules, references, on_error)
     if on_error == "quarantine":
         shaped, rejected = split_quarantine(shaped)
-        rejected.drop(ORDER).write.mode("append").parquet(f"{root}/_quarantine/{table}")
+        aside = f"{root}/_quarantine/{table}"
+        if named:
+            rejected.drop(ORDER).write.mode("overwrite").parquet(f"{aside}/{BATCH}={named}")
+        else:
+            rejected.drop(ORDER).write.mode("append").parquet(aside)
     order = [ORDER] if ORDER in shaped.columns else []
     target = StructType([*TABLES[table].fields, *[shaped.schema[c] for c in order]])
     aligned = align(shaped, target, lenient=on_error == "quarantine")
-    inserted = insert_ignore(aligned, f"{root}/{table}", keys[table], order, transient=order)
+    if named:
+        inserted = insert_batch(aligned, f"{root}/{table}", keys[table], named, order, transient=order)
+    else:
+        inserted = insert_ignore(aligned, f"{root}/{table}", keys[table], order, transient=order)
     if audit:
         append_audit(aligned.drop(*order), f"{root}/_audit", table, batch, time.time() - started)
     return inserted
 
 
+def load_files(
+    files: DataFrame,
+    rules: dict,
+    root: str,
+    keys: dict[str, list[str]] = KEYS,
+    references: dict | None = None,
+    on_error: str = "fail",
+    multi_line: bool | None = None,
+    audit: bool = False,
+    batch: str = "",
+    named: str | None = None,
+) -> dict[str, int]:
+    """Load routed files, referenced tables first; ``{table: rows inserted}``. Raw counts are not counted."""
+    spark = files.sparkSession
+    stats: dict[str, int] = {}
+    for table in tables_to_load(files):
+        mine = files.filter(F.col("table") == table)
+        if table == RAW_COUNTS:
+            paths = [r["path"] for r in mine.select("path").collect()]
+            write_raw_counts(read_raw_counts(spark, paths), f"{root}/counts")
+            continue
+        # The first row of a key is the one that stands first in the files, taken by path.
+        rows = read_tsv_files(mine, multi_line, with_order=True)
+        stats[table] = load_table(rows, table, rules, root, keys, references, on_error, audit, batch, named)
+    return stats
+
+
 def run(
     spark: SparkSession,
     data_dir: str,
@@ -74,16 +113,7 @@ def run(
     """
     rules = load_rules(mapping, registry)
     files = route_files(discover_files(spark, data_dir, (".tsv",)), mode)
-    stats: dict[str, int] = {}
-    for table in tables_to_load(files):
-        mine = files.filter(F.col("table") == table)
-        if table == RAW_COUNTS:
-            write_raw_counts(read_raw_counts(spark, data_dir), f"{root}/counts")
-            continue
-        # The first row of a key is the one that stands first in the files, taken by path.
-        rows = read_tsv_files(mine, multi_line, with_order=True)
-        stats[table] = load_table(rows, table, rules, root, keys, references, on_error, audit, data_dir)
-    return stats
+    return load_files(files, rules, root, keys, references, on_error, multi_line, audit, data_dir)
 
 
 def load_envelopes(spark: SparkSession, path: str, root: str, keys: dict[str, list[str]] = KEYS) -> dict[str, int]:

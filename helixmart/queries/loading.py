@@ -11,7 +11,7 @@ from helixmart.queries.base import query, table
 from helixmart.session import scratch_path
 from helixmart.sinks import export, merge
 from helixmart.sources.tsv import ORDER, read_tsv
-from helixmart.streaming.ingest import ingest_envelopes, load_envelopes_batch, stream_envelopes
+from helixmart.streaming.ingest import ingest_envelopes, ingest_routed, load_envelopes_batch, stream_envelopes, stream_files
 
 _EXISTING = "SELECT c_custkey AS sample_id, c_name AS label, cast(NULL AS string) AS day FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')"
 _FIRST = """
@@ -75,7 +75,7 @@ def upsert(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     path = scratch_path(spark, "studies")
     # The table is in hash buckets: the upsert reads and writes those of the changed keys.
-    merge.upsert(customer, path, ["c_custkey"], buckets=32)
+    merge.upsert(customer, path, ["c_custkey"], buckets=8)
     changes = (
         table(spark, sf_dir, "orders")
         .filter("o_orderstatus = 'F'")
@@ -259,3 +259,49 @@ def stream_replay(spark, sf_dir):
     kept = spark.read.schema("row string, table string").json(f"{root}/_quarantine").groupBy("table").agg(F.count("*").alias("n_rows"))
     stored = studies.groupBy("iri").agg(F.count("*").alias("n_rows")).select(F.lit("Studies").alias("table"), "iri", "n_rows")
     return stored.unionByName(kept.select("table", F.lit(None).cast("string").alias("iri"), "n_rows"))
+
+
+def _tsv_files(rows, folder, name):
+    """Write ``rows`` as TSV files whose names contain ``name``, into ``folder``."""
+    spark, parts = rows.sparkSession, scratch_path(rows.sparkSession, "parts")
+    rows.write.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').csv(parts)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path_of(folder))
+    found = sorted(s.getPath().getName() for s in fs.listStatus(path_of(parts)))
+    for i, part in enumerate(p for p in found if p.startswith("part-")):
+        fs.rename(path_of(f"{parts}/{part}"), path_of(f"{folder}/{name.format(i)}"))
+
+
+_ROUTED_RULES = {
+    "columns": {
+        "gene": {"regex": "ENS.*", "transforms": ["strip_version"], "target_table": "Genes", "target_column": "gene_accession"},
+    }
+}
+
+
+@query("""
+SELECT 'Genes' AS "table", 'ENSG' || lpad(cast(p_partkey AS string), 8, '0') AS id, CASE WHEN p_partkey % 3 <> 0 THEN p_name ELSE p_brand END AS label FROM part
+UNION ALL SELECT 'Studies', 'E-' || cast(c_custkey AS string), c_name FROM customer
+UNION ALL SELECT 'Samples', cast(s_suppkey AS string), 'gut ' || s_name FROM supplier
+""")
+def stream_routed_tsv(spark, sf_dir):
+    """Files of three tables and different headers arrive in two turns; each file is loaded once, the first row of a key stays."""
+    accession = F.concat(F.lit("ENSG"), F.lpad(F.col("p_partkey").cast("string"), 8, "0"))
+    part, incoming, root, checkpoint = table(spark, sf_dir, "part"), *(scratch_path(spark, x) for x in ("incoming", "routed-root", "routed-checkpoint"))
+    for turn in range(3):
+        if turn == 0:
+            first = part.where("p_partkey % 3 <> 0").select(F.concat(accession, F.lit(".2")).alias("gene_accession"), F.col("p_name").alias("gene_name"))
+            _tsv_files(first, incoming, "{}_gene_catalog.tsv")
+            customer = table(spark, sf_dir, "customer")
+            _tsv_files(customer.select(F.col("c_name").alias("title"), F.expr("concat('E-', cast(c_custkey as string))").alias("iri")), f"{incoming}/sub", "{}_study_catalog.tsv")
+        elif turn == 1:
+            _tsv_files(part.select(F.col("p_brand").alias("gene_name"), accession.alias("gene_accession")), incoming, "later_{}_gene_catalog.tsv")
+            _tsv_files(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("iri"), F.concat(F.lit("gut "), "s_name").alias("tissue_iri")), incoming, "experiment_{}.tsv")
+        ingest_routed(stream_files(spark, incoming), _ROUTED_RULES, root, checkpoint).awaitTermination()
+    shown = {"Genes": ("gene_accession", "gene_name"), "Studies": ("iri", "title"), "Samples": ("iri", "tissue_iri")}
+    parts = [
+        merge.read_target(spark, f"{root}/{t}", TABLES[t]).select(F.lit(t).alias("table"), F.col(key).alias("id"), F.col(label).alias("label"))
+        for t, (key, label) in shown.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -146,8 +146,8 @@ def sample_of_file(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, r"\.tsv\z", ""), "_raw_counts", "")
 
 
-def read_raw_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """``(sample_id, gene_iri, count)`` from all ``<sample>_raw_counts.tsv`` files below ``folder``."""
+def read_raw_counts(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+    """``(sample_id, gene_iri, count)`` from all ``<sample>_raw_counts.tsv`` files below a folder, or of a list."""
     reader = (
         _options(spark.read.schema("gene_iri string, count string"), False)
         .option("enforceSchema", False)

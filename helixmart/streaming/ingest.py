@@ -6,13 +6,17 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from helixmart.functions.registry import CURRENT, Registry
 from helixmart.operators.align import align
-from helixmart.operators.rules import harmonize
+from helixmart.operators.rules import harmonize, load_rules
+from helixmart.plans import pipeline
 from helixmart.plans.schemas import KEYS, TABLES
 from helixmart.session import scratch_path
 from helixmart.sinks.buckets import insert_batch
+from helixmart.sources.catalog import route_files
 from helixmart.sources.envelope import SCHEMA as ENVELOPE
 from helixmart.sources.envelope import quarantine_unrouted, rows_of, split_by_table
 from helixmart.sources.tsv import header_schema
@@ -43,6 +47,18 @@ def stream_parquet(spark: SparkSession, folder: str, schema, pattern: str = "*.p
     )
 
 
+def stream_files(spark: SparkSession, folder: str, extensions: tuple[str, ...] = (".tsv",), files_per_batch: int = 1000) -> DataFrame:
+    """New files below ``folder``, by (path, name); their contents are not read."""
+    listing = (
+        spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*{" + ",".join(extensions) + "}")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(folder)
+    )
+    return listing.select("path", F.substring_index("path", "/", -1).alias("name"))
+
+
 def for_each_batch(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Run ``load`` on everything that is new, then stop. The checkpoint remembers the files."""
     return (
@@ -75,6 +91,36 @@ def ingest(
     return for_each_batch(stream, load, checkpoint)
 
 
+def ingest_routed(
+    stream: DataFrame,
+    mapping: dict | str,
+    root: str,
+    checkpoint: str,
+    mode: str = "all",
+    registry: Registry = CURRENT,
+    references: dict | None = None,
+    keys: dict[str, list[str]] = KEYS,
+    on_error: str = "fail",
+    on_loaded: Callable[[int, dict[str, int]], None] | None = None,
+) -> StreamingQuery:
+    """Load new TSV files of any table: each micro-batch of ``stream_files`` is routed, read by the files' own headers,
+    harmonised and inserted as ``pipeline.run`` does, referenced tables first.
+
+    A file is loaded once; a batch that runs again leaves every table, the raw counts and the quarantine as they were.
+    """
+    rules = load_rules(mapping, registry)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        # A micro-batch of files is a short list: pin it, so that every table is routed from the same one.
+        paths = [(r["path"], r["name"]) for r in batch.select("path", "name").collect()]
+        files = route_files(batch.sparkSession.createDataFrame(paths, "path string, name string"), mode)
+        stats = pipeline.load_files(files, rules, root, keys, references, on_error, named=batch_name(checkpoint, batch_id))
+        if on_loaded:
+            on_loaded(batch_id, stats)
+
+    return for_each_batch(stream, load, checkpoint)
+
+
 def batch_name(checkpoint: str, batch_id: int) -> str:
     """Name of a micro-batch that no other stream's batches have."""
     return f"{hashlib.md5(checkpoint.encode()).hexdigest()[:12]}-{batch_id}"

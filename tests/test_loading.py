@@ -219,3 +219,39 @@ def test_envelope_stream(spark, tmp_path):
     streaming.ingest_envelopes(stream, str(tmp_path / "db"), scratch_path(spark, "cp"), keys).awaitTermination()
     assert merge.read_target(spark, str(tmp_path / "db/Genes"), TABLES["Genes"]).count() == 1
     assert set(KEYS) <= set(TABLES)
+
+
+def test_routed_stream_equals_batch_load_and_takes_later_files_once(spark, tmp_path):
+    data, batch, live = raw_folder(tmp_path), str(tmp_path / "batch"), str(tmp_path / "live")
+    expected = pipeline.run(spark, data, MAPPING, batch)
+    checkpoint, loaded = scratch_path(spark, "cp"), []
+
+    def once():
+        stream = streaming.stream_files(spark, data)
+        streaming.ingest_routed(stream, MAPPING, live, checkpoint, on_loaded=lambda _, stats: loaded.append(stats)).awaitTermination()
+
+    once()
+    assert loaded == [expected]
+    for table in expected:
+        assert bag(merge.read_target(spark, f"{live}/{table}", TABLES[table])) == bag(merge.read_target(spark, f"{batch}/{table}", TABLES[table]))
+    assert bag(spark.read.parquet(f"{live}/counts")) == bag(spark.read.parquet(f"{batch}/counts"))
+    (tmp_path / "raw" / "later_gene_catalog.tsv").write_text('gene_name\tgene_accession\n"late\nline"\tENSG00003\nagain\tENSG00001.9\n')
+    once()
+    once()
+    assert loaded == [expected, {"Genes": 1}]
+    genes = merge.read_target(spark, f"{live}/Genes", TABLES["Genes"]).select("gene_accession", "gene_name")
+    assert bag(genes) == [("ENSG00001", "A"), ("ENSG00002", "C"), ("ENSG00003", "late\nline")]
+
+
+def test_routed_stream_keeps_rejected_rows_of_a_batch_once(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "experiment_1.tsv").write_text("iri\tdonor_age_years\nSAMPAAAA1111\tten\nSAMPbad\t1\n")
+    mapping = {"columns": {"s": {"regex": "SAMP.*", "transforms": ["extract_sample_id"], "target_table": "Samples", "target_column": "iri"}}}
+    root = str(tmp_path / "db")
+    for _ in range(2):  # the second checkpoint is lost: the batch's name is the same, and it runs again
+        checkpoint = tmp_path / "cp"
+        streaming.ingest_routed(streaming.stream_files(spark, str(folder)), mapping, root, str(checkpoint), on_error="quarantine").awaitTermination()
+        checkpoint.rename(tmp_path / f"lost{len(list(tmp_path.iterdir()))}")
+        assert spark.read.parquet(f"{root}/_quarantine/Samples").count() == 1
+        assert merge.read_target(spark, f"{root}/Samples", TABLES["Samples"]).count() == 1
