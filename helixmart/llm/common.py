@@ -52,6 +52,15 @@ def settle(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_settled(df: DataFrame) -> None:
+    """Delete the table that ``settle`` returned as ``df``. What was made of it must have been written."""
+    spark, mine = df.sparkSession, {p.rstrip("/").rsplit("/", 2)[-2] for p in df.inputFiles()}
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    for path in [p for p in _SETTLED if p.rsplit("/", 1)[-1] in mine]:
+        _SETTLED.remove(path)
+        path_of(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path_of(path), True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,17 +1,19 @@
-"""Exact Jaccard join of word-shingle sets in metric space: pivots, regions and triangle-inequality windows.
-
-Jaccard distance is a metric, but nearly all pairs of documents are at distance 1, where a pivot chosen at
-random separates nothing. Regions are therefore opened where sets can be close at all: a band of set sizes
-and a part of the shingle universe in which two sets agree entirely. With one part more than two linked sets
-can have differences, every linked pair shares a region. Inside a region the metric works: the pivot takes in
-everything within the link distance. What lies further out is known by its differences from a centre, whose
-number is the distance to it; two sets are as far apart as their differences differ. So a family of regions
-divides once more, by shared differences, with pivots again, and with triangle-inequality windows on how many
-differences two linked sets must share.
+"""Exact Jaccard join of word-shingle sets in metric space: regions, pivots and triangle-inequality windows.
+
+Jaccard distance is a metric, but nearly all pairs of documents are at distance 1, where pivots chosen at random
+separate nothing. Regions are therefore opened where sets can be close at all: two linked sets share one of their
+rarest shingles, the smaller set among its first few (the window of its size), so every set belongs to the regions
+of its rarest shingles, and no link leaves them. Each region has a pivot; a set is measured against the pivot with
+which it shares most regions. What that leaves apart is joined inside the regions: small ones directly, large
+ones once more in metric space: sets are known by their differences from the region's pivot, whose number is the
+distance to it; two linked sets must share differences, by the triangle inequality the more the further out they
+are, so they meet in inner regions of rare differences, with pivots and windows again. Before whole sets are
+compared, a parity sketch gives a lower bound of their distance.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,15 +22,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixmart.llm.common import components, settle, ship
+from helixmart.llm.common import components, drop_settled, settle, ship
 
-# Parts that may be empty in both sets before empty parts count as regions.
-EMPTY = 3
-# Growth of the size bands.
-BAND = 1.6
-# Counters of how often elements occur: their bound whatever the input's size.
-COUNTERS = 1 << 17
+# Counters of how often shingles occur: 2 to this power, whatever the input's size, in slices.
+COUNTER_BITS = 20
+SLICES = 16
+# Regions of so many sets are joined directly, larger ones by differences from their pivot.
+SMALL = 48
 MOST_WORDS = 500_000
+# Names of sets that a task remembers, so as to write the copies it meets once.
+MOST_NAMES = 500_000
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -68,113 +71,186 @@ class Shingler:
         return np.unique(mixed * MULTIPLIERS[0])
 
 
-class Bands:
-    """Size bands and their numbers of parts for a threshold of ``percent``."""
+def most_apart(a: int, b: int, percent: int) -> int:
+    """Largest symmetric difference of linked sets of these sizes: 100 I >= p U  <=>  (100 + p) D <= (100 - p) (a + b)."""
+    return (a + b) * (100 - percent) // (100 + percent)
 
-    def __init__(self, percent: int):
-        self.percent = percent
-        # 100 I >= p U  <=>  |x - y| + |y - x| <= (|x| + |y|) (100 - p) / (100 + p)
-        self.starts = [1]
-        while self.starts[-1] < 1 << 40:
-            self.starts.append(int(self.starts[-1] * BAND) + 1)
-
-    def differences(self, size: int) -> int:
-        """Most differences between a set of this size and a linked one, which has size * 100 / percent at most."""
-        return (size + size * 100 // self.percent) * (100 - self.percent) // (100 + self.percent)
-
-    def of(self, size: int) -> list[tuple[int, int]]:
-        """(band, most differences in it) where a set of this size can meet a linked one."""
-        k = int(np.searchsorted(self.starts, size, side="right")) - 1
-        bands = [k]
-        if size * 100 // self.percent >= self.starts[k + 1]:
-            bands.append(k + 1)
-        return [(b, 2 * (self.starts[b + 1] - 1) * (100 - self.percent) // (100 + self.percent)) for b in bands]
-
-
-def regions(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of the regions that a set belongs to: its content in each part of the universe, by band."""
-    out = []
-    for band, differences in bands.of(len(shingles)) if len(shingles) else []:
-        if differences == 0:
-            continue  # linked sets of this band are equal
-        parts = differences + 1 + EMPTY
-        # Of the band's parts, a set needs as many as its own size allows differences, and as may be empty.
-        needed = bands.differences(len(shingles)) + 1 + EMPTY
-        part = ((shingles >> np.uint64(20)) * MULTIPLIERS[1] >> np.uint64(32)) % np.uint64(parts)
-        order = np.argsort(part, kind="stable")
-        part = part[order]
-        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        content = shingles[order] * MULTIPLIERS[2]
-        content ^= content >> np.uint64(32)
-        sums = np.add.reduceat(content * MULTIPLIERS[3], starts)
-        used = part[starts]
-        if parts - len(used) > EMPTY:
-            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), used)
-            sums, used = np.concatenate([sums, np.zeros(len(empty), dtype=np.uint64)]), np.concatenate([used, empty])
-        sums, used = sums[used < needed], used[used < needed]
-        salt = np.uint64(band * int(MULTIPLIERS[1]) % 2**64)
-        keys = (sums ^ (used + np.uint64(1)) * MULTIPLIERS[4]) * MULTIPLIERS[0] + salt
-        out.append(keys ^ (keys >> np.uint64(31)))
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
-
-
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
+
+def prefixes(size: int, percent: int) -> tuple[int, int]:
+    """How many of a set's rarest shingles hold one that it shares with any linked set: (as the smaller one, as the larger one).
+
+    Linked sets of sizes a and b share (a + b) p / (100 + p) shingles at least, and the first one that they share
+    stands behind no more than what the partner lacks.
+    """
+    shared = lambda other: -(-percent * (size + other) // (100 + percent))
+    return size - shared(size) + 1, size - shared(-(-percent * size // 100)) + 1
+
+
+def counter(items: np.ndarray) -> np.ndarray:
+    return (items * MULTIPLIERS[1] >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def parity(items: np.ndarray) -> bytes:
+    """Bits that say whether an odd number of items falls on them: twice as many as items, and a power of two, 64 at least.
+
+    Each item that only one of two sets has turns one bit, so the sketches differ in no more bits than the sets in items.
+    """
+    bits = 1 << max(6, int(2 * len(items) - 1).bit_length())
+    counts = np.bincount((items * MULTIPLIERS[2] >> np.uint64(32)).astype(np.int64) & (bits - 1), minlength=bits)
+    return np.packbits((counts & 1).astype(bool), bitorder="little").tobytes()
+
+
+def least_apart(a: bytes, b: bytes) -> int:
+    """Lower bound of the symmetric difference, from the sketches; the longer one is folded to the other's length."""
+    x, y = (np.frombuffer(s, dtype=np.uint64) for s in sorted((a, b), key=len))
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _lists(arrays: list[np.ndarray | None]) -> pa.Array:
+    missing = [a is None for a in arrays]
+    arrays = [np.zeros(0, dtype=np.uint64) if a is None else a for a in arrays]
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     flat = np.concatenate(arrays) if arrays else np.zeros(0, dtype=np.uint64)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)), mask=pa.array(missing))
 
 
-def _sketch(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """texts(row, text binary) -> (row, shingles, digest, keys)."""
+def _sets(texts: DataFrame, k: int) -> DataFrame:
+    """texts(id, text) -> (id, n_shingles, name, items, parity).
+
+    A set is named by a 64-bit hash of its shingles. Items and sketch are NULL where the task wrote the set before,
+    and for empty sets, which have no name.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, bands = Shingler(k), Bands(percent)
+        shingler, written = Shingler(k), set()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 sets = [shingler.shingles(t) for t in part.column(1).to_pylist()]
+                names = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets]
+                fresh = []
+                for name in names:
+                    fresh.append(name is not None and name not in written)
+                    if len(written) > MOST_NAMES:
+                        written.clear()
+                    written.add(name)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), _lists([regions(s, bands) for s in sets])],
-                    names=["row", "n_shingles", "digest", "keys"],
-                )
+                    [
+                        part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
+                        _lists([s if f else None for s, f in zip(sets, fresh, strict=True)]),
+                        pa.array([parity(s) if f else None for s, f in zip(sets, fresh, strict=True)], pa.binary()),
+                    ],
+                    names=["id", "n_shingles", "name", "items", "parity"],
+                )
 
-    return texts.mapInArrow(run, "row long, n_shingles long, digest binary, keys array<long>")
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"id {kind}, n_shingles long, name long, items array<long>, parity binary")
 
 
-def _sets(texts: DataFrame, k: int) -> DataFrame:
-    """texts(row, text binary) -> (row, items): the sets themselves."""
+def _items(batch: pa.RecordBatch, column: int) -> list[np.ndarray]:
+    return [x.values.to_numpy().view(np.uint64) for x in batch.column(column)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(k)
+
+def count_shingles(items: DataFrame) -> np.ndarray:
+    """How often shingles occur in items(items), by hash, in 2^COUNTER_BITS counters; summed up in slices, in two steps."""
+    width = (1 << COUNTER_BITS) // SLICES
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists([shingler.shingles(t) for t in part.column(1).to_pylist()])], names=["row", "items"])
+            flat = batch.column(0).flatten().to_numpy().view(np.uint64)
+            total += np.bincount(counter(flat), minlength=len(total))
+        part = TaskContext.get().partitionId() % 64
+        packed = [zlib.compress(total[i * width : (i + 1) * width].tobytes(), 1) for i in range(SLICES)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([part] * SLICES, pa.int32()), pa.array(packed, pa.binary())], names=["slice", "part", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(width, dtype=np.int64)
+        for packed in table.column("counts"):
+            total += np.frombuffer(zlib.decompress(packed.as_py()), dtype=np.int64)
+        return table.slice(0, 1).set_column(2, "counts", pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
+
+    kind = "slice int, part int, counts binary"
+    counts = items.mapInArrow(count, kind).groupBy("slice", "part").applyInArrow(add, kind).groupBy("slice").applyInArrow(add, kind)
+    table = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    for r in counts.collect():  # SLICES rows
+        table[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(zlib.decompress(bytes(r["counts"])), dtype=np.int64)
+    return table
+
+
+def _regions(sets: DataFrame, counts, percent: int) -> DataFrame:
+    """sets(name, items) -> (key, name, n, early): a row for each region; ``early`` if the set may meet larger ones there.
+
+    Any fixed order of shingles is exact; rarest first keeps regions small.
+    """
 
-    return texts.mapInArrow(run, "row long, items array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sizes, short = [], [], []
+            for x in _items(batch, 1):
+                small, large = prefixes(len(x), percent)
+                keys.append(x[np.lexsort((x, counts.value[counter(x)]))[:large]])
+                sizes.append(len(x))
+                short.append(small)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(short, pa.int32()), _lists(keys)], names=["name", "n", "short", "keys"])
 
+    first = sets.mapInArrow(run, "name long, n int, short int, keys array<long>")
+    return first.select("name", "n", "short", F.posexplode("keys").alias("place", "key")).select("key", "name", "n", (F.col("place") < F.col("short")).alias("early"))
 
-def _measure(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs(a, b) -> (a, b, link, size_a, size_b, apart), exact; ``apart`` holds what only one of the two has."""
-    # The set that may stand in many pairs is joined while rows are narrow; the wide join is by the other one.
-    left = pairs.join(sets.select(F.col("row").alias("b"), F.col("items").alias("items_b")), "b")
-    both = left.join(sets.select(F.col("row").alias("a"), F.col("items").alias("items_a")), "a")
-    own, other = F.array_except("items_a", "items_b"), F.array_except("items_b", "items_a")
-    sized = both.select("a", "b", F.size("items_a").alias("size_a"), F.size("items_b").alias("size_b"), F.concat(own, other).alias("apart"), F.size(own).alias("n_own"))
-    shared, far = F.col("size_a") - F.col("n_own"), F.size("apart")
-    return sized.select("a", "b", (100 * shared >= percent * (shared + far)).alias("link"), "size_a", "size_b", "apart")
 
+class Sets:
+    """The written sets, found by name: whole, or as sketches."""
 
-def _most_apart(size: Column, percent: int) -> Column:
-    """As Bands.differences."""
-    return F.floor((size + F.floor(size * 100 / percent)) * (100 - percent) / (100 + percent)).cast("int")
+    def __init__(self, rows: DataFrame, percent: int):
+        self.percent = percent
+        self.whole = rows.where("items is not null").select("name", "items")
+        sketches = rows.where("items is not null").groupBy("name").agg(F.min(F.struct("n_shingles", "parity")).alias("s"))
+        self.sketches = settle(sketches.select("name", "s.n_shingles", "s.parity"), "jaccard-sketches")
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """pairs(a, b) without those that sizes or sketches show to be too far apart."""
+        percent = self.percent
+        side = lambda c: self.sketches.select(F.col("name").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("parity").alias(f"p_{c}"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                columns = [batch.column(i).to_pylist() for i in range(2, 6)]
+                near = [least_apart(x, y) <= most_apart(m, n, percent) for m, n, x, y in zip(*columns, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+        return both.select("a", "b", "n_a", "n_b", "p_a", "p_b").mapInArrow(run, "a long, b long")
+
+    def _joined(self, pairs: DataFrame) -> DataFrame:
+        """pairs(a, b) with the sets of both; only sets that stand in a pair are moved."""
+        needed = pairs.select(F.col("a").alias("name")).union(pairs.select(F.col("b").alias("name"))).distinct()
+        found = settle(self.whole.join(needed, "name", "left_semi").dropDuplicates(["name"]), "jaccard-needed")
+        # The set that may stand in many pairs is joined while rows are narrow; the wide join is by the other one.
+        left = pairs.join(found.select(F.col("name").alias("b"), F.col("items").alias("items_b")), "b")
+        return left.join(found.select(F.col("name").alias("a"), F.col("items").alias("items_a")), "a")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The linked ones of pairs(a, b), exact."""
+        near = settle(self.possible(pairs), "jaccard-possible")
+        both = self._joined(near).select("a", "b", F.size("items_a").alias("m"), F.size("items_b").alias("n"), F.size(F.array_intersect("items_a", "items_b")).alias("shared"))
+        return both.where(100 * F.col("shared") >= self.percent * (F.col("m") + F.col("n") - F.col("shared"))).select("a", "b")
+
+    def measure(self, pairs: DataFrame) -> DataFrame:
+        """pairs(a, b) -> (a, b, link, size_a, size_b, apart), exact; ``apart`` holds what only one of the two has."""
+        own, other = F.array_except("items_a", "items_b"), F.array_except("items_b", "items_a")
+        sized = self._joined(pairs).select("a", "b", F.size("items_a").alias("size_a"), F.size("items_b").alias("size_b"), F.concat(own, other).alias("apart"))
+        close = (100 + self.percent) * F.size("apart") <= (100 - self.percent) * (F.col("size_a") + F.col("size_b"))
+        return sized.select("a", "b", close.alias("link"), "size_a", "size_b", "apart")
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Classes of documents under links of Jaccard similarity of at least ``percent`` per cent.
 
     A row per input row: id, n_shingles, component_id (the smallest id reachable by links, itself included).
-    Equal sets are one vertex, however many rows have them.
+    Equal sets are one vertex, however many rows have them; shingles and sets are known by 64-bit hashes.
 
     Edge cases: NULL and empty texts and texts of white space have an empty set, link with nothing and are
     their own component; fewer than k words are one shingle; repeated rows are copies; rows with a NULL id take
@@ -182,104 +258,107 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     columns are not looked at.
     """
     ship(docs.sparkSession)
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    rows = settle(_sketch(texts.select("row", "text"), k, percent), "jaccard-rows")
-    # A vertex for each distinct set, named by one of its rows. Rows are named by their content, so a second scan finds them.
-    vertices = settle(rows.where("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("row")), "jaccard-vertices")
-    keyed = rows.select("row", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("row").alias("pivot"), F.max("row").alias("last")).where("pivot <> last")
-    # A region's pivot is a vertex: copies share all regions, and the vertex is their first.
-    members = settle(keyed.join(shared.select("key", "pivot"), "key").join(vertices.select("row"), "row", "left_semi"), "jaccard-members")
-    sets = settle(_sets(texts.join(members.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"]).select("row", "text"), k), "jaccard-sets")
-    links = _classes(members, sets, percent)
-    classes = components(links, "jaccard-cc")
-    named = rows.select("row", "digest", "n_shingles").distinct()
-    ids = texts.select("id", "row").join(named, "row").join(vertices.select("digest", F.col("row").alias("vertex")), "digest", "left")
-    ids = ids.join(classes.select(F.col("id").alias("vertex"), "root"), "vertex", "left")
-    ids = settle(ids.select("id", "n_shingles", F.coalesce("root", "vertex").alias("class")), "jaccard-classes")
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    rows = settle(_sets(texts, k), "jaccard-rows")
+    classes = components(_edges(rows, percent), "jaccard-cc")
+    ids = rows.select("id", "n_shingles", "name").join(classes.select(F.col("id").alias("name"), "root"), "name", "left")
+    ids = settle(ids.select("id", "n_shingles", F.coalesce("root", "name").alias("class")), "jaccard-classes")
+    drop_settled(rows)
     least = ids.where("class is not null").groupBy("class").agg(F.min("id").alias("least"))
     return ids.join(least, "class", "left").select(
         F.col("id").alias(id_col), "n_shingles", F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")
     )
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of pairs(a, b). Pairs whose sizes rule a link out are not measured."""
-    sizes = sets.select("row", F.size("items").alias("n"))
-    sized = pairs.join(sizes.select(F.col("row").alias("a"), F.col("n").alias("_na")), "a").join(sizes.select(F.col("row").alias("b"), F.col("n").alias("_nb")), "b")
-    near = sized.where(100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")).select("a", "b")
-    return _measure(near, sets, percent).where("link").select("a", "b")
+def _edges(rows: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between names that hold all classes of the graph of linked sets together."""
+    sets = Sets(rows, percent)
+    counts = rows.sparkSession.sparkContext.broadcast(count_shingles(sets.whole.select("items")))
+    # Dealt by key once: copies of a set fall together, regions are counted, and members learn of their region.
+    dealt = _regions(sets.whole, counts, percent).repartition("key").distinct()
+    regions = dealt.groupBy("key").agg(F.min("name").alias("pivot"), F.max("name").alias("last"), F.count(F.lit(1)).alias("m")).where("pivot <> last")
+    members = settle(dealt.join(regions.drop("last"), "key"), "jaccard-members")
+    # A set's own pivot: the one it shares most regions with.
+    met = members.where("name <> pivot").groupBy("name", "pivot").agg(F.count(F.lit(1)).alias("times"))
+    own = met.groupBy(F.col("name").alias("a")).agg(F.max(F.struct("times", "pivot")).alias("best")).select("a", F.col("best.pivot").alias("b"))
+    edges = settle(sets.links(own), "jaccard-edges")
+    # Regions whose sets are not all of one class yet.
+    roots = components(edges, "jaccard-turn")
+    named = settle(_named(members, roots, "name", "class"), "jaccard-named")
+    drop_settled(members)
+    mixed = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
+    left = settle(named.join(mixed, "key"), "jaccard-open")
+    drop_settled(named)
+    # Small regions: the smaller set of a link stands early, and sizes are within the window.
+    x, y = left.where((F.col("m") <= SMALL) & F.col("early")).alias("x"), left.where(F.col("m") <= SMALL).alias("y")
+    meet = (
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.class") != F.col("y.class"))
+        & (F.struct("x.n", "x.name") < F.struct("y.n", "y.name")) & (100 * F.col("x.n") >= percent * F.col("y.n"))
+    )
+    near = x.join(y, meet).select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
+    edges = settle(edges.union(sets.links(near)), "jaccard-edges")
+    around = settle(left.where((F.col("m") > SMALL) & (F.col("name") != F.col("pivot"))).select(F.col("name").alias("a"), F.col("pivot").alias("b")).distinct(), "jaccard-around")
+    drop_settled(left)
+    return edges if around.isEmpty() else _inner(around, sets, edges, percent)
+
+
+def _named(table: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the class of the set in ``column``."""
+    return table.join(roots.select(F.col("id").alias(column), "root"), column, "left").withColumn(name, F.coalesce("root", column)).drop("root")
+
 
+def _most(size: Column, percent: int) -> Column:
+    """Most differences between a set of this size and a linked one, which has size * 100 / percent at most."""
+    return F.floor((size + F.floor(size * 100 / percent)) * (100 - percent) / (100 + percent)).cast("int")
 
-def _rare_first(measured: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Replace ``apart`` by its size ``far`` and by ``edge``, its rarest elements: one more than a's linked sets may lack.
 
-    Any fixed order is exact; rarest first keeps few sets together. Counts are kept by hash in COUNTERS counters.
-    """
-    counter = F.pmod(F.col("item"), F.lit(COUNTERS)).cast("int")
-    counts = sets.select(F.explode("items").alias("item")).groupBy(counter.alias("c")).count().toArrow()  # COUNTERS rows at most
-    table = np.zeros(COUNTERS, dtype=np.int64)
-    table[counts["c"].to_numpy()] = counts["count"].to_numpy()
-    sent = measured.sparkSession.sparkContext.broadcast(table)
+def _rare_first(measured: DataFrame, percent: int) -> DataFrame:
+    """Replace ``apart`` by its size ``far`` and by ``edge``, its rarest elements: one more than a's linked sets may lack."""
+    counts = measured.sparkSession.sparkContext.broadcast(count_shingles(measured.select(F.col("apart").alias("items"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            edges, far = [], []
-            for items, most in zip(batch.column(5), batch.column(6).to_numpy(), strict=True):
-                x = items.values.to_numpy()
-                far.append(len(x))
-                edges.append(x[np.lexsort((x, sent.value[x % COUNTERS]))[: most + 1]].view(np.uint64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(far, pa.int32()), _lists(edges)], names=["a", "b", "link", "size_a", "size_b", "far", "edge"])
-
-    source = measured.select("a", "b", "link", "size_a", "size_b", "apart", _most_apart(F.col("size_a"), percent).alias("most"))
-    return source.mapInArrow(run, "a long, b long, link boolean, size_a int, size_b int, far int, edge array<long>")
+            found = _items(batch, 5)
+            edges = [x[np.lexsort((x, counts.value[counter(x)]))[: most + 1]] for x, most in zip(found, batch.column(6).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array([len(x) for x in found], pa.int32()), _lists(edges)], names=["a", "b", "link", "size_a", "size_b", "far", "edge"])
 
-
-def _named(table: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
-    """Add the class of the set in ``column``."""
-    return table.join(roots.select(F.col("id").alias(column), "root"), column, "left").withColumn(name, F.coalesce("root", column)).drop("root")
+    source = measured.select("a", "b", "link", "size_a", "size_b", "apart", _most(F.col("size_a"), percent).alias("most"))
+    return source.mapInArrow(run, "a long, b long, link boolean, size_a int, size_b int, far int, edge array<long>")
 
 
-def _classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) that hold all classes of the graph of linked sets together."""
-    # First pivots: each region's. Regions that share sets form a family, whose first set is its centre.
-    pairs = members.where("row <> pivot").select(F.col("row").alias("a"), F.col("pivot").alias("b")).distinct()
-    pairs = settle(pairs, "jaccard-pairs")
-    families = components(pairs, "jaccard-family").select(F.col("id").alias("a"), F.col("root").alias("b")).where("a <> b")
-    edges = settle(_links(pairs, sets, percent), "jaccard-edges")
+def _inner(around: DataFrame, sets: Sets, edges: DataFrame, percent: int) -> DataFrame:
+    """``edges`` and those between sets a of around(a, b) that share a pivot b."""
+    measured = settle(sets.measure(around), "jaccard-measured", "zstd")
+    edges = settle(edges.union(measured.where("link").select("a", "b")), "jaccard-edges")
     roots = components(edges, "jaccard-turn")
-    # Families whose members are not all of one class yet; b is the centre from here on.
-    named = settle(_named(_named(families, roots, "a", "class"), roots, "b", "home"), "jaccard-named")
-    spread = named.groupBy("b").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("home").alias("home"))
-    spread = spread.where("low <> high or low <> home").select("b")
-    measured = settle(_measure(named.join(spread, "b").select("a", "b"), sets, percent), "jaccard-measured", "zstd")
-    # Two linked sets with x and y differences from the centre, of which one is not linked to it, share at least
+    # Two linked sets with x and y differences from the pivot, of which one is not linked to it, share at least
     # (x + y - d) / 2 of them, d the most differences they may have: so they share one among their first few.
     # The one with fewer differences needs a shorter beginning than the other.
-    most = _most_apart(F.col("size_a"), percent)
+    most = _most(F.col("size_a"), percent)
     out = F.floor((F.floor(F.col("size_a") * percent / 100) + F.col("size_b")) * (100 - percent) / (100 + percent)).cast("int") + 1
     beyond = F.when(F.col("link"), F.greatest("far", out)).otherwise(F.col("far"))
     share = F.greatest(F.lit(1), F.ceil((F.col("far") + beyond - most) / 2).cast("int"))
-    inner = _rare_first(measured, sets, percent).where("far > 0")
+    inner = _rare_first(measured, percent).where("far > 0")
     inner = inner.select("a", "b", "link", "size_a", "far", (F.col("far") - share + 1).alias("short"), F.posexplode("edge").alias("place", "element"))
     inner = settle(inner, "jaccard-inner")
+    drop_settled(measured)
     # Inner regions: sets that share such a difference. Their first set is a pivot of its own.
     pivots = inner.groupBy("b", "element").agg(F.min("a").alias("pivot"), F.max("a").alias("last")).where("pivot <> last").drop("last")
     stars = inner.join(pivots, ["b", "element"]).where("a <> pivot")
     stars = settle(_named(_named(stars.select("a", "pivot").distinct(), roots, "a", "class"), roots, "pivot", "home").where("class <> home").select("a", F.col("pivot").alias("b")), "jaccard-stars")
-    edges = settle(edges.union(_links(stars, sets, percent)), "jaccard-edges")
+    edges = settle(edges.union(sets.links(stars)), "jaccard-edges")
     roots = components(edges, "jaccard-turn")
     # What is left: sets of different classes in one inner region, within the windows of size and distance.
-    open_members = _named(inner, roots, "a", "class")
-    mixed = open_members.groupBy("b", "element").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("b", "element")
-    open_members = settle(open_members.join(mixed, ["b", "element"]), "jaccard-open")
-    x, y = open_members.where("place < short").alias("x"), open_members.alias("y")
+    members = _named(inner, roots, "a", "class")
+    mixed = members.groupBy("b", "element").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("b", "element")
+    members = settle(members.join(mixed, ["b", "element"]), "jaccard-open")
+    drop_settled(inner)
+    x, y = members.where("place < short").alias("x"), members.alias("y")
     larger, smaller = F.greatest("x.size_a", "y.size_a"), F.least("x.size_a", "y.size_a")
     meet = (
         (F.col("x.b") == F.col("y.b")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.class") != F.col("y.class")) & ~(F.col("x.link") & F.col("y.link"))
         & (F.struct("x.far", "x.a") < F.struct("y.far", "y.a")) & (100 * smaller >= percent * larger)
         & ((F.col("y.far") - F.col("x.far")) * (100 + percent) <= (F.col("x.size_a") + F.col("y.size_a")) * (100 - percent))
     )
-    near = settle(x.join(y, meet).select(F.col("x.a").alias("a"), F.col("y.a").alias("b")).distinct(), "jaccard-near")
-    found = _links(near, sets, percent)
-    return settle(edges.union(found), "jaccard-edges")
+    near = x.join(y, meet).select(F.col("x.a").alias("a"), F.col("y.a").alias("b")).distinct()
+    return settle(edges.union(sets.links(near)), "jaccard-edges")

@@ -153,6 +153,52 @@ def test_jaccard_chain_and_unlinked_family(spark):
     assert sorted(map(tuple, jaccard.jaccard_components(df).collect())) == components_by_force(rows, 3, 90)
 
 
+def test_jaccard_inside_large_regions(spark, monkeypatch):
+    """All regions count as large: joined by differences from their pivots, with inner regions."""
+    monkeypatch.setattr(jaccard, "SMALL", 1)
+    rng = random.Random(21)
+    base = words(rng, 120).split()
+    rows = [(i, words(rng, 100)) for i in range(10)]
+    for i in range(10, 90):  # pairwise mostly unlinked, around a text that is not there
+        w = list(base)
+        for j in rng.sample(range(120), rng.randint(1, 5)):
+            w[j] = words(rng, 1)
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, jaccard.jaccard_components(df, 5, 80).collect())) == components_by_force(rows, 5, 80)
+
+
+def test_jaccard_measures_few_pairs_of_unlinked_texts(spark, monkeypatch):
+    seen = []
+    joined = jaccard.Sets._joined
+    monkeypatch.setattr(jaccard.Sets, "_joined", lambda self, pairs: seen.append(pairs.count()) or joined(self, pairs))
+    rng = random.Random(8)
+    passages = [words(rng, 60) for _ in range(3)]
+    rows = [(i, f"{words(rng, 150)} {passages[i % 3]} {words(rng, 150)}") for i in range(240)]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    assert all(r["component_id"] == r["doc_id"] for r in got.collect())
+    assert sum(seen) <= 5 * len(rows)
+
+
+def test_jaccard_bounds():
+    rng = random.Random(6)
+    for _ in range(300):
+        percent, n = rng.choice([50, 80, 90]), rng.randint(1, 60)
+        x = {rng.randrange(2**62) for _ in range(n)}
+        y = set(rng.sample(sorted(x), rng.randint(0, len(x)))) | {rng.randrange(2**62) for _ in range(rng.randint(0, 8))}
+        if not y:
+            continue
+        a, b = (np.array(sorted(s), dtype=np.uint64) for s in (x, y))
+        assert jaccard.least_apart(jaccard.parity(a), jaccard.parity(b)) <= len(x ^ y)
+        if 100 * len(x & y) >= percent * len(x | y):
+            assert len(x ^ y) <= jaccard.most_apart(len(x), len(y), percent)
+            order = sorted(x | y, key=lambda v: v % 1000)
+            small, large = sorted((x, y), key=len)
+            first = [v for v in order if v in small][: jaccard.prefixes(len(small), percent)[0]]
+            later = [v for v in order if v in large][: jaccard.prefixes(len(large), percent)[1]]
+            assert set(first) & set(later)
+
+
 def test_jaccard_of_no_rows(spark):
     assert jaccard.jaccard_components(empty(spark)).collect() == []
 
