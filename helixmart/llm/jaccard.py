@@ -29,6 +29,8 @@ COUNTER_BITS = 20
 SLICES = 16
 # Regions of so many sets are joined directly, larger ones by differences from their pivot.
 SMALL = 48
+# Turns in which the first sets of classes are measured before all sets that are left.
+TURNS = 4
 MOST_WORDS = 500_000
 # Names of sets that a task remembers, so as to write the copies it meets once.
 MOST_NAMES = 500_000
@@ -182,23 +184,21 @@ def count_shingles(items: DataFrame) -> np.ndarray:
 
 
 def _regions(sets: DataFrame, counts, percent: int) -> DataFrame:
-    """sets(name, items) -> (key, name, n, early): a row for each region; ``early`` if the set may meet larger ones there.
+    """sets(name, items) -> (key, name, n, place): a row for each region, and where its shingle stands in the set's order.
 
     Any fixed order of shingles is exact; rarest first keeps regions small.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, short = [], [], []
+            keys, sizes = [], []
             for x in _items(batch, 1):
-                small, large = prefixes(len(x), percent)
-                keys.append(x[np.lexsort((x, counts.value[counter(x)]))[:large]])
+                keys.append(x[np.lexsort((x, counts.value[counter(x)]))[: prefixes(len(x), percent)[1]]])
                 sizes.append(len(x))
-                short.append(small)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(short, pa.int32()), _lists(keys)], names=["name", "n", "short", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), _lists(keys)], names=["name", "n", "keys"])
 
-    first = sets.mapInArrow(run, "name long, n int, short int, keys array<long>")
-    return first.select("name", "n", "short", F.posexplode("keys").alias("place", "key")).select("key", "name", "n", (F.col("place") < F.col("short")).alias("early"))
+    first = sets.mapInArrow(run, "name long, n int, keys array<long>")
+    return first.select("name", "n", F.posexplode("keys").alias("place", "key")).select("key", "name", "n", "place")
 
 
 class Sets:
@@ -289,11 +289,13 @@ def _edges(rows: DataFrame, percent: int) -> DataFrame:
     mixed = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
     left = settle(named.join(mixed, "key"), "jaccard-open")
     drop_settled(named)
-    # Small regions: the smaller set of a link stands early, and sizes are within the window.
-    x, y = left.where((F.col("m") <= SMALL) & F.col("early")).alias("x"), left.where(F.col("m") <= SMALL).alias("y")
+    # Small regions: sizes are within the window, and what follows the first shared shingle in either order is enough for a link.
+    x, y = left.where((F.col("m") <= SMALL) & (F.col("place") < _early(F.col("n"), percent))).alias("x"), left.where(F.col("m") <= SMALL).alias("y")
+    shared = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
     meet = (
         (F.col("x.key") == F.col("y.key")) & (F.col("x.class") != F.col("y.class"))
         & (F.struct("x.n", "x.name") < F.struct("y.n", "y.name")) & (100 * F.col("x.n") >= percent * F.col("y.n"))
+        & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= shared)
     )
     near = x.join(y, meet).select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
     edges = settle(edges.union(sets.links(near)), "jaccard-edges")
@@ -307,6 +309,11 @@ def _named(table: DataFrame, roots: DataFrame, column: str, name: str) -> DataFr
     return table.join(roots.select(F.col("id").alias(column), "root"), column, "left").withColumn(name, F.coalesce("root", column)).drop("root")
 
 
+def _early(size: Column, percent: int) -> Column:
+    """As prefixes, for the smaller set."""
+    return size - F.ceil(2 * percent * size / (100 + percent)) + 1
+
+
 def _most(size: Column, percent: int) -> Column:
     """Most differences between a set of this size and a linked one, which has size * 100 / percent at most."""
     return F.floor((size + F.floor(size * 100 / percent)) * (100 - percent) / (100 + percent)).cast("int")
@@ -342,23 +349,33 @@ def _inner(around: DataFrame, sets: Sets, edges: DataFrame, percent: int) -> Dat
     inner = inner.select("a", "b", "link", "size_a", "far", (F.col("far") - share + 1).alias("short"), F.posexplode("edge").alias("place", "element"))
     inner = settle(inner, "jaccard-inner")
     drop_settled(measured)
-    # Inner regions: sets that share such a difference. Their first set is a pivot of its own.
-    pivots = inner.groupBy("b", "element").agg(F.min("a").alias("pivot"), F.max("a").alias("last")).where("pivot <> last").drop("last")
-    stars = inner.join(pivots, ["b", "element"]).where("a <> pivot")
-    stars = settle(_named(_named(stars.select("a", "pivot").distinct(), roots, "a", "class"), roots, "pivot", "home").where("class <> home").select("a", F.col("pivot").alias("b")), "jaccard-stars")
-    edges = settle(edges.union(sets.links(stars)), "jaccard-edges")
-    roots = components(edges, "jaccard-turn")
-    # What is left: sets of different classes in one inner region, within the windows of size and distance.
+    # Inner regions: sets that share such a difference. In each turn the first set of every class of a region is measured
+    # against the first of them, until no turn finds a link.
+    for _ in range(TURNS):
+        members = _named(inner, roots, "a", "class")
+        mixed = members.groupBy("b", "element").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("b", "element")
+        members = settle(members.join(mixed, ["b", "element"]), "jaccard-open")
+        drop_settled(inner)
+        inner = members.drop("class")
+        firsts = members.groupBy("b", "element", "class").agg(F.min("a").alias("a"))
+        pivots = firsts.groupBy("b", "element").agg(F.min("a").alias("pivot"))
+        stars = firsts.join(pivots, ["b", "element"]).where("a <> pivot").select("a", F.col("pivot").alias("b")).distinct()
+        found = settle(sets.links(stars), "jaccard-found")
+        if found.isEmpty():
+            break
+        edges = settle(edges.union(found), "jaccard-edges")
+        roots = components(edges, "jaccard-turn")
+    # What is left: sets of different classes in one inner region, within the windows of size and distance, if what
+    # follows the first difference that they share in either order is enough for a link.
     members = _named(inner, roots, "a", "class")
-    mixed = members.groupBy("b", "element").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("b", "element")
-    members = settle(members.join(mixed, ["b", "element"]), "jaccard-open")
-    drop_settled(inner)
     x, y = members.where("place < short").alias("x"), members.alias("y")
     larger, smaller = F.greatest("x.size_a", "y.size_a"), F.least("x.size_a", "y.size_a")
+    lacking = F.floor((F.col("x.size_a") + F.col("y.size_a")) * (100 - percent) / (100 + percent))
+    shared = (F.col("x.far") + F.col("y.far") - lacking) / 2
     meet = (
         (F.col("x.b") == F.col("y.b")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.class") != F.col("y.class")) & ~(F.col("x.link") & F.col("y.link"))
         & (F.struct("x.far", "x.a") < F.struct("y.far", "y.a")) & (100 * smaller >= percent * larger)
-        & ((F.col("y.far") - F.col("x.far")) * (100 + percent) <= (F.col("x.size_a") + F.col("y.size_a")) * (100 - percent))
+        & (F.col("y.far") - F.col("x.far") <= lacking) & (F.least(F.col("x.far") - F.col("x.place"), F.col("y.far") - F.col("y.place")) >= shared)
     )
     near = x.join(y, meet).select(F.col("x.a").alias("a"), F.col("y.a").alias("b")).distinct()
     return settle(edges.union(sets.links(near)), "jaccard-edges")
