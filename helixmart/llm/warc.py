@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixmart.llm.common import settle
+from helixmart.llm.common import drop_settled, settle
 
 # Fixed values of the format.
 MAGIC = "WARC/1.1\r\n"
@@ -14,6 +14,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+# Bits of the map that tells which pages may have a repeated payload: its bound whatever the number of pages.
+MAP_BITS = 1 << 22
+
 
 def sha1_base32(payload: Column) -> Column:
     """Upper-case base32 of the SHA-1: 40 bits at a time through ``conv``, which counts to base 36."""
@@ -30,8 +33,17 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
     )
     # Digests are counted before they meet: one row for each repeated payload, however many pages share it.
     first = rows.where(F.octet_length("payload") >= least).groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("copies")).where("copies > 1")
-    known = rows.join(first, "sha", "left")
-    return known.select(
+    # Only pages whose digest falls on a bit of a repeated one are shuffled; all others stay where they are read.
+    first = settle(first.select("sha", "first"), "warc-repeated")
+    bit = F.pmod(F.xxhash64("sha"), F.lit(MAP_BITS))
+    words = first.select(F.shiftright(bit, 5).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(sha), {MAP_BITS}) % 32 as int))").alias("one"))
+    bitmap = settle(words.groupBy("word").agg(F.bit_or("one").alias("bits")), "warc-map")
+    marked = rows.withColumn("_bit", bit).join(F.broadcast(bitmap), F.shiftright("_bit", 5) == F.col("word"), "left")
+    marked = marked.withColumn("maybe", F.coalesce(F.expr("(bits & shiftleft(1L, cast(_bit % 32 as int))) <> 0"), F.lit(False)))
+    known = marked.where("maybe").join(first, "sha", "left")
+    alone = marked.where("not maybe").withColumn("first", F.lit(None).cast("long"))
+    columns = ["page_id", "url", "payload", "first"]
+    return known.select(columns).unionByName(alone.select(columns)).select(
         "page_id", "url", "payload", sha1_base32(F.col("payload").cast("binary")).alias("digest"),
         F.when((F.col("first") != F.col("page_id")) | F.col("page_id").isNull(), F.col("first")).alias("refers_to"),
     )
@@ -97,15 +109,19 @@ def reachable(candidates: DataFrame) -> DataFrame:
     known = settle(candidates.where("at = 0").select("file", "at"), "warc-known")
     count = known.count()
     while True:
-        ahead = known.join(jumps, ["file", "at"]).select("file", F.col("next").alias("at"))
-        ahead = ahead.join(candidates.select("file", "at"), ["file", "at"], "left_semi")
+        # The tables grow with the archives: never broadcast.
+        ahead = known.join(jumps.hint("merge"), ["file", "at"]).select("file", F.col("next").alias("at"))
+        ahead = ahead.join(candidates.select("file", "at").hint("merge"), ["file", "at"], "left_semi")
         grown = settle(known.union(ahead).distinct(), "warc-known")
         new_count = grown.count()
+        drop_settled(known)
         if new_count == count:
             return grown
         known, count = grown, new_count
-        onward = jumps.select("file", F.col("at").alias("next"), F.col("next").alias("beyond"))
-        jumps = settle(jumps.join(onward, ["file", "next"]).select("file", "at", F.col("beyond").alias("next")), "warc-jumps")
+        onward = jumps.select("file", F.col("at").alias("next"), F.col("next").alias("beyond")).hint("merge")
+        further = settle(jumps.join(onward, ["file", "next"]).select("file", "at", F.col("beyond").alias("next")), "warc-jumps")
+        drop_settled(jumps)
+        jumps = further
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -124,7 +140,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     records = reachable(candidates).withColumn("record", F.col("at"))
     # A stretch that no chain reaches belongs to the record before it. Only records of several stretches, which are
     # rare, are put together; all others stay where they were read.
-    owners = candidates.select(*SEGMENT, "at").join(records, ["file", "at"], "left")
+    owners = candidates.select(*SEGMENT, "at").join(records.hint("merge"), ["file", "at"], "left")
     upto = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     owners = owners.withColumn("record", F.last("record", ignorenulls=True).over(upto))
     in_record = Window.partitionBy("file", F.coalesce("record", F.lit(-1)))
@@ -153,7 +169,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def archive(pages: DataFrame, path: str, least: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
     """Write ``pages`` as WARC files below ``path``, equal payloads of at least ``least`` bytes once.
 
-    Edge cases: a NULL payload is an empty one; a NULL url leaves the field out; a row without page_id is
+    Edge cases: a NULL payload is an empty one; a NULL url leaves the field out, and an empty one comes back as
+    NULL; line breaks of a url are written, and come back, as %0D and %0A; a row without page_id is
     written as ``<urn:page:none>`` and revisits the payload's smallest page_id, if there is one. Rows that
     repeat the page_id that was kept for their payload are responses too. An empty table gives no records.
     """
