@@ -23,7 +23,7 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0                
 # Control characters that str.split takes for white space and the tokenizer does not.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # Remembered chunks, and pieces, per worker; beyond it the memory starts anew. Only time depends on it.
-MOST_REMEMBERED = 400_000
+MOST_REMEMBERED = 120_000
 
 
 def _byte_symbols() -> list[str]:
