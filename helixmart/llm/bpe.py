@@ -22,8 +22,10 @@ from helixmart.llm.common import ship
 SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
 # Control characters that str.split takes for white space and the tokenizer does not.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
-# Remembered chunks, and pieces, per worker; beyond it the memory starts anew. Only time depends on it.
-MOST_REMEMBERED = 120_000
+# Remembered pieces and chunks per worker; beyond it the memory starts anew. Only time depends on it: a forgotten piece
+# is merged again, a forgotten chunk is only cut again.
+MOST_PIECES = 300_000
+MOST_CHUNKS = 50_000
 
 
 def _byte_symbols() -> list[str]:
@@ -153,7 +155,7 @@ class Vocabulary:
             raw = piece.encode()
             ids = self.word(raw[:-1].decode("latin-1").translate(self.inner_of) + chr(0xE100 + raw[-1]))
             packed = struct.pack(f"{len(ids)}i", *ids)
-            if len(self.known_pieces) > MOST_REMEMBERED:
+            if len(self.known_pieces) > MOST_PIECES:
                 self.known_pieces.clear()
             self.known_pieces[piece] = packed
         return packed
@@ -173,7 +175,7 @@ class Vocabulary:
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:
-        if len(self.known) > MOST_REMEMBERED:
+        if len(self.known) > MOST_CHUNKS:
             self.known.clear()
         known = self.known
         chunks = self.spaces.split(text) if any(c in text for c in NOT_SPACE) else text.split()
