@@ -11,7 +11,7 @@ from helixmart.session import scratch_path
 from helixmart.sinks.merge import read_target
 from helixmart.sources import annotated, envelope, sdrf
 from helixmart.sources.catalog import discover_files
-from helixmart.sources.tsv import read_attribute_tsv, read_tsv_files
+from helixmart.sources.tsv import read_attribute_tsv, read_tsv_files, sample_of_file
 from helixmart.streaming.ingest import ingest, stream_parquet
 
 
@@ -214,3 +214,12 @@ def stream_ingest(spark, sf_dir):
     rules = load_rules(_FEED_RULES, CURRENT.extended(loud=F.upper))
     ingest(stream, "Feed", rules, path, checkpoint, ["event_id"], target).awaitTermination()
     return read_target(spark, path, target)
+
+
+_COUNT_FILES = "c_name || CASE c_custkey % 3 WHEN 0 THEN '_raw_counts.tsv' WHEN 1 THEN '.tsv' ELSE '_raw_counts.tsv.gz' END"
+
+
+@query(f"SELECT c_custkey, replace(regexp_replace({_COUNT_FILES}, '\\.tsv$', ''), '_raw_counts', '') AS sample_id FROM customer")
+def sample_from_file_name(spark, sf_dir):
+    names = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_COUNT_FILES).alias("name"))
+    return names.select("c_custkey", sample_of_file(F.col("name")).alias("sample_id"))
