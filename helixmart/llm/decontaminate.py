@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +43,11 @@ def spaced(text: Column) -> Column:
 
 def plain(words: Column) -> Column:
     """The ``spaced`` words in lower case without punctuation around them; signs of numbers and lone symbols stay."""
-    around = r"(?<![^ ])(?:(?![+−-]?\p{N})[^\p{L}\p{M}\p{N} ])+(?=[\p{L}\p{M}\p{N}+−-])|(?<=[\p{L}\p{M}\p{N}])[^\p{L}\p{M}\p{N} ]+(?![^ ])"
-    return F.regexp_replace(F.lower(words), around, "")
+    # A mark is looked for first, so that letters cost one test each.
+    mark = r"(?=[^\p{L}\p{M}\p{N} ])"
+    before = r"(?<![^ ])(?:(?![+−-]?\p{N})[^\p{L}\p{M}\p{N} ])+(?=[\p{L}\p{M}\p{N}+−-])"
+    after = r"(?<=[\p{L}\p{M}\p{N}])[^\p{L}\p{M}\p{N} ]+(?![^ ])"
+    return F.regexp_replace(F.lower(words), f"{mark}(?:{before}|{after})", "")
 
 
 def template(df: DataFrame, words: str) -> DataFrame:
@@ -51,7 +56,7 @@ def template(df: DataFrame, words: str) -> DataFrame:
     Placeholders stand for runs of names and for numbers with their units; the rest is in lower case without punctuation.
     """
     # A name is a word with a capital: at the start of a sentence none can be told from other words.
-    name, start, units = r"\p{Lu}[\p{L}\p{M}'’-]*", r"(?<![\p{L}\p{M}\p{N}'’-])", "|".join(UNITS)
+    name, start, units = r"\p{Lu}[\p{L}\p{M}'’-]*", r"(?=\p{Lu})(?<![\p{L}\p{M}\p{N}'’-])", "|".join(UNITS)
     joined = F.regexp_replace(words, rf"{start}({name}) (?=\p{{Lu}})", f"$1{JOINT}")
     measured = F.regexp_replace("_joined", rf"(\p{{N}}) (?=(?:{units})(?![\p{{L}}\p{{M}}\p{{N}}]))", f"$1{JOINT}")
     named = F.regexp_replace("joined", rf"{start}{name}(?:{JOINT}{name})*", NAME)
@@ -63,17 +68,50 @@ def template(df: DataFrame, words: str) -> DataFrame:
     return marked.withColumn("template", F.regexp_replace(F.lower("_marked"), r"[^\p{L}\p{M}\p{N}⟨⟩ ]+", "")).drop("_joined", "_named", "_marked")
 
 
-def windows(df: DataFrame, length: int, keep: list[str]) -> DataFrame:
-    """Every stretch of ``length`` canonical words of ``canon``: place, hash, canonical and original words."""
-    # Without a filter on the size, which the optimiser would move below the projection and compute all templates twice.
+def _hashes(words: str) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _window_hash(hashes: str, place: Column, length: int, verbatim: Column) -> Column:
+    """Hash of the ``length`` words from ``place`` (1 is the first), from the words' hashes; equal and template windows never meet."""
+    return F.xxhash64(F.lit(length), verbatim, *[F.get(hashes, place + (i - 1)) for i in range(length)])
+
+
+def _sought(items: DataFrame, length: int, verbatim: bool) -> DataFrame:
+    """The windows of ``length`` words of items(item_id, item_id_text, item_windows, canon, words)."""
     places = F.when(F.size("canon") >= length, F.sequence(F.lit(1), F.size("canon") - length + 1)).otherwise(F.array().cast("array<int>"))
-    rows = df.select(*keep, "canon", "words", F.explode(places).alias("place"))
+    rows = items.select("*", F.size("canon").alias("item_length"), _hashes("canon").alias("hashes"), F.explode(places).alias("item_place"))
     return rows.select(
-        *keep, "place", F.xxhash64(F.slice("canon", F.col("place"), length)).alias("hash"),
-        F.slice("canon", F.col("place"), length).alias("form"), F.slice("words", F.col("place"), length).alias("surface"),
+        _window_hash("hashes", F.col("item_place"), length, F.lit(verbatim)).alias("hash"), "item_id", "item_id_text", "item_windows", "item_length", "item_place",
+        F.slice("canon", F.col("item_place"), length).alias("item_form"), F.slice("words", F.col("item_place"), length).alias("item_surface"),
     )
 
 
+def _windows(docs: DataFrame, id_col: str, text_col: str, lengths: list[int]) -> DataFrame:
+    """All windows of the documents, of template words and of equal words (``verbatim``): each text is read and cut once.
+
+    Without a length of its own a window's words would be carried whole: they are cut out of the text's lists where they are used.
+    """
+    words = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("doc_id_text"), spaced(F.col(text_col)).alias("w"))
+    read = template(words.withColumn("plain", plain(F.col("w"))), "w")
+    read = read.select("doc_id", "doc_id_text", F.split("joined", " ").alias("words"), F.split("template", " ").alias("canon"), F.split("plain", " ").alias("same"))
+    read = read.select("*", F.concat(_hashes("canon"), _hashes("same")).alias("hashes"))
+    first = F.size("canon")
+    rows = read.select("*", F.explode(F.sequence(F.lit(1), F.size("hashes"))).alias("p")).withColumn("verbatim", F.col("p") > first)
+    # Filters on the place stay above the lists of words, which are therefore made once.
+    left = F.when(F.col("verbatim"), F.size("hashes")).otherwise(first) - F.col("p") + 1
+    rows = rows.where(left >= min(lengths))
+    made = [F.struct(F.lit(n).alias("length"), _window_hash("hashes", F.col("p"), n, F.col("verbatim")).alias("hash")) for n in lengths]
+    if len(made) == 1:
+        rows = rows.withColumns({"length": F.lit(lengths[0]), "hash": made[0]["hash"]})
+    else:
+        fitting = F.explode(F.array(*[F.when(left >= n, m) for n, m in zip(lengths, made, strict=True)]))
+        rows = rows.withColumn("window", fitting).where("window is not null").withColumns({"length": F.col("window.length"), "hash": F.col("window.hash")})
+    place = F.when(F.col("verbatim"), F.col("p") - first).otherwise(F.col("p"))
+    cut = lambda form: F.when(F.col("verbatim"), F.slice("same", place, F.col("length"))).otherwise(F.slice(form, place, F.col("length")))
+    return rows.select("doc_id", "doc_id_text", "verbatim", "length", "hash", place.alias("place"), cut("canon").alias("form"), cut("words").alias("surface"))
+
+
 def _read(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
     words = spaced(F.col(text_col))
     split = df.select(F.col(id_col).alias(name), F.xxhash64(F.col(text_col)).alias(f"{name}_text"), words.alias("w"))
@@ -119,25 +157,45 @@ def _lengths(items: DataFrame) -> list[int]:
     return sorted(r["n"] for r in items.select(F.least(F.size("canon"), F.lit(WINDOW)).alias("n")).distinct().collect())
 
 
-def _verbatim(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame | None:
-    """Alignments of equal words: key, windows (matched), item_windows. No word is a slot; None without items."""
+def _equal_words(benchmark: DataFrame, item_col: str, item_text_col: str) -> tuple[list[int], list[DataFrame]]:
+    """Window lengths and windows of the items' words as they are; no word is a slot."""
     items = _read_plain(benchmark, item_col, item_text_col, "item_id").where(F.array_join("words", "") != "")
     items = settle(items.dropDuplicates(["item_id", "item_id_text"]), "decontaminate-words")
-    texts = _read_plain(docs, id_col, text_col, "doc_id")
-    found = None
-    for length in _lengths(items):
+    lengths, sought = _lengths(items), []
+    for length in lengths:
         pool = items.where(F.size("canon") == length) if length < WINDOW else items.where(F.size("canon") >= WINDOW)
-        sought = windows(pool.select("*", (F.size("canon") - length + 1).alias("item_windows")), length, ["item_id", "item_id_text", "item_windows"])
-        sought = sought.select("hash", "item_id", "item_id_text", "item_windows", F.col("place").alias("item_place"), F.col("form").alias("item_form"))
-        met = windows(texts, length, ["doc_id", "doc_id_text"]).drop("surface").join(_hinted(sought), "hash").where(F.col("form") == F.col("item_form"))
-        met = met.withColumn("shift", F.col("place") - F.col("item_place")).drop("hash", "form", "item_form", "place")
-        if length < WINDOW:  # one window is the whole item: once in a document is enough
-            met = met.withColumn("shift", F.lit(0)).dropDuplicates(["doc_id", "doc_id_text", "item_id", "item_id_text"])
-        found = met if found is None else found.unionByName(met)
-    if found is None:
-        return None
-    found = _keyed(settle(found, "decontaminate-equal"))
-    return found.groupBy("key").agg(F.countDistinct("item_place").alias("windows"), F.max("item_windows").alias("item_windows"))
+        sought.append(_sought(pool.select("*", (F.size("canon") - length + 1).alias("item_windows")), length, True))
+    return lengths, sought
+
+
+def _meetable(length: int) -> Column:
+    """How many windows of ``length`` words of ``canon`` have enough literal words."""
+    places = F.sequence(F.lit(1), F.size("canon") - length + 1)
+    return F.size(F.filter(places, lambda at: _literal(F.slice("canon", at, length)) >= LEAST_LITERAL))
+
+
+def _template_words(benchmark: DataFrame, item_col: str, item_text_col: str) -> tuple[list[int], list[DataFrame]]:
+    """Window lengths and windows of the items' templates: one length, and one more for each of 5, 6 and 7 that short items have."""
+    items = settle(_read(_begun(benchmark, item_col, item_text_col), item_col, item_text_col, "item_id").dropDuplicates(["item_id", "item_id_text"]), "decontaminate-items")
+    lengths, sought = [n for n in _lengths(items) if n >= LEAST_WORDS], []
+    for length in lengths:
+        pool = items.where(F.size("canon") == length) if length < WINDOW else items.where(F.size("canon") >= WINDOW)
+        # Shares are of the windows that can be met.
+        rows = _sought(pool.select("*", F.greatest(_meetable(length), F.lit(1)).alias("item_windows")), length, False)
+        # A name at the start of a sentence may be any word: where it is the same word, it is literal.
+        names = F.size(F.filter("item_form", lambda w: w == NAME))
+        sought.append(rows.where((_literal(F.col("item_form")) + F.least(names, F.lit(1))) >= LEAST_LITERAL))
+    return lengths, sought
+
+
+def _same(found: DataFrame) -> DataFrame:
+    """Alignments of equal windows: key, windows (matched), item_windows, and no slots."""
+    # One window is the whole of a short item: once in a document is enough.
+    short = F.col("length") < WINDOW
+    found = found.withColumn("shift", F.when(short, F.lit(0)).otherwise(F.col("shift")))
+    found = found.select("doc_id", "doc_id_text", "item_id", "item_id_text", "item_windows", "item_place", "shift").distinct()
+    aligned = _keyed(found).groupBy("key").agg(F.countDistinct("item_place").alias("windows"), F.max("item_windows").alias("item_windows"))
+    return aligned.selectExpr("*", "0L as slots", "0L as changed_slots")
 
 
 def contaminated(
@@ -161,32 +219,17 @@ def contaminated(
     tested apart and reported once per item. NULL ids are reported as NULL. Other columns are not looked at.
     Returns also windows (matched), item_windows, slots, changed_slots and kind (verbatim or reparameterised).
     """
-    items = settle(_read(_begun(benchmark, item_col, item_text_col), item_col, item_text_col, "item_id").dropDuplicates(["item_id", "item_id_text"]), "decontaminate-items")
-    texts = _read(docs, id_col, text_col, "doc_id")
-    found = None
-    for length in [n for n in _lengths(items) if n >= LEAST_WORDS]:  # one length, and one more for each of 5, 6 and 7 that short items have
-        pool = items.where(F.size("canon") == length) if length < WINDOW else items.where(F.size("canon") >= WINDOW)
-        # Shares are of the windows that can be met.
-        places = F.sequence(F.lit(1), F.size("canon") - length + 1)
-        total = F.size(F.filter(places, lambda at: _literal(F.slice("canon", at, length)) >= LEAST_LITERAL))
-        pool = pool.select("*", F.greatest(total, F.lit(1)).alias("item_windows"), F.size("canon").alias("item_length"))
-        sought = windows(pool, length, ["item_id", "item_id_text", "item_windows", "item_length"])
-        # A name at the start of a sentence may be any word: where it is the same word, it is literal.
-        names = F.size(F.filter("form", lambda w: w == NAME))
-        sought = sought.where((_literal(F.col("form")) + F.least(names, F.lit(1))) >= LEAST_LITERAL)
-        sought = sought.select("hash", "item_id", "item_id_text", "item_windows", "item_length", F.col("place").alias("item_place"), F.col("form").alias("item_form"), F.col("surface").alias("item_surface"))
-        met = windows(texts, length, ["doc_id", "doc_id_text"]).join(_hinted(sought), "hash")
-        met = met.withColumn("shift", F.col("place") - F.col("item_place"))
-        found = met if found is None else found.unionByName(met)
-    aligned = _verbatim(docs, benchmark, id_col, text_col, item_col, item_text_col)
-    if found is not None:
-        found = _templates(found)
-        aligned = found if aligned is None else found.unionByName(aligned.selectExpr("*", "0L as slots", "0L as changed_slots"))
-    elif aligned is not None:
-        aligned = aligned.selectExpr("*", "0L as slots", "0L as changed_slots")
-    else:
+    lengths, sought = _template_words(benchmark, item_col, item_text_col)
+    more, equal = _equal_words(benchmark, item_col, item_text_col)
+    lengths, sought = sorted({*lengths, *more}), [*sought, *equal]
+    if not sought:
         empty = docs.select(F.col(id_col).alias("doc_id"), F.lit(None).cast("long").alias("item_id")).limit(0)
         return empty.selectExpr("doc_id", "item_id", "0L as windows", "0L as item_windows", "0L as slots", "0L as changed_slots", "'' as kind")
+    sought = settle(reduce(DataFrame.unionByName, sought), "decontaminate-sought")
+    met = _windows(docs, id_col, text_col, lengths).join(_hinted(sought), "hash").withColumn("shift", F.col("place") - F.col("item_place"))
+    # Equal hashes are confirmed after the write, so that the join needs no slice of a window that meets nothing.
+    found = settle(met.drop("hash"), "decontaminate-met").where(F.col("form") == F.col("item_form"))
+    aligned = _templates(found.where("not verbatim")).unionByName(_same(found.where("verbatim")))
     enough = (F.col("windows") >= LEAST_WINDOWS) | (F.col("windows") >= COVERAGE * F.col("item_windows"))
     aligned = aligned.where(enough).select(
         F.struct("key.doc_id", "key.item_id").alias("pair"),
@@ -201,8 +244,6 @@ def contaminated(
 
 def _templates(found: DataFrame) -> DataFrame:
     """Alignments of template windows: key, windows (matched), item_windows, slots, changed_slots."""
-    # Equal hashes are confirmed after the write, so that the join needs no slice of a window that meets nothing.
-    found = settle(found.drop("hash"), "decontaminate-met").where(F.col("form") == F.col("item_form"))
     same = F.filter(F.arrays_zip("form", "item_surface", "surface"), lambda z: (z["form"] == NAME) & (_bare(z["item_surface"]) == _bare(z["surface"])))
     found = _keyed(found.where(_literal(F.col("form")) + F.size(same) >= LEAST_LITERAL))
     zipped = F.explode(F.arrays_zip("form", "item_surface", "surface", F.sequence(F.lit(0), F.size("form") - 1).alias("i")))
