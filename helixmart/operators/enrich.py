@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from helixmart.functions import ids
 from helixmart.functions.values import first_filled, gene_length
-from helixmart.operators.joins import attach
+from helixmart.operators.joins import attach, attach_guarded
 
 # --- fixed values -----------------------------------------------------------------------
 DEFAULT_DOSE, DEFAULT_DOSE_UNIT = 1.0, "mM"
@@ -168,8 +168,8 @@ def ontology_term(df: DataFrame, key: str, out: str, refs: dict, as_of: str | No
 def study(df: DataFrame, key: str, out: str, refs: dict, as_of: str | None = None, salts: int = 0) -> DataFrame:
     df = df.withColumn("_id", ids.study_accession(F.col(key)))
     acc, a, b = F.col("_id"), F.col("_a"), F.col("_b")
-    df = attach(df, F.when(acc.startswith("E-MTAB"), acc), [(refs.get("a"), STUDY_A, "_a")], salts)
-    df = attach(df, F.when(acc.startswith("GSE"), acc), [(refs.get("b"), STUDY_B, "_b")], salts)
+    lookups = [("E-MTAB", "a", STUDY_A, "_a"), ("GSE", "b", STUDY_B, "_b")]
+    df = attach_guarded(df, [(F.when(acc.startswith(p), acc), refs.get(r), schema, to) for p, r, schema, to in lookups], salts)
     in_a = a.isNotNull()
     in_b = first_filled(b["title"]).isNotNull()
     today = F.lit(as_of) if as_of else F.date_format(F.current_date(), "yyyy-MM-dd")

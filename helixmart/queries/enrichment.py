@@ -15,6 +15,22 @@ def _expand(df, column, keys):
     return df.select(*keys, f"{column}.*")
 
 
+def _gene_references(spark, sf_dir):
+    part = table(spark, sf_dir, "part").withColumn("gene_accession", F.split_part(F.expr(GENE_ID), F.lit("."), F.lit(1)))
+    a = part.filter(F.col("p_type").isin("SMALL", "LARGE")).select(
+        "gene_accession",
+        F.when(F.col("p_size") > 10, F.col("p_name")).otherwise("").alias("symbol"),
+        F.col("p_brand").alias("name"),
+        (F.col("p_partkey") * 10).alias("start"),
+        (F.col("p_partkey") * 10 + F.col("p_size")).alias("end"),
+        F.split("p_name", " ").alias("go_bp"),
+    )
+    b = part.filter("p_size <= 30").select(
+        "gene_accession", F.col("p_type").alias("display_name"), F.lit(5).alias("start"), (F.col("p_size") + 5).alias("end")
+    )
+    return {"a": a, "b": b}
+
+
 @query(f"""
 WITH g AS (SELECT l_orderkey, l_linenumber, split_part(concat('ENSG', lpad(cast(l_partkey as string), 11, '0'), '.1'), '.', 1) AS acc FROM lineitem),
 a AS (SELECT split_part({GENE_ID}, '.', 1) AS acc, CASE WHEN p_size > 10 THEN p_name ELSE '' END AS symbol, p_brand AS name,
@@ -32,19 +48,28 @@ def enrich_gene(spark, sf_dir):
     facts = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", F.expr("concat('ENSG', lpad(cast(l_partkey as string), 11, '0'), '.1')").alias("id")
     )
-    part = table(spark, sf_dir, "part").withColumn("gene_accession", F.split_part(F.expr(GENE_ID), F.lit("."), F.lit(1)))
-    a = part.filter(F.col("p_type").isin("SMALL", "LARGE")).select(
-        "gene_accession",
-        F.when(F.col("p_size") > 10, F.col("p_name")).otherwise("").alias("symbol"),
-        F.col("p_brand").alias("name"),
-        (F.col("p_partkey") * 10).alias("start"),
-        (F.col("p_partkey") * 10 + F.col("p_size")).alias("end"),
-        F.split("p_name", " ").alias("go_bp"),
-    )
-    b = part.filter("p_size <= 30").select(
-        "gene_accession", F.col("p_type").alias("display_name"), F.lit(5).alias("start"), (F.col("p_size") + 5).alias("end")
-    )
-    return _expand(enrich.gene(facts, "id", "m", {"a": a, "b": b}), "m", ["l_orderkey", "l_linenumber"])
+    return _expand(enrich.gene(facts, "id", "m", _gene_references(spark, sf_dir)), "m", ["l_orderkey", "l_linenumber"])
+
+
+# Half of the rows have no key, and a third have the same one.
+SKEWED_PART = "CASE WHEN l_orderkey % 6 < 3 THEN NULL WHEN l_orderkey % 6 < 5 THEN 7 ELSE l_partkey END"
+
+
+@query(f"""
+WITH g AS (SELECT l_orderkey, l_linenumber, 'ENSG' || lpad(cast({SKEWED_PART} AS string), 11, '0') AS acc FROM lineitem),
+a AS (SELECT split_part({GENE_ID}, '.', 1) AS acc, CASE WHEN p_size > 10 THEN p_name ELSE '' END AS symbol, p_brand AS name
+      FROM part WHERE p_type IN ('SMALL', 'LARGE')),
+b AS (SELECT split_part({GENE_ID}, '.', 1) AS acc, p_type AS name FROM part WHERE p_size <= 30)
+SELECT l_orderkey, l_linenumber, g.acc AS gene_accession,
+       CASE WHEN a.acc IS NOT NULL THEN coalesce(nullif(a.symbol, ''), a.name) WHEN b.acc IS NOT NULL THEN b.name
+            ELSE 'Gene' || right(g.acc, 4) END AS gene_name
+FROM g LEFT JOIN a ON g.acc = a.acc LEFT JOIN b ON g.acc = b.acc
+""")
+def enrich_skewed(spark, sf_dir):
+    key = F.expr(f"concat('ENSG', lpad(cast({SKEWED_PART} as string), 11, '0'), '.1')").alias("id")
+    facts = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", key)
+    found = enrich.gene(facts, "id", "m", _gene_references(spark, sf_dir), salts=32)
+    return found.select("l_orderkey", "l_linenumber", "m.gene_accession", "m.gene_name")
 
 
 @query(f"""

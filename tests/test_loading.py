@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import bag
 from helixmart.operators.integrity import content_audit, orphans, require, split_valid, with_parent
-from helixmart.operators.joins import attach, keep_one, skew_join
+from helixmart.operators.joins import attach, attach_guarded, heavy_keys, keep_one, skew_join
 from helixmart.operators.rules import load_rules
 from helixmart.plans import pipeline, star
 from helixmart.plans.schemas import KEYS, TABLES
@@ -255,3 +255,48 @@ def test_routed_stream_keeps_rejected_rows_of_a_batch_once(spark, tmp_path):
         checkpoint.rename(tmp_path / f"lost{len(list(tmp_path.iterdir()))}")
         assert spark.read.parquet(f"{root}/_quarantine/Samples").count() == 1
         assert merge.read_target(spark, f"{root}/Samples", TABLES["Samples"]).count() == 1
+
+
+def test_heavy_keys_are_those_of_many_rows(spark):
+    df = spark.range(6000).selectExpr("CASE WHEN id % 6 < 3 THEN NULL WHEN id % 6 < 5 THEN 'hot' ELSE cast(id AS string) END AS k")
+    assert heavy_keys(df, "k", 16) == ["hot"]
+    assert heavy_keys(df.where("k is null"), "k", 16) == []
+    assert heavy_keys(df.limit(0), "k", 16) == []
+
+
+def test_lookup_of_heavy_and_null_keys_is_even(spark):
+    df = spark.range(12000).selectExpr("id", "CASE WHEN id % 6 < 3 THEN NULL WHEN id % 6 < 5 THEN 'hot' ELSE cast(id AS string) END AS k").repartition(7, "id")
+    ref = spark.createDataFrame([("hot", "x"), ("5", "y"), ("5", "z"), (None, "n"), ("unseen", "u")], "id string, v string")
+    schema = "id string, v string, absent int"
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = attach(df, F.col("k"), [(ref, schema, "m")], salts=64)
+        sizes = sorted(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect())
+        rows = bag(got.select("id", "k", "m.v"))
+        plain = bag(attach(df, F.col("k"), [(ref, schema, "m")]).select("id", "k", "m.v"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 8 and sizes[-1] < 3 * sizes[4]
+    one = {None: None, "hot": "x", "5": "y"}
+    expected = sorted((i, k, one.get(k)) for i in range(12000) for k in [None if i % 6 < 3 else "hot" if i % 6 < 5 else str(i)])
+    assert sorted(map(tuple, rows), key=lambda r: r[0]) == expected
+    assert sorted(map(tuple, plain), key=lambda r: r[0]) == expected
+
+
+def test_guarded_lookups_are_one_join(spark):
+    df = spark.createDataFrame([("E1",), ("G1",), ("E2",), ("X",), (None,), ("G1",)], "k string")
+    a = spark.createDataFrame([("E1", "a"), ("G1", "wrong table"), ("E1", "b")], "id string, v string")
+    b = spark.createDataFrame([("G1", 5), ("E2", 6)], "id string, w int")
+    keys = [F.when(F.col("k").startswith(p), F.col("k")) for p in "EG"]
+    for salts in (0, 4):
+        got = attach_guarded(df, [(keys[0], a, "id string, v string", "x"), (keys[1], b, "id string, w int", "y")], salts)
+        assert got.columns == ["k", "x", "y"]
+        expected = [("E1", "a", None), ("E2", None, None), ("G1", None, 5), ("G1", None, 5), ("X", None, None), (None, None, None)]
+        assert sorted(map(tuple, got.select("k", "x.v", "y.w").collect()), key=repr) == sorted(expected, key=repr)
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+    none = attach_guarded(df, [(keys[0], None, "id string, v string", "x"), (keys[1], b, "id string, w int", "y")])
+    assert none.where("x is not null").count() == 0 and none.where("y.w = 5").count() == 2
