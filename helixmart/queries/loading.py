@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from helixmart.operators.integrity import content_audit, orphans, rows_per_table, with_parent
+from helixmart.operators.integrity import content_audit, digest_audit, merge_audits, orphans, rows_per_table, with_parent
 from helixmart.plans import star
 from helixmart.plans.schemas import TABLES
 from helixmart.queries.base import query, table
@@ -130,6 +130,28 @@ def audit_checksum(spark, sf_dir):
     return content_audit(rows, F.col("l_returnflag"))
 
 
+_EXACT = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("""
+WITH t AS (SELECT l_returnflag AS source, md5(list_aggregate(list_transform([
+        cast(l_orderkey AS string), cast(l_partkey AS string), cast(l_linenumber AS string),
+        cast(cast(l_quantity AS DECIMAL(18, 4)) AS string), cast(cast(l_extendedprice AS DECIMAL(18, 4)) AS string),
+        cast(cast(l_discount AS DECIMAL(18, 4)) AS string), cast(cast(l_tax AS DECIMAL(18, 4)) AS string), l_returnflag, l_linestatus],
+        lambda x: chr(31) || coalesce(x, chr(0))), 'string_agg', '')) AS h FROM lineitem)
+SELECT source, count(*) AS n_rows, cast(sum(cast('0x' || h[1:15] AS HUGEINT)) AS string) AS digest_a,
+       cast(sum(cast('0x' || h[16:30] AS HUGEINT)) AS string) AS digest_b
+FROM t GROUP BY 1
+""")
+def audit_digest(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", *[F.col(c).cast("decimal(18,4)").alias(c) for c in _EXACT], "l_returnflag", "l_linestatus"
+    )
+    # An audit for each batch, then one of all batches.
+    batches = digest_audit(rows, F.concat_ws("/", "l_returnflag", F.col("l_linenumber").cast("string")))
+    return merge_audits(batches.withColumn("source", F.substring_index("source", "/", 1)))
+
+
 _DIM = """
 SELECT row_number() OVER (ORDER BY md5(c_name), c_name) AS study_key, c_name, c_mktsegment FROM customer
 """

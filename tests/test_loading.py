@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import bag
-from helixmart.operators.integrity import content_audit, orphans, require, split_valid, with_parent
+from helixmart.operators.integrity import content_audit, digest_audit, merge_audits, orphans, require, split_valid, with_parent
 from helixmart.operators.joins import attach, attach_guarded, heavy_keys, keep_one, skew_join
 from helixmart.operators.rules import load_rules
 from helixmart.plans import pipeline, star
@@ -300,3 +300,19 @@ def test_guarded_lookups_are_one_join(spark):
         assert got._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
     none = attach_guarded(df, [(keys[0], None, "id string, v string", "x"), (keys[1], b, "id string, w int", "y")])
     assert none.where("x is not null").count() == 0 and none.where("y.w = 5").count() == 2
+
+
+def test_digests_of_batches_add_up(spark):
+    import hashlib
+
+    rows = [(1, "a"), (1, "a"), (2, None), (3, "\x1fb")]
+    df = spark.createDataFrame(rows, "n int, `t.x` string")
+    whole = digest_audit(df, "s").collect()
+    hashes = [hashlib.md5("".join("\x1f" + ("\0" if c is None else str(c)) for c in r).encode()).hexdigest() for r in rows]
+    assert [tuple(r) for r in whole] == [("s", 4, str(sum(int(h[:15], 16) for h in hashes)), str(sum(int(h[15:30], 16) for h in hashes)))]
+    parts = digest_audit(df.where("n = 1"), "s").unionAll(digest_audit(df.where("n > 1"), "s"))
+    assert merge_audits(parts).collect() == whole
+    assert digest_audit(df.limit(0), "s").count() == 0
+    # Moving a value to the next column shows.
+    moved = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    assert len({r["digest_a"] for r in digest_audit(moved, F.coalesce("x", F.lit("z"))).collect()}) == 2
