@@ -35,8 +35,9 @@ TAG_BITS = 24
 MAP_BITS = 1 << 22
 # Bytes that are hashed at a time; longer texts are taken in overlapping pieces.
 PIECE = 2 << 20
-# Suffixes aimed at in a range of the merge, suffixes drawn for the range borders, and entries in a block.
+# Suffixes aimed at in a range of the merge, suffixes a run holds in memory, suffixes drawn for the range borders, and entries in a block.
 RANGE = 400_000
+RUN = 250_000
 DRAWN = 20_000
 ENTRIES = 4096
 # Bytes that say where a suffix is from: id, start and tag.
@@ -185,10 +186,11 @@ class LoserTree:
         while self.size < max(1, len(runs)):
             self.size *= 2
         self.heads: list[bytes | None] = [None] * self.size
-        self.shared = [0] * self.size  # of a head with the entry that last won where it stands
         for i, run in enumerate(runs):
             first = next(run, None)
             self.heads[i] = first[1] if first else None
+        # Of a head with the entry that last won where it stands; a run that has ended shares less than any.
+        self.shared = [-1 if head is None else 0 for head in self.heads]
         self.losers = [-1] * self.size
         self.winner = self._play(1)
 
@@ -228,19 +230,24 @@ class LoserTree:
 
     def __iter__(self) -> Iterator[tuple[int, bytes]]:
         """(shared length with the entry before, entry) in order."""
-        while (entry := self.heads[self.winner]) is not None:
-            w = self.winner
-            yield self.shared[w], entry
-            following = next(self.runs[w], None)
+        heads, shared, losers, runs, size = self.heads, self.shared, self.losers, self.runs, self.size
+        w = self.winner
+        while (entry := heads[w]) is not None:
+            yield shared[w], entry
+            following = next(runs[w], None)
             if following is None:
-                self.heads[w] = None
+                heads[w], shared[w] = None, -1
             else:
-                n, self.heads[w] = following
+                n, heads[w] = following
                 # A block's first entry is not coded against the one before.
-                self.shared[w] = n if n else self._common(entry, self.heads[w])
-            node = (w + self.size) // 2
+                shared[w] = n if n else self._common(entry, heads[w])
+            node = (w + size) // 2
             while node:
-                w, self.losers[node] = self._match(w, self.losers[node])
+                loser = losers[node]
+                if shared[w] < shared[loser]:
+                    losers[node], w = w, loser
+                elif shared[w] == shared[loser]:
+                    w, losers[node] = self._match(w, loser)
                 node //= 2
             self.winner = w
 
@@ -256,35 +263,45 @@ def _origin(entry: bytes) -> tuple[int, int, int]:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], borders: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """(tag, id, text, spots) -> a sorted, front-coded run of each batch, cut at the range borders."""
-    for turn, batch in enumerate(batches):
+    """(tag, id, text, spots) -> sorted, front-coded runs of RUN suffixes or little more, cut at the range borders."""
+    for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
-            entries, gone = [], []
+            entries, pieces = [], 0
+            name = f"{part.column(1)[0].as_py()} {part.column(0)[0].as_py()}"  # no other slice begins with this text
             for tag, i, text, spots in zip(*(part.column(c).to_pylist() for c in range(4)), strict=True):
                 # The bytes of an origin are ordered as its id and start.
                 head, tail = (i + (1 << 63)).to_bytes(8), tag.to_bytes(3)
                 for spot in spots:
                     first, more = spot >> (TAG_BITS + 7), (spot >> TAG_BITS) & 127
                     entries += [text[p : p + WIDTH] + head + p.to_bytes(5) + tail for p in range(first, first + more + 1)]
-            entries.sort()
-            kept: list[bytes] = []
-            lead = b""
-            for e in entries:  # a suffix that the run has from an earlier place need not travel
-                if e[:WIDTH] != lead[:WIDTH]:
-                    lead = e
-                    kept.append(e)
-                elif e[WIDTH : WIDTH + 13] == lead[WIDTH : WIDTH + 13]:
-                    kept.append(e)
-                else:
-                    gone.append(_origin(e))
-            run = (part.column(1)[0].as_py() * 31 + turn * 1009 + at) & LAST_ID
-            cuts = [0, *(bisect.bisect_left(kept, border) for border in borders), len(kept)]
-            rows = [(k, run, j, write_block(kept[j : min(b, j + ENTRIES)]), 0, 0, 0, 0) for k, (a, b) in enumerate(itertools.pairwise(cuts)) for j in range(a, b, ENTRIES)]
-            rows += [(i % (len(borders) + 1), run, 0, None, i, t, x, y) for (i, t), s in _grouped(gone).items() for x, y in _merge(s)]
-            if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["range", "run", "seq", "block", "id", "tag", "first", "end"])
+                    if len(entries) >= RUN:
+                        yield from _run(entries, f"{name} {pieces}", borders)
+                        entries, pieces = [], pieces + 1
+            yield from _run(entries, f"{name} {pieces}", borders)
+
+
+def _run(entries: list[bytes], name: str, borders: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """The blocks of one run, and the spans of suffixes that the run itself has from an earlier place."""
+    entries.sort()
+    kept: list[bytes] = []
+    gone = []
+    lead = b""
+    for e in entries:  # a suffix that the run has from an earlier place need not travel
+        if e[:WIDTH] != lead[:WIDTH]:
+            lead = e
+            kept.append(e)
+        elif e[WIDTH : WIDTH + 13] == lead[WIDTH : WIDTH + 13]:
+            kept.append(e)
+        else:
+            gone.append(_origin(e))
+    run = xxhash.xxh3_64_intdigest(name) & LAST_ID
+    cuts = [0, *(bisect.bisect_left(kept, border) for border in borders), len(kept)]
+    rows = [(k, run, j, write_block(kept[j : min(b, j + ENTRIES)]), 0, 0, 0, 0) for k, (a, b) in enumerate(itertools.pairwise(cuts)) for j in range(a, b, ENTRIES)]
+    rows += [(i % (len(borders) + 1), run, 0, None, i, t, x, y) for (i, t), s in _grouped(gone).items() for x, y in _merge(s)]
+    if rows:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["range", "run", "seq", "block", "id", "tag", "first", "end"])
 
 
 def _grouped(gone: list[tuple[int, int, int]]) -> dict[tuple[int, int], list[tuple[int, int]]]:
@@ -299,17 +316,16 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
     passed = group[group["block"].isna()]
     blocks = group[group["block"].notna()].sort_values(["run", "seq"])
     runs = [read_blocks(list(g)) for _, g in blocks.groupby("run")["block"]]
-    lead: tuple[int, int] | None = None
+    lead = b""
     gone = []
     for shared, entry in LoserTree(runs):
-        origin = _origin(entry)
-        if shared < WIDTH or lead is None:
-            lead = origin[:2]  # equal windows come in order of id and start
-        elif origin[:2] != lead:
-            gone.append(origin)
-    out = [(i, t, a, b) for (i, t), s in _grouped(gone).items() for a, b in _merge(s)]
-    out += list(passed[["id", "tag", "first", "end"]].itertuples(index=False, name=None))
-    return pd.DataFrame(out, columns=["id", "tag", "first", "end"]).astype("int64")
+        if shared < WIDTH or not lead:
+            lead = entry[WIDTH : WIDTH + 13]  # equal windows come in order of id and start
+        elif entry[WIDTH : WIDTH + 13] != lead:
+            gone.append(_origin(entry))
+    columns = ["id", "tag", "first", "end"]
+    out = pd.DataFrame([(i, t, a, b) for (i, t), s in _grouped(gone).items() for a, b in _merge(s)], columns=columns)
+    return pd.concat([out.astype("int64"), passed[columns]], ignore_index=True).astype("int64")
 
 
 def _map_of(keys: DataFrame) -> DataFrame:
@@ -351,21 +367,23 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     if not windows:
         return spans
     work = _split(texts, spots.select("id", "tag")).where("maybe").join(spots.groupBy("id", "tag").agg(F.collect_list("place").alias("spots")), ["id", "tag"])
-    borders = _borders(texts, windows)
+    borders = _borders(texts, spots, windows)
     blocks = work.select("tag", "id", "text", "spots").mapInArrow(lambda it: _runs(it, borders), "range long, run long, seq long, block binary, id long, tag long, first long, end long")
     return spans.union(blocks.groupBy("range").applyInPandas(_merged, "id long, tag long, first long, end long"))
 
 
-def _borders(texts: DataFrame, windows: int) -> list[bytes]:
-    """Range borders from a drawn sample of the suffixes of all texts: DRAWN of them in expectation."""
+def _borders(texts: DataFrame, spots: DataFrame, windows: int) -> list[bytes]:
+    """Range borders from a drawn sample of the open suffixes: DRAWN of them in expectation."""
     ranges = max(partitions(texts.sparkSession), -(-windows // RANGE))
-    places = F.length("text") - WIDTH + 1
-    long_enough = texts.where(F.length("text") >= WIDTH)
-    total = long_enough.agg(F.count("*")).first()[0]
-    drawn = long_enough.where(F.pmod(F.xxhash64("id", "tag", F.lit(1)), F.lit(1 << 20)) < F.lit(int(min(1.0, DRAWN / max(1, total)) * (1 << 20)))).select(
-        F.substring("text", (F.pmod(F.xxhash64("id", "tag", F.lit(2)), places) + 1).cast("int"), F.lit(WIDTH)).alias("s")
-    )
-    keys = sorted(bytes(r["s"]) for r in drawn.collect())
+    steps = 1 << 40
+    share = int(min(1.0, DRAWN / windows) * steps)
+    # A spot stands for more + 1 suffixes, and is drawn as often.
+    size = F.col("more") + 1
+    draw = lambda seed: F.pmod(F.xxhash64("id", "place", F.lit(seed)), F.lit(steps))
+    chosen = spots.where(draw(1) < size * share).select("id", "tag", (F.col("first") + F.pmod(draw(2), size)).alias("at"))
+    # DRAWN rows of three numbers: bounded, so they may be broadcast.
+    found = texts.join(F.broadcast(settle(chosen, "suffix-drawn")), ["id", "tag"]).select(F.substring("text", (F.col("at") + 1).cast("int"), WIDTH).alias("s"))
+    keys = sorted(bytes(r["s"]) for r in found.collect())
     return sorted({keys[len(keys) * k // ranges] for k in range(1, ranges)}) if keys else []
 
 
