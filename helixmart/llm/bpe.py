@@ -228,23 +228,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     NULL and empty texts, and texts of white space only, have no ids; repeated rows and ids stay rows;
     an empty table gives none. Memory follows the longest text of a batch.
     """
-    ship(docs.sparkSession)
-    kept = [c for c in (keep or []) if c != id_col]
-    source = docs.select(F.col(id_col).alias(id_col), *kept, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    schema = T.StructType([*source.drop("_text").schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                packed = [vocab.encode(t) for t in part.column(part.num_columns - 1).to_pylist()]
-                offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in packed])]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
-                ids = pa.ListArray.from_arrays(pa.array(offsets), values)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names=[*part.schema.names[:-1], "ids"])
-
-    return source.mapInArrow(run, schema)
+    source, schema = _coded(docs, id_col, text_col, keep)
+    return source.mapInArrow(lambda batches: _encoded(batches, path), schema)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -255,16 +240,43 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
     ship(encoded.sparkSession)
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())])
     place = encoded.columns.index(ids_col)
+    return encoded.mapInArrow(lambda batches: _decoded(batches, path, place, out), schema)
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = offset_table(path)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                lists = part.column(place)
-                flat = lists.flatten().to_numpy(zero_copy_only=False)
-                ends = np.cumsum(np.asarray([n or 0 for n in pc.list_value_length(lists).to_pylist()], dtype=np.int64))
-                texts = [table.decode(flat[a:b]).decode() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out])
-
-    return encoded.mapInArrow(run, schema)
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, out: str = "decoded") -> DataFrame:
+    """``decode`` of ``encode``, row for row, in one pass: a task needs one worker, and ids cross to it and back once."""
+    source, schema = _coded(docs, id_col, text_col, keep)
+    place = len(schema) - 1
+    return source.mapInArrow(lambda batches: _decoded(_encoded(batches, path), path, place, out), schema.add(out, T.StringType()))
+
+
+def _coded(docs: DataFrame, id_col: str, text_col: str, keep: list[str] | None) -> tuple[DataFrame, T.StructType]:
+    """The columns that go to the workers, the text last, and what comes back with ids in its place."""
+    ship(docs.sparkSession)
+    kept = [c for c in (keep or []) if c != id_col]
+    source = docs.select(F.col(id_col).alias(id_col), *kept, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return source, T.StructType([*source.drop("_text").schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    vocab = vocabulary(path)
+    for batch in batches:
+        for start in range(0, batch.num_rows, 500):
+            part = batch.slice(start, 500)
+            packed = [vocab.encode(t) for t in part.column(part.num_columns - 1).to_pylist()]
+            offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in packed])]).astype(np.int32)
+            values = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
+            ids = pa.ListArray.from_arrays(pa.array(offsets), values)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names=[*part.schema.names[:-1], "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, place: int, out: str) -> Iterator[pa.RecordBatch]:
+    table = offset_table(path)
+    for batch in batches:
+        for start in range(0, batch.num_rows, 500):
+            part = batch.slice(start, 500)
+            lists = part.column(place)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(np.asarray([n or 0 for n in pc.list_value_length(lists).to_pylist()], dtype=np.int64))
+            texts = [table.decode(flat[a:b]).decode() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out])

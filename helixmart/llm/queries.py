@@ -69,8 +69,7 @@ def op6_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = word_bpe_file()
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), word_bpe_file())
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

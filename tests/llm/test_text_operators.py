@@ -67,10 +67,14 @@ def test_bpe_is_the_library(spark):
         assert row["ids"] == want
         assert row["decoded"] == library.decode(want, skip_special_tokens=False)
         assert row["kept"] == "ids"
+    at_once = bpe.round_trip(df, word_bpe_file(), keep=["kept"])
+    assert at_once.schema == coded.schema
+    assert sorted(at_once.collect()) == sorted(coded.collect())
 
 
 def test_bpe_of_no_rows(spark):
     assert bpe.decode(bpe.encode(empty(spark), word_bpe_file()), word_bpe_file()).collect() == []
+    assert bpe.round_trip(empty(spark), word_bpe_file()).collect() == []
 
 
 def test_every_token_spells_itself():
