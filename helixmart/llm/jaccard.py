@@ -31,7 +31,7 @@ SLICES = 16
 SMALL = 48
 # Turns in which the first sets of classes are measured before all sets that are left.
 TURNS = 4
-MOST_WORDS = 500_000
+MOST_WORDS = 150_000
 # Names of sets that a task remembers, so as to write the copies it meets once.
 MOST_NAMES = 500_000
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]

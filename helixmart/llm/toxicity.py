@@ -24,7 +24,7 @@ LEAST_RATIO = 30.0
 STEMS = (4, 5, 6, 7)
 NEIGHBOURS = 15
 BLOCK = 512
-MOST_WORDS = 500_000
+MOST_WORDS = 150_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
