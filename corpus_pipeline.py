@@ -61,8 +61,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text that is left, and digests of the ids and of the text decoded from them."""
-    path = word_bpe_file()
-    coded = bpe.decode(bpe.encode(docs, path, keep=["lang", "source"]), path)
+    coded = bpe.round_trip(docs, word_bpe_file(), keep=["lang", "source"])
     return coded.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
