@@ -333,6 +333,13 @@ def _rare_first(measured: DataFrame, percent: int) -> DataFrame:
     return source.mapInArrow(run, "a long, b long, link boolean, size_a int, size_b int, far int, edge array<long>")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """A row for each element of ``edge``, if there still is such a column."""
+    if "edge" not in rows.columns:
+        return rows
+    return rows.select(*[c for c in rows.columns if c != "edge"], F.posexplode("edge").alias("place", "element"))
+
+
 def _inner(around: DataFrame, sets: Sets, edges: DataFrame, percent: int) -> DataFrame:
     """``edges`` and those between sets a of around(a, b) that share a pivot b."""
     measured = settle(sets.measure(around), "jaccard-measured", "zstd")
@@ -346,13 +353,13 @@ def _inner(around: DataFrame, sets: Sets, edges: DataFrame, percent: int) -> Dat
     beyond = F.when(F.col("link"), F.greatest("far", out)).otherwise(F.col("far"))
     share = F.greatest(F.lit(1), F.ceil((F.col("far") + beyond - most) / 2).cast("int"))
     inner = _rare_first(measured, percent).where("far > 0")
-    inner = inner.select("a", "b", "link", "size_a", "far", (F.col("far") - share + 1).alias("short"), F.posexplode("edge").alias("place", "element"))
-    inner = settle(inner, "jaccard-inner")
+    inner = settle(inner.select("a", "b", "link", "size_a", "far", (F.col("far") - share + 1).alias("short"), "edge"), "jaccard-inner")
     drop_settled(measured)
     # Inner regions: sets that share such a difference. In each turn the first set of every class of a region is measured
     # against the first of them, until no turn finds a link.
     for _ in range(TURNS):
-        members = _named(inner, roots, "a", "class")
+        # Classes are looked up once a set and pivot, before its differences become rows.
+        members = _spread(_named(inner, roots, "a", "class"))
         mixed = members.groupBy("b", "element").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("b", "element")
         members = settle(members.join(mixed, ["b", "element"]), "jaccard-open")
         drop_settled(inner)
