@@ -359,10 +359,11 @@ def _inner(around: DataFrame, sets: Sets, edges: DataFrame, percent: int) -> Dat
     # against the first of them, until no turn finds a link.
     for _ in range(TURNS):
         # Classes are looked up once a set and pivot, before its differences become rows.
-        members = _spread(_named(inner, roots, "a", "class"))
-        mixed = members.groupBy("b", "element").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("b", "element")
-        members = settle(members.join(mixed, ["b", "element"]), "jaccard-open")
+        named = settle(_spread(_named(inner, roots, "a", "class")), "jaccard-named")
         drop_settled(inner)
+        mixed = named.groupBy("b", "element").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("b", "element")
+        members = settle(named.join(mixed, ["b", "element"]), "jaccard-open")
+        drop_settled(named)
         inner = members.drop("class")
         firsts = members.groupBy("b", "element", "class").agg(F.min("a").alias("a"))
         pivots = firsts.groupBy("b", "element").agg(F.min("a").alias("pivot"))
