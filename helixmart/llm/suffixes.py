@@ -2,9 +2,10 @@
 
 Which suffixes are sorted: every window of 100 bytes has an anchor, its 32-byte stretch of smallest hash, so
 equal windows have equal anchors at equal places. Windows of one anchor follow each other; together they are
-the anchor's context. A context that also stands earlier as a whole takes all its windows with it. A window has 34 bytes of
-its context to the left of its anchor or to the right, so a context whose anchor stands nowhere else with the same
-34 bytes on one side has no equal windows. Only the windows of the first of each other context are left, and
+the anchor's context. A context that also stands earlier as a whole takes all its windows with it. The windows of the
+first of each context fall into four regions by the anchor's place in them, and those of a region all hold the same
+83 bytes around the anchor (51 + 0, 34 + 17, 17 + 34 or 0 + 51 beside it): a region whose 83 bytes stand in no other
+context has no equal windows. Only the windows of other regions are left, and
 these are sorted: each task sorts its suffixes into front-coded runs, runs
 are exchanged by ranges of the suffix order, and every range is merged by a loser tree that compares two
 suffixes from their known common prefix on.
@@ -28,7 +29,15 @@ from helixmart.llm.common import partitions, settle, ship
 WIDTH = 100
 ANCHOR = 32
 SPAN = WIDTH - ANCHOR + 1
-SIDE = (WIDTH - ANCHOR) // 2
+SIDE = (WIDTH - ANCHOR) // 4
+# Regions of windows: the least and most bytes that they have before their anchor, and where the 32-byte stretches
+# start, counted from it, that cover what the windows of the region share.
+REGIONS = [
+    (3 * SIDE, 4 * SIDE, (-3 * SIDE, -ANCHOR)),
+    (2 * SIDE, 3 * SIDE - 1, (-2 * SIDE, -SIDE, SIDE)),
+    (SIDE, 2 * SIDE - 1, (-SIDE, SIDE, 2 * SIDE)),
+    (0, SIDE - 1, (ANCHOR, 3 * SIDE)),
+]
 # A text is named by its id and so many bits of its hash, which tell texts of one id apart.
 TAG_BITS = 24
 # Bits in the maps of texts that have something to sort or to cut: their bound whatever the input's size.
@@ -49,20 +58,21 @@ _BYTES = _RANDOM.integers(0, 2**63, size=256, dtype=np.uint64) * np.uint64(2) +
 _FACTORS = _RANDOM.integers(0, 2**63, size=6, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, sides, first window, last window) of each anchor of a text of at most PIECE + WIDTH bytes.
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, outer, inner, first window, last window) of each anchor of a text of at most PIECE + WIDTH bytes.
 
-    ``sides``: 32 bits each of hashes of the SIDE bytes before and after the anchor.
+    ``outer``: 32 bits each of hashes of what the windows of the first and the last region share; ``inner``: 28 bits each
+    for the two regions between, and in the last 8 how far the anchor stands behind the first window's start. The hash
+    of a region that has no window here means nothing.
     """
     n = len(data) - WIDTH + 1
     if n <= 0:
         none = np.zeros(0, dtype=np.int64)
-        return none.astype(np.uint64), none.astype(np.uint64), none, none
-    h, two, step = _BYTES[data], None, 1
+        return *[none.astype(np.uint64)] * 3, none, none
+    h, step = _BYTES[data], 1
     for factor in _FACTORS[:5]:  # 1, 2, 4, 8, 16, 32 bytes
         h = h[:-step] * factor + h[step:]
         step *= 2
-        two = h if step == 2 else two
     plain = h
     h = h.copy()
     h ^= h >> np.uint64(29)
@@ -79,13 +89,16 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     last = np.concatenate([first[1:] - 1, [n - 1]])
     at = (least[first] & np.uint64(0xFFFFFF)).astype(np.int64)
 
-    def side(start: np.ndarray) -> np.ndarray:  # 34 bytes as 32 and 2; a text's end is a side of its own
-        inside = (start >= 0) & (start + SIDE <= len(data))
-        s = np.where(inside, start, 0)
-        x = (plain[np.minimum(s, len(plain) - 1)] * _FACTORS[5] + two[np.minimum(s + ANCHOR, len(two) - 1)]) * _FACTORS[0]
-        return np.where(inside, x >> np.uint64(32), (start.astype(np.uint64) * _FACTORS[3] + _FACTORS[4] * np.uint64(len(data))) >> np.uint64(32))
+    def region(starts: tuple[int, ...]) -> np.ndarray:
+        x = np.zeros(len(at), dtype=np.uint64)
+        for start in starts:
+            x = (x + plain[np.clip(at + start, 0, len(plain) - 1)]) * _FACTORS[5]
+            x ^= x >> np.uint64(29)
+        return x * _FACTORS[0] >> np.uint64(32)
 
-    return h[at], side(at - SIDE) << np.uint64(32) | side(at + ANCHOR), first, last
+    far_left, left, right, far_right = (region(starts) for _, _, starts in REGIONS)
+    inner = (left >> np.uint64(4)) << np.uint64(36) | (right >> np.uint64(4)) << np.uint64(8) | (at - first).astype(np.uint64)
+    return h[at], far_left << np.uint64(32) | far_right, inner, first, last
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -104,9 +117,9 @@ def _pack(first, length, tag):
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tag, id, text) -> contexts (id, place, hash, context, sides), each context once in a batch; of later ones in
+    """(tag, id, text) -> contexts (id, place, hash, context, outer, inner), each context once in a batch; of later ones in
     the batch only what they remove (context NULL, hash its end, place its start)."""
-    names = ["id", "place", "hash", "context", "sides"]
+    names = ["id", "place", "hash", "context", "outer", "inner"]
     for batch in batches:
         texts, parts = batch.column(2), []
         for i in range(batch.num_rows):
@@ -115,14 +128,14 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             data, view = np.frombuffer(raw, dtype=np.uint8), memoryview(raw)
             for base in range(0, len(data) - WIDTH + 1, PIECE):
-                h, sides, first, last = anchors(data[base : base + PIECE + WIDTH - 1])
+                h, outer, inner, first, last = anchors(data[base : base + PIECE + WIDTH - 1])
                 first, last = first + base, last + base
                 digest = xxhash.xxh3_64_intdigest
                 context = np.array([digest(view[a : b + WIDTH]) for a, b in zip(first.tolist(), last.tolist(), strict=True)], dtype=np.uint64)
-                parts.append((h, context, sides, np.full(len(h), i), first, last))
+                parts.append((h, context, outer, inner, np.full(len(h), i), first, last))
         if not parts:
             continue
-        h, context, sides, at, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
+        h, context, outer, inner, at, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
         ids, tags = batch.column(1).to_numpy()[at], batch.column(0).to_numpy()[at]
         order = np.lexsort((first, ids, context, h))
         same = np.zeros(len(order), dtype=bool)
@@ -134,7 +147,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         later = same & ((ids[order] != ids[leader]) | (first[order] != first[leader]))
         keep, gone = np.sort(order[~later]), order[later]
         places = _pack(first[keep], last[keep] - first[keep], tags[keep])
-        columns = [ids[keep], places, h[keep].view(np.int64), context[keep].view(np.int64), sides[keep].view(np.int64)]
+        columns = [ids[keep], places, *(x[keep].view(np.int64) for x in (h, context, outer, inner))]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
         spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for i, t, x, y in zip(ids[gone].tolist(), tags[gone].tolist(), first[gone].tolist(), last[gone].tolist(), strict=True):
@@ -142,7 +155,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merged = [(i, _pack(x, 0, t), y) for (i, t), s in spans.items() for x, y in _merge(s)]
         if merged:
             i, x, y = (pa.array(c, pa.int64()) for c in zip(*merged, strict=True))
-            yield pa.RecordBatch.from_arrays([i, x, y, pa.nulls(len(i), pa.int64()), pa.nulls(len(i), pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([i, x, y, *[pa.nulls(len(i), pa.int64())] * 3], names=names)
 
 
 def front_code(keys: list[bytes]) -> list[int]:
@@ -342,23 +355,42 @@ def _split(texts: DataFrame, keys: DataFrame) -> DataFrame:
     return joined.withColumn("maybe", F.coalesce(F.expr("(bits & shiftleft(1L, cast(_b % 32 as int))) <> 0"), F.lit(False))).drop("word", "bits", "_b")
 
 
-def repeated_spans(texts: DataFrame) -> DataFrame:
-    """texts(tag, id, text binary) -> (id, tag, first, end): bytes of windows that also start earlier."""
-    ship(texts.sparkSession)
-    found = texts.select("tag", "id", "text").mapInArrow(_contexts, "id long, place long, hash long, context long, sides long")
+def _placed(texts: DataFrame) -> DataFrame:
+    """texts(tag, id, text binary) -> (id, tag, first, more, place, hash, given, later, open): the contexts that remove
+    bytes as a whole (later, or given with their end as ``hash``), and the windows of open regions, which are to be sorted."""
+    found = texts.select("tag", "id", "text").mapInArrow(_contexts, "id long, place long, hash long, context long, outer long, inner long")
     # Narrow rows: a hash with very many contexts spills, it is never gathered.
     size = 1 << TAG_BITS
     first, more, tag = F.shiftright("place", TAG_BITS + 7), F.shiftright("place", TAG_BITS).bitwiseAND(F.lit(127)), F.pmod("place", F.lit(size))
-    before, after = F.shiftrightunsigned("sides", 32), F.col("sides").bitwiseAND(F.lit(0xFFFFFFFF))
     whole = Window.partitionBy("hash", "context").orderBy("id", "first").rowsBetween(Window.unboundedPreceding, 0)
-    several = lambda c: F.min("context").over(Window.partitionBy("hash", c)) != F.max("context").over(Window.partitionBy("hash", c))
     # All windows run on partitions by hash: one exchange.
-    placed = found.repartition(partitions(texts.sparkSession), "hash").withColumns({"first": first, "more": more, "tag": tag, "before": before, "after": after})
-    placed = placed.withColumns({"lead": F.first(F.struct("id", "first")).over(whole), "left": several("before"), "right": several("after")})
-    real = F.col("context").isNotNull()
-    later = real & (F.struct("id", "first") != F.col("lead"))
-    placed = placed.select("id", "tag", "first", "more", "place", "hash", (~real).alias("given"), later.alias("later"), (real & ~later & (F.col("left") | F.col("right"))).alias("open"))
-    placed = settle(placed.where("given or later or open"), "suffix-contexts")
+    placed = found.repartition(partitions(texts.sparkSession), "hash").withColumns({"first": first, "more": more, "tag": tag})
+    placed = placed.withColumn("lead", F.first(F.struct("id", "first")).over(whole))
+    given = F.col("context").isNull()
+    later = ~given & (F.struct("id", "first") != F.col("lead"))
+    placed = placed.withColumns({"given": given, "later": later}).withColumn("own", F.when(~(F.col("given") | F.col("later")), F.col("context")))
+    # The sort by hash and context serves this window, too; few hashes have several contexts.
+    placed = placed.withColumns({"low": F.min("own").over(Window.partitionBy("hash")), "high": F.max("own").over(Window.partitionBy("hash"))})
+    placed = placed.where("given or later or low <> high")
+    # A row for each region of the first of a context; all copies of a context share the bytes of the regions it has windows in.
+    outer, inner, anchor = F.col("outer"), F.col("inner"), F.col("first") + F.col("inner").bitwiseAND(F.lit(255))
+    hashes = [F.shiftrightunsigned(outer, 32), F.shiftrightunsigned(inner, 36), F.shiftrightunsigned(inner, 8).bitwiseAND(F.lit((1 << 28) - 1)), outer.bitwiseAND(F.lit((1 << 32) - 1))]
+    regions = [
+        F.struct(F.lit(k).alias("region"), h.alias("around"), F.greatest(F.col("first"), anchor - most).alias("start"), F.least(F.col("first") + F.col("more"), anchor - least).alias("stop"))
+        for k, (h, (least, most, _)) in enumerate(zip(hashes, REGIONS, strict=True))
+    ]
+    none = F.struct(F.lit(-1).alias("region"), F.lit(0).cast("long").alias("around"), F.col("first").alias("start"), (F.col("first") + F.col("more")).alias("stop"))
+    rows = placed.withColumn("r", F.explode(F.when(F.col("own").isNull(), F.array(none)).otherwise(F.array(*regions)))).where("r.start <= r.stop")
+    rows = rows.select("id", "tag", "hash", "own", "given", "later", "r.region", "r.around", F.col("r.start").alias("first"), (F.col("r.stop") - F.col("r.start")).alias("more"))
+    same = Window.partitionBy("hash", "region", "around")
+    rows = rows.withColumn("open", F.coalesce(F.min("own").over(same) != F.max("own").over(same), F.lit(False))).where("given or later or open")
+    return rows.select("id", "tag", "first", "more", _pack(F.col("first"), F.col("more"), F.col("tag")).alias("place"), "hash", "given", "later", "open")
+
+
+def repeated_spans(texts: DataFrame) -> DataFrame:
+    """texts(tag, id, text binary) -> (id, tag, first, end): bytes of windows that also start earlier."""
+    ship(texts.sparkSession)
+    placed = settle(_placed(texts), "suffix-contexts")
     spans = placed.where("given or later").select(
         "id", "tag", "first", F.when(F.col("given"), F.col("hash")).otherwise(F.col("first") + F.col("more") + WIDTH).alias("end")
     )

@@ -250,6 +250,25 @@ def test_suffix_dedup(spark, docs):
     assert got == dedup_by_force(rows)
 
 
+def test_suffixes_are_sorted_only_where_83_bytes_repeat(spark):
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    prose = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    short, long = [prose(79) for _ in range(8)], prose(130)
+    # 79 bytes, and those beside them that chance makes equal, are too few for any region; 130 hold 31 windows of 100 bytes.
+    texts = {i: prose(150) + short[i % 8] + prose(150) for i in range(40)} | {100 + i: prose(150) + long + prose(150) for i in range(40)}
+    keyed = spark.createDataFrame([(0, i, t.encode()) for i, t in texts.items()], "tag long, id long, text binary").repartition(3)
+    opened = {}
+    for r in suffixes._placed(keyed).where("open").collect():
+        opened.setdefault(r["id"], set()).update(range(r["first"], r["first"] + r["more"] + 1))
+    assert all(set(range(150, 181)) <= opened[100 + i] for i in range(40))
+    assert not any(i in opened for i in range(40))
+    rows = sorted(texts.items())
+    done = suffixes.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in done)
+    assert got == dedup_by_force(rows)
+
+
 def test_suffix_dedup_of_null_ids_and_no_rows(spark):
     text = "0123456789" * 3 + "the only text of this small table, which is longer than a hundred bytes, so that a copy is seen" * 2
     df = spark.createDataFrame([(None, text), (4, text)], "doc_id long, text string")
