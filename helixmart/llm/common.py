@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -61,6 +63,18 @@ def drop_settled(df: DataFrame) -> None:
         path_of(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path_of(path), True)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most so many rows in a batch sent to Python, for jobs that run inside: bounds what wide rows take there and on the way."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixmart.llm.common import components, drop_settled, settle, ship
+from helixmart.llm.common import arrow_batches, components, drop_settled, settle, ship
 
 # Counters of how often shingles occur: 2 to this power, whatever the input's size, in slices.
 COUNTER_BITS = 20
@@ -32,6 +32,8 @@ SMALL = 48
 # Turns in which the first sets of classes are measured before all sets that are left.
 TURNS = 4
 MOST_WORDS = 150_000
+# Rows in a batch for Python: sets are wide, and both sides hold a batch and what is made of it.
+BATCH = 1000
 # Names of sets that a task remembers, so as to write the copies it meets once.
 MOST_NAMES = 500_000
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -164,7 +166,7 @@ def count_shingles(items: DataFrame) -> np.ndarray:
         total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
         for batch in batches:
             flat = batch.column(0).flatten().to_numpy().view(np.uint64)
-            total += np.bincount(counter(flat), minlength=len(total))
+            np.add.at(total, counter(flat), 1)
         part = TaskContext.get().partitionId() % 64
         packed = [zlib.compress(total[i * width : (i + 1) * width].tobytes(), 1) for i in range(SLICES)]
         yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([part] * SLICES, pa.int32()), pa.array(packed, pa.binary())], names=["slice", "part", "counts"])
@@ -259,8 +261,10 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    rows = settle(_sets(texts, k), "jaccard-rows")
-    classes = components(_edges(rows, percent), "jaccard-cc")
+    with arrow_batches(docs.sparkSession, BATCH):
+        rows = settle(_sets(texts, k), "jaccard-rows")
+        edges = _edges(rows, percent)
+    classes = components(edges, "jaccard-cc")
     ids = rows.select("id", "n_shingles", "name").join(classes.select(F.col("id").alias("name"), "root"), "name", "left")
     ids = settle(ids.select("id", "n_shingles", F.coalesce("root", "name").alias("class")), "jaccard-classes")
     drop_settled(rows)

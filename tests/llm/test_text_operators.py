@@ -215,6 +215,16 @@ def test_components_of_chains(spark):
     assert {roots[i] for i in range(301)} == {0} and {roots[i] for i in range(400, 421)} == {400}
 
 
+def test_jaccard_components_pass_small_batches_to_python(spark, monkeypatch):
+    name, seen, edges = "spark.sql.execution.arrow.maxRecordsPerBatch", [], jaccard._edges
+    before = spark.conf.get(name)
+    monkeypatch.setattr(jaccard, "_edges", lambda *a: seen.append(int(spark.conf.get(name))) or edges(*a))
+    rows = [(i, f"a b c d e f g h i j k {i % 7}") for i in range(30)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 7 for i in range(30)}
+    assert max(seen) <= jaccard.BATCH < int(before) and spark.conf.get(name) == before
+
+
 # ---- suffix dedup ------------------------------------------------------------------------------------------------
 
 
