@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixmart.llm.common import arrow_batches, components, drop_settled, settle, ship
+from helixmart.llm.common import arrow_batches, components, drop_settled, partitions, settle, ship
 
 # Counters of how often shingles occur: 2 to this power, whatever the input's size, in slices.
 COUNTER_BITS = 20
@@ -34,6 +34,8 @@ TURNS = 4
 MOST_WORDS = 150_000
 # Rows in a batch for Python: sets are wide, and both sides hold a batch and what is made of it.
 BATCH = 1000
+# Rows of regions aimed at in a task: packed, they are too small for Spark to tell what sorting and hashing them takes.
+TASK_ROWS = 100_000
 # Names of sets that a task remembers, so as to write the copies it meets once.
 MOST_NAMES = 500_000
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -203,6 +205,12 @@ def _regions(sets: DataFrame, counts, percent: int) -> DataFrame:
     return first.select("name", "n", F.posexplode("keys").alias("place", "key")).select("key", "name", "n", "place")
 
 
+def _dealt(regions: DataFrame, rows: int) -> DataFrame:
+    """``regions``, of so many rows, by key: over more partitions than set where these would hold more than TASK_ROWS."""
+    n = -(-rows // TASK_ROWS)
+    return regions.repartition(n, "key") if n > partitions(regions.sparkSession) else regions.repartition("key")
+
+
 class Sets:
     """The written sets, found by name: whole, or as sketches."""
 
@@ -279,7 +287,9 @@ def _edges(rows: DataFrame, percent: int) -> DataFrame:
     sets = Sets(rows, percent)
     counts = rows.sparkSession.sparkContext.broadcast(count_shingles(sets.whole.select("items")))
     # Dealt by key once: copies of a set fall together, regions are counted, and members learn of their region.
-    dealt = _regions(sets.whole, counts, percent).repartition("key").distinct()
+    width = F.col("n_shingles") - F.ceil(percent * (F.col("n_shingles") + F.ceil(percent * F.col("n_shingles") / 100)) / (100 + percent)) + 1
+    total = rows.where("items is not null").agg(F.sum(width)).first()[0]
+    dealt = _dealt(_regions(sets.whole, counts, percent), total or 0).distinct()
     regions = dealt.groupBy("key").agg(F.min("name").alias("pivot"), F.max("name").alias("last"), F.count(F.lit(1)).alias("m")).where("pivot <> last")
     members = settle(dealt.join(regions.drop("last"), "key"), "jaccard-members")
     # A set's own pivot: the one it shares most regions with.

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixmart.llm.common import bucket, settle, ship
+from helixmart.llm.common import arrow_batches, bucket, settle, ship
 
 # The bounded sample of labelled rows, and the bound of the vocabulary drawn from it.
 EXAMPLES = 12_000
@@ -25,6 +25,8 @@ STEMS = (4, 5, 6, 7)
 NEIGHBOURS = 15
 BLOCK = 512
 MOST_WORDS = 150_000
+# Rows of text in a batch for Python.
+BATCH = 1000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -208,9 +210,10 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # EXAMPLES ids at most: bounded, so they may be broadcast.
     examples = settle(source.join(F.broadcast(drawn), "id").dropDuplicates(["id"]), "toxicity-examples").repartition(12, "id")
-    terms = choose_terms(examples)
-    counted = settle(count_terms(source, terms), "toxicity-counts")
-    model = _fit(counted, examples, terms)
+    with arrow_batches(docs.sparkSession, BATCH):
+        terms = choose_terms(examples)
+        counted = settle(count_terms(source, terms), "toxicity-counts")
+        model = _fit(counted, examples, terms)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = source.schema["id"].dataType.simpleString()
 
