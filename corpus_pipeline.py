@@ -61,6 +61,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text that is left, and digests of the ids and of the text decoded from them."""
+    # This stage's job is the caller's, so the bound on a batch of texts for Python stays set.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(suffixes.BATCH))
     coded = bpe.round_trip(docs, word_bpe_file(), keep=["lang", "source"])
     return coded.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),

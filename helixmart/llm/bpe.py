@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 import struct
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helixmart.llm.common import ship
+from helixmart.llm.common import lean, ship, table_of_worker
 
 # White space as the tokenizer's patterns know it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
@@ -26,6 +25,8 @@ NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # is merged again, a forgotten chunk is only cut again.
 MOST_PIECES = 300_000
 MOST_CHUNKS = 50_000
+# Pairs of tokens remembered as fitting or not, in the same way.
+MOST_PAIRS = 200_000
 
 
 def _byte_symbols() -> list[str]:
@@ -73,8 +74,8 @@ class Vocabulary:
                     self.longest_prefix[i] = shorter
                     break
         self.machine.make_automaton()
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.edges: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+        self.most = max(self.ids.values()) + 1
+        self.fits: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
         self.known_pieces: dict[str, bytes] = {}
 
@@ -86,16 +87,12 @@ class Vocabulary:
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int, int]]:
         """(part, rank that makes it, rank that hides it) from the token down to a symbol."""
-        edge = self.edges.get((token, side))
-        if edge is not None:
-            return edge
-        first, out, hidden = token, [], 1 << 60
+        out, hidden = [], 1 << 60
         while token in self.halves:
             left, right, rank = self.halves[token]
             out.append((token, rank, hidden))
             token, hidden = (right if side else left), rank
         out.append((token, -1, hidden))
-        self.edges[first, side] = out
         return out
 
     def _check(self, a: int, b: int) -> bool:
@@ -105,8 +102,9 @@ class Vocabulary:
         not been merged into the next larger part. A merge across wins if both parts exist when its turn
         comes; at equal rank the left one of two merges goes first.
         """
+        left = self._edge(b, 0)
         for x, x_made, x_hidden in self._edge(a, 1):
-            for y, y_made, y_hidden in self._edge(b, 0):
+            for y, y_made, y_hidden in left:
                 across = self.made.get((x, y))
                 if across is not None and max(x_made, y_made) < across[0] < x_hidden and across[0] <= y_hidden:
                     return False
@@ -114,7 +112,9 @@ class Vocabulary:
 
     def word(self, symbols: str) -> list[int]:
         """The merges' result for one word. Takes the longest token, steps back where neighbours do not fit."""
-        width, fits, shorter = self.width, self.fits, self.longest_prefix
+        width, fits, shorter, most = self.width, self.fits, self.longest_prefix, self.most
+        if len(fits) > MOST_PAIRS:
+            fits.clear()
         longest = [-1] * (len(symbols) + 1)
         for end, token in self.machine.iter(symbols):  # of the matches from one start, the longest ends last
             longest[end + 1 - width[token]] = token
@@ -128,9 +128,9 @@ class Vocabulary:
             while token >= 0:
                 end = at + width[token]
                 if end not in dead:
-                    fit = before < 0 or fits.get((before, token))
+                    fit = before < 0 or fits.get(before * most + token)
                     if fit is None:
-                        fit = fits[before, token] = self._check(before, token)
+                        fit = fits[before * most + token] = self._check(before, token)
                     if fit:
                         break
                 token = shorter.get(token, -1)
@@ -209,13 +209,13 @@ class OffsetTable:
         return self.blob[places].tobytes()[:-1]
 
 
-@functools.lru_cache(maxsize=4)
+@table_of_worker
 def offset_table(path: str) -> OffsetTable:
     """One per worker process."""
     return OffsetTable(path)
 
 
-@functools.lru_cache(maxsize=4)
+@table_of_worker
 def vocabulary(path: str) -> Vocabulary:
     """One per worker process."""
     return Vocabulary(path)
@@ -229,7 +229,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     an empty table gives none. Memory follows the longest text of a batch.
     """
     source, schema = _coded(docs, id_col, text_col, keep)
-    return source.mapInArrow(lambda batches: _encoded(batches, path), schema)
+    return source.mapInArrow(lean(lambda batches: _encoded(batches, path), __name__), schema)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -240,14 +240,14 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
     ship(encoded.sparkSession)
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())])
     place = encoded.columns.index(ids_col)
-    return encoded.mapInArrow(lambda batches: _decoded(batches, path, place, out), schema)
+    return encoded.mapInArrow(lean(lambda batches: _decoded(batches, path, place, out), __name__), schema)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, out: str = "decoded") -> DataFrame:
     """``decode`` of ``encode``, row for row, in one pass: a task needs one worker, and ids cross to it and back once."""
     source, schema = _coded(docs, id_col, text_col, keep)
     place = len(schema) - 1
-    return source.mapInArrow(lambda batches: _decoded(_encoded(batches, path), path, place, out), schema.add(out, T.StringType()))
+    return source.mapInArrow(lean(lambda batches: _decoded(_encoded(batches, path), path, place, out), __name__), schema.add(out, T.StringType()))
 
 
 def _coded(docs: DataFrame, id_col: str, text_col: str, keep: list[str] | None) -> tuple[DataFrame, T.StructType]:

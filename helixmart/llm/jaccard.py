@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixmart.llm.common import arrow_batches, components, drop_settled, partitions, settle, ship
+from helixmart.llm.common import arrow_batches, components, drop_settled, lean, partitions, settle, ship
 
 # Counters of how often shingles occur: 2 to this power, whatever the input's size, in slices.
 COUNTER_BITS = 20
@@ -151,7 +151,7 @@ def _sets(texts: DataFrame, k: int) -> DataFrame:
                 )
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"id {kind}, n_shingles long, name long, items array<long>, parity binary")
+    return texts.mapInArrow(lean(run), f"id {kind}, n_shingles long, name long, items array<long>, parity binary")
 
 
 def _items(batch: pa.RecordBatch, column: int) -> list[np.ndarray]:
@@ -180,7 +180,7 @@ def count_shingles(items: DataFrame) -> np.ndarray:
         return table.slice(0, 1).set_column(2, "counts", pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
 
     kind = "slice int, part int, counts binary"
-    counts = items.mapInArrow(count, kind).groupBy("slice", "part").applyInArrow(add, kind).groupBy("slice").applyInArrow(add, kind)
+    counts = items.mapInArrow(lean(count), kind).groupBy("slice", "part").applyInArrow(add, kind).groupBy("slice").applyInArrow(add, kind)
     table = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
     for r in counts.collect():  # SLICES rows
         table[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(zlib.decompress(bytes(r["counts"])), dtype=np.int64)
@@ -201,7 +201,7 @@ def _regions(sets: DataFrame, counts, percent: int) -> DataFrame:
                 sizes.append(len(x))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), _lists(keys)], names=["name", "n", "keys"])
 
-    first = sets.mapInArrow(run, "name long, n int, keys array<long>")
+    first = sets.mapInArrow(lean(run), "name long, n int, keys array<long>")
     return first.select("name", "n", F.posexplode("keys").alias("place", "key")).select("key", "name", "n", "place")
 
 
@@ -232,7 +232,7 @@ class Sets:
                 near = [least_apart(x, y) <= most_apart(m, n, percent) for m, n, x, y in zip(*columns, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-        return both.select("a", "b", "n_a", "n_b", "p_a", "p_b").mapInArrow(run, "a long, b long")
+        return both.select("a", "b", "n_a", "n_b", "p_a", "p_b").mapInArrow(lean(run), "a long, b long")
 
     def _joined(self, pairs: DataFrame) -> DataFrame:
         """pairs(a, b) with the sets of both; only sets that stand in a pair are moved."""
@@ -344,7 +344,7 @@ def _rare_first(measured: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array([len(x) for x in found], pa.int32()), _lists(edges)], names=["a", "b", "link", "size_a", "size_b", "far", "edge"])
 
     source = measured.select("a", "b", "link", "size_a", "size_b", "apart", _most(F.col("size_a"), percent).alias("most"))
-    return source.mapInArrow(run, "a long, b long, link boolean, size_a int, size_b int, far int, edge array<long>")
+    return source.mapInArrow(lean(run), "a long, b long, link boolean, size_a int, size_b int, far int, edge array<long>")
 
 
 def _spread(rows: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixmart.llm.common import partitions, settle, ship
+from helixmart.llm.common import arrow_batches, lean, partitions, settle, ship
 
 WIDTH = 100
 ANCHOR = 32
@@ -44,6 +44,8 @@ TAG_BITS = 24
 MAP_BITS = 1 << 22
 # Bytes that are hashed at a time; longer texts are taken in overlapping pieces.
 PIECE = 2 << 20
+# Rows of text whose contexts, or whose suffixes as a run, a task holds at a time, at most.
+BATCH = 2000
 # Suffixes aimed at in a range of the merge, suffixes a run holds in memory, suffixes drawn for the range borders, and entries in a block.
 RANGE = 400_000
 RUN = 250_000
@@ -117,10 +119,10 @@ def _pack(first, length, tag):
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tag, id, text) -> contexts (id, place, hash, context, outer, inner), each context once in a batch; of later ones in
-    the batch only what they remove (context NULL, hash its end, place its start)."""
+    """(tag, id, text) -> contexts (id, place, hash, context, outer, inner), each context once in BATCH texts; of later ones
+    among these only what they remove (context NULL, hash its end, place its start)."""
     names = ["id", "place", "hash", "context", "outer", "inner"]
-    for batch in batches:
+    for batch in (b.slice(at, BATCH) for b in batches for at in range(0, b.num_rows, BATCH)):
         texts, parts = batch.column(2), []
         for i in range(batch.num_rows):
             raw = texts[i].as_buffer()
@@ -278,8 +280,8 @@ def _origin(entry: bytes) -> tuple[int, int, int]:
 def _runs(batches: Iterator[pa.RecordBatch], borders: list[bytes]) -> Iterator[pa.RecordBatch]:
     """(tag, id, text, spots) -> sorted, front-coded runs of RUN suffixes or little more, cut at the range borders."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            part = batch.slice(at, 2000)
+        for at in range(0, batch.num_rows, BATCH):
+            part = batch.slice(at, BATCH)
             entries, pieces = [], 0
             name = f"{part.column(1)[0].as_py()} {part.column(0)[0].as_py()}"  # no other slice begins with this text
             for tag, i, text, spots in zip(*(part.column(c).to_pylist() for c in range(4)), strict=True):
@@ -358,7 +360,7 @@ def _split(texts: DataFrame, keys: DataFrame) -> DataFrame:
 def _placed(texts: DataFrame) -> DataFrame:
     """texts(tag, id, text binary) -> (id, tag, first, more, place, hash, given, later, open): the contexts that remove
     bytes as a whole (later, or given with their end as ``hash``), and the windows of open regions, which are to be sorted."""
-    found = texts.select("tag", "id", "text").mapInArrow(_contexts, "id long, place long, hash long, context long, outer long, inner long")
+    found = texts.select("tag", "id", "text").mapInArrow(lean(_contexts), "id long, place long, hash long, context long, outer long, inner long")
     # Narrow rows: a hash with very many contexts spills, it is never gathered.
     size = 1 << TAG_BITS
     first, more, tag = F.shiftright("place", TAG_BITS + 7), F.shiftright("place", TAG_BITS).bitwiseAND(F.lit(127)), F.pmod("place", F.lit(size))
@@ -400,7 +402,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         return spans
     work = _split(texts, spots.select("id", "tag")).where("maybe").join(spots.groupBy("id", "tag").agg(F.collect_list("place").alias("spots")), ["id", "tag"])
     borders = _borders(texts, spots, windows)
-    blocks = work.select("tag", "id", "text", "spots").mapInArrow(lambda it: _runs(it, borders), "range long, run long, seq long, block binary, id long, tag long, first long, end long")
+    blocks = work.select("tag", "id", "text", "spots").mapInArrow(lean(lambda it: _runs(it, borders)), "range long, run long, seq long, block binary, id long, tag long, first long, end long")
     return spans.union(blocks.groupBy("range").applyInPandas(_merged, "id long, tag long, first long, end long"))
 
 
@@ -448,7 +450,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
         F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << TAG_BITS)).alias("tag"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(id_col).alias("_id"),
         *[F.col(c).alias(f"_keep_{c}") for c in kept], F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
     )
-    spans = settle(repeated_spans(keyed.select("tag", "id", "text")), "suffix-spans")
+    removed = repeated_spans(keyed.select("tag", "id", "text"))
+    with arrow_batches(docs.sparkSession, BATCH):  # the runs are cut that small anyway
+        spans = settle(removed, "suffix-spans")
     parted = _split(keyed, spans.select("id", "tag"))
     found = spans.groupBy("id", "tag").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
     # Texts that nothing is cut from stay where they are read.
@@ -478,5 +482,5 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
                 same = [part.column(i) for i in range(part.num_columns - 1) if i != place]
                 yield pa.RecordBatch.from_arrays([*same, *arrays], names=["_id", *[f"_keep_{c}" for c in kept], "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
-    done = joined.mapInArrow(cut, schema)
+    done = joined.mapInArrow(lean(cut), schema)
     return done.select(F.col("_id").alias(id_col), *[F.col(f"_keep_{c}").alias(c) for c in kept], "n_bytes", "n_removed", "n_spans", "spans", "kept")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixmart.llm.common import arrow_batches, bucket, settle, ship
+from helixmart.llm.common import arrow_batches, bucket, lean, settle, ship
 
 # The bounded sample of labelled rows, and the bound of the vocabulary drawn from it.
 EXAMPLES = 12_000
@@ -167,7 +167,7 @@ def choose_terms(examples: DataFrame) -> list[str]:
             terms = list({**found[0], **found[1]})
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([found[1][t] for t in terms], pa.int64()), pa.array([found[0][t] for t in terms], pa.int64())], names=["term", "a", "b"])
 
-    counts = examples.select("text", F.col("label").cast("int")).mapInArrow(run, "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = examples.select("text", F.col("label").cast("int")).mapInArrow(lean(run), "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     p, n = F.lit(float(count["p"])), F.lit(float(count["n"]))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     fit = counts.where(F.col("a") >= LEAST_EXAMPLES).where(a / p > b / n).withColumn("ratio", _ratio(a, b, p, n)).where(F.col("ratio") >= LEAST_RATIO)
@@ -188,7 +188,7 @@ def count_terms(docs: DataFrame, terms: list[str]) -> DataFrame:
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, terms array<int>, counts array<int>, total long")
+    return docs.mapInArrow(lean(run), f"id {kind}, terms array<int>, counts array<int>, total long")
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -223,7 +223,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             near = pa.array([f[1] for f in found], pa.list_(batch.schema.field(0).type))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.float64()), near, pa.array([f[2] for f in found], pa.list_(pa.float64()))], names=["id", "score", "neighbours", "cosines"])
 
-    return counted.mapInArrow(run, f"id {kind}, score double, neighbours array<{kind}>, cosines array<double>").withColumnRenamed("id", id_col)
+    return counted.mapInArrow(lean(run), f"id {kind}, score double, neighbours array<{kind}>, cosines array<double>").withColumnRenamed("id", id_col)
 
 
 def _fit(counted: DataFrame, examples: DataFrame, terms: list[str]) -> Model:
