@@ -85,3 +85,13 @@ def test_a_worker_keeps_the_tables_of_its_operator():
     kept = common.lean(lambda batches: batches, bpe.__name__)
     assert list(kept(iter([]))) == []
     assert bpe.vocabulary(word_bpe_file()) is vocabulary
+
+
+def test_pairs_of_tokens_are_remembered_up_to_a_bound(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdefghijkl", k=9)) for _ in range(300)]
+    expected = list(map(bpe.Vocabulary(word_bpe_file()).encode, texts))
+    monkeypatch.setattr(bpe, "MOST_PAIRS", 50)
+    vocabulary = bpe.Vocabulary(word_bpe_file())
+    assert list(map(vocabulary.encode, texts)) == expected
+    assert len(vocabulary.fits) < 200
