@@ -45,9 +45,10 @@ def spaced(text: Column) -> Column:
 
 def plain(words: Column) -> Column:
     """The ``spaced`` words in lower case without punctuation around them; signs of numbers and lone symbols stay."""
-    # A mark is looked for first, so that letters cost one test each.
+    # A mark is looked for first, so that letters cost one test each. Repeated groups would take a frame of the thread's
+    # stack for each change between short and long characters; a class takes none.
     mark = r"(?=[^\p{L}\p{M}\p{N} ])"
-    before = r"(?<![^ ])(?:(?![+−-]?\p{N})[^\p{L}\p{M}\p{N} ])+(?=[\p{L}\p{M}\p{N}+−-])"
+    before = r"(?<![^ ])[^\p{L}\p{M}\p{N} ]+(?=[\p{L}\p{M}+−-]|(?<![+−-])\p{N})"
     after = r"(?<=[\p{L}\p{M}\p{N}])[^\p{L}\p{M}\p{N} ]+(?![^ ])"
     return F.regexp_replace(F.lower(words), f"{mark}(?:{before}|{after})", "")
 
@@ -61,7 +62,8 @@ def template(df: DataFrame, words: str) -> DataFrame:
     name, start, units = r"\p{Lu}[\p{L}\p{M}'’-]*", r"(?=\p{Lu})(?<![\p{L}\p{M}\p{N}'’-])", "|".join(UNITS)
     joined = F.regexp_replace(words, rf"{start}({name}) (?=\p{{Lu}})", f"$1{JOINT}")
     measured = F.regexp_replace("_joined", rf"(\p{{N}}) (?=(?:{units})(?![\p{{L}}\p{{M}}\p{{N}}]))", f"$1{JOINT}")
-    named = F.regexp_replace("joined", rf"{start}{name}(?:{JOINT}{name})*", NAME)
+    # Possessive, since Java would take a frame of the thread's stack for each name: some thousand overflow it and end the executor.
+    named = F.regexp_replace("joined", rf"{start}{name}(?:{JOINT}{name})*+", NAME)
     counted = F.regexp_replace("_named", rf"(?<![^ ])[^\p{{L}}⟨ ]*\p{{N}}[^\p{{L}} ]*(?:{units})?[^\p{{L}} ]*(?![^ ])", NUMBER)
     # Texts without a digit skip the number patterns. Columns of their own keep each step from being computed twice.
     digits = F.col(words).rlike(r"\p{N}")
